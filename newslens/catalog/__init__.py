@@ -1 +1,31 @@
+"""Registered queries over the given tables, each with the SQL that checks it."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under ``name``; without ``sql`` it has no SQL equivalent."""
+
+    def add(query: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered twice")
+        QUERIES[name] = query
+        if sql is not None:
+            SQL[name] = sql
+        return query
+
+    return add
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from newslens.catalog import market, models, relational, streams, text  # noqa: F401
