@@ -67,25 +67,18 @@ def word_spans(text: Column) -> Column:
 def word_ngrams(spans: Column, sizes: list[int]) -> Column:
     """Runs of ``size`` words as ``array<struct<gram, start, end>>`` for each size."""
 
-    def runs(ws: Column) -> Column:
-        per_size = [
-            F.when(
-                F.size(ws) >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.size(ws) - (n - 1)),
-                    lambda i, n=n: F.struct(
-                        F.lower(
-                            F.array_join(
-                                F.transform(F.slice(ws, i, n), lambda w: w["word"]), " "
-                            )
-                        ).alias("gram"),
-                        F.element_at(ws, i)["start"].alias("start"),
-                        F.element_at(ws, i + (n - 1))["end"].alias("end"),
-                    ),
-                ),
-            ).otherwise(F.array().cast("array<struct<gram:string,start:int,end:int>>"))
-            for n in sizes
-        ]
-        return F.concat(*per_size)
-
-    return let(spans, runs)
+    empty = F.array().cast("array<struct<gram:string,start:int,end:int>>")
+
+    def runs_of(ws: Column, n: int) -> Column:
+        def run(i: Column) -> Column:
+            in_run = F.slice(ws, i, n)
+            return F.struct(
+                F.lower(F.array_join(F.transform(in_run, lambda w: w["word"]), " ")).alias("gram"),
+                F.get(ws, i - 1)["start"].alias("start"),
+                F.get(ws, i + (n - 2))["end"].alias("end"),
+            )
+
+        starts = F.sequence(F.lit(1), F.greatest(F.size(ws) - (n - 1), F.lit(1)))
+        return F.when(F.size(ws) >= n, F.transform(starts, run)).otherwise(empty)
+
+    return let(spans, lambda ws: F.concat(*[runs_of(ws, n) for n in sizes]))

@@ -7,63 +7,64 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
+from newslens.functions.columns import let
 from newslens.functions.text import sentences, words
 
 MIN_SENTENCE_WORDS = 3
+PLACES = 6
 
 
 def score_sentences(
-    texts: DataFrame, key: str, text: str, min_words: int = MIN_SENTENCE_WORDS
+    placed: DataFrame, key: str, text: str, min_words: int = MIN_SENTENCE_WORDS
 ) -> DataFrame:
-    """``(key, pos, sentence, n_words, score)``; the score is the mean probability of
-    the sentence's words in the whole text.
+    """``(key, pos, n_words, score)``: the mean probability of the sentence's words
+    in the whole text.
 
-    The text is shuffled once, before it is taken apart: the word counts and the
-    later ranking are all clustered by the key and reuse that partitioning.
+    ``placed`` should be partitioned by ``key``. The word counts and all later
+    groupings are then already clustered, and no word is ever shuffled.
     """
-    placed = texts.select(F.col(key), F.col(text).alias("__text")).repartition(key)
-    cut = placed.select(key, F.posexplode(sentences(F.col("__text"))).alias("pos", "sentence"))
-    in_words = cut.withColumn("words", words(F.col("sentence")))
+    cut = placed.select(key, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
+    in_words = cut.select(key, "pos", words(F.col("sentence")).alias("words"))
     tokens = in_words.select(
         key, "pos", F.size("words").alias("n_words"), F.explode("words").alias("word")
     )
-    per_word = tokens.groupBy(key, "pos", "n_words", "word").agg(F.count("*").alias("n"))
-    weighed = per_word.select(
-        key,
-        "pos",
-        "n_words",
-        "n",
-        F.sum("n").over(Window.partitionBy(key, "word")).alias("in_text"),
-        F.sum("n").over(Window.partitionBy(key)).alias("text_words"),
-    )
-    scored = (
-        weighed.groupBy(key, "pos", "n_words")
-        .agg(F.sum(F.col("n") * F.col("in_text")).alias("mass"), F.first("text_words").alias("text_words"))
+    in_text = F.count("*").over(Window.partitionBy(key, "word"))
+    return (
+        tokens.select(key, "pos", "n_words", in_text.alias("in_text"))
+        .groupBy(key, "pos", "n_words")
+        .agg(F.sum("in_text").alias("mass"))
+        .select(
+            key,
+            "pos",
+            "n_words",
+            "mass",
+            F.sum("n_words").over(Window.partitionBy(key)).alias("text_words"),
+        )
         .where(F.col("n_words") >= min_words)
         .select(
             key,
             "pos",
             "n_words",
-            F.round(F.col("mass") / (F.col("n_words") * F.col("text_words")), 6).alias("score"),
+            F.round(F.col("mass") / (F.col("n_words") * F.col("text_words")), PLACES).alias("score"),
         )
     )
-    return scored.join(in_words.select(key, "pos", "sentence"), [key, "pos"])
 
 
 def choose_sentences(scored: DataFrame, key: str, min_length: int, max_length: int) -> DataFrame:
-    """The best sentences while they fit into ``max_length`` words, and more, cut to
-    fit, while the summary is shorter than ``min_length``. Adds ``taken`` words."""
-    best = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("pos"))
-    so_far = best.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = F.sum("n_words").over(so_far)
-    ranked = scored.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n_words"))
-    chosen = ranked.where(
-        (F.col("upto") <= max_length)
-        | ((F.col("before") < min_length) & (F.col("before") < max_length))
+    """The best sentences while they fit into ``max_length`` words, and one more, cut
+    to fit, while the summary has fewer than ``min_length``. Adds ``taken`` words."""
+    best_first = (
+        Window.partitionBy(key)
+        .orderBy(F.desc("score"), F.asc("pos"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = scored.withColumn("upto", F.sum("n_words").over(best_first))
+    before = F.col("upto") - F.col("n_words")
+    return ranked.where(
+        (F.col("upto") <= max_length) | (before < min(min_length, max_length))
+    ).select(
+        key, "pos", "score", "n_words", F.least("n_words", F.lit(max_length) - before).alias("taken")
     )
-    return chosen.withColumn(
-        "taken", F.least(F.col("n_words"), F.lit(max_length) - F.col("before"))
-    ).drop("upto", "before")
 
 
 def _first_words(sentence: Column, n: Column) -> Column:
@@ -79,17 +80,26 @@ def summarize_extractive(
     min_length: int = fv.SUMMARY_MIN_LENGTH,
     max_length: int = fv.SUMMARY_MAX_LENGTH,
 ) -> DataFrame:
-    """``(key, output)`` for each text; "" where no sentence is long enough."""
-    chosen = choose_sentences(score_sentences(texts, key, text), key, min_length, max_length)
-    cut = F.when(F.col("taken") < F.col("n_words"), _first_words(F.col("sentence"), F.col("taken")))
-    summary = (
-        chosen.select(key, "pos", F.coalesce(cut, F.col("sentence")).alias("sentence"))
+    """``(key, output)`` for each text; "" where no sentence is long enough.
+
+    ``key`` is unique. The texts are shuffled once, whole, and both the scoring
+    and the picking of the chosen sentences read that one exchange.
+    """
+    placed = texts.select(F.col(key), F.col(text).alias("__text")).repartition(key)
+    chosen = (
+        choose_sentences(score_sentences(placed, key, "__text"), key, min_length, max_length)
         .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "sentence"))).alias("kept"))
-        .select(key, F.array_join(F.transform("kept", lambda s: s["sentence"]), ". ").alias(output))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "taken", "n_words"))).alias("__kept"))
     )
-    return (
-        texts.select(key)
-        .join(summary, key, "left")
-        .withColumn(output, F.coalesce(output, F.lit("")))
+
+    def pick(cut: Column) -> Column:
+        def one(kept: Column) -> Column:
+            sentence = F.get(cut, kept["pos"])
+            whole = kept["taken"] >= kept["n_words"]
+            return F.when(whole, sentence).otherwise(_first_words(sentence, kept["taken"].cast("int")))
+
+        return F.array_join(F.transform("__kept", one), ". ")
+
+    return placed.join(chosen, key, "left").select(
+        key, F.coalesce(let(sentences(F.col("__text")), pick), F.lit("")).alias(output)
     )
