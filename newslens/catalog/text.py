@@ -500,7 +500,7 @@ def _tagged(spark, sf_dir):
     content = fx.articles(spark, sf_dir).select(
         "id", F.concat_ws("\n", "headline", "text").alias("content")
     )
-    return entities.extract_entities(content, fx.symbols(spark, sf_dir), "content")
+    return entities.extract_entities(content, fx.symbols(spark, sf_dir), {"content": "entities"})
 
 
 @register(
@@ -520,15 +520,6 @@ def org_entities(spark, sf_dir):
     return _tagged(spark, sf_dir).select("id", F.size(orgs).alias("orgs"))
 
 
-_ORGS = """orgs as (select a.id, a.topic, list_sort(list(distinct s.name) filter (where s.name is not null)) as orgs
-  from articles a left join (select id, lower(piece || ' ' || next) as gram from (
-      select id, pos, w as piece, lead(w) over (partition by id order by pos) as next
-      from (select id, generate_subscripts(ws, 1) as pos, unnest(ws) as w
-        from (select id, regexp_extract_all(headline, '([\\p{L}\\p{N}]+)', 1) as ws from articles)))) g
-    on g.id = a.id
-  left join symbols s on s.name = g.gram group by 1, 2)"""
-
-
 def _orgs(spark, sf_dir):
     """Organisations in headline, description and summary (here: the source line)."""
     content = fx.articles(spark, sf_dir).select("id", "topic", "headline", "description", "source")

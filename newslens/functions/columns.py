@@ -21,14 +21,15 @@ def total(values: Column, zero: Column) -> Column:
     return F.aggregate(values, zero, lambda acc, x: acc + x)
 
 
-def running_starts(lengths: Column, block: int = 64) -> Column:
+def running_starts(lengths: Column, least_block: int = 8) -> Column:
     """Exclusive prefix sums of an int array.
 
-    Sums run over blocks first, so the work per row is about ``n * block``
-    rather than the ``n * n`` of appending to an accumulator.
+    Sums run over blocks first. With blocks of about the cube root of ``n`` the
+    work per row is about ``n ** (4 / 3)``; appending to one accumulator would
+    copy ``n * n`` values.
     """
 
-    def starts(lens: Column) -> Column:
+    def with_block(lens: Column, block: Column) -> Column:
         n_blocks = F.ceil(F.size(lens) / block).cast("int")
         block_sums = F.transform(
             F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))),
@@ -48,4 +49,8 @@ def running_starts(lengths: Column, block: int = 64) -> Column:
             ),
         )
 
+    def starts(lens: Column) -> Column:
+        root = F.greatest(F.ceil(F.cbrt(F.size(lens))).cast("int"), F.lit(least_block))
+        return let(root, lambda block: with_block(lens, block))
+
     return let(lengths, starts)

@@ -44,41 +44,36 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), F.lit(1))
 
 
-def word_spans(text: Column) -> Column:
-    """``array<struct<word, start, end>>`` of all words, ``end`` inclusive, 0-based."""
-
-    def spans(ps: Column) -> Column:
-        located = F.transform(
-            F.arrays_zip(
-                ps.alias("piece"),
-                running_starts(F.transform(ps, lambda p: F.length(p))).alias("start"),
-            ),
-            lambda z: F.struct(
-                z["piece"].alias("word"),
-                z["start"].alias("start"),
-                (z["start"] + F.length(z["piece"]) - 1).alias("end"),
-            ),
-        )
-        return F.filter(located, lambda s: s["word"].rlike(rf"^{WORD}$"))
-
-    return let(pieces(text), spans)
-
-
-def word_ngrams(spans: Column, sizes: list[int]) -> Column:
-    """Runs of ``size`` words as ``array<struct<gram, start, end>>`` for each size."""
+def word_runs(text: Column, sizes: list[int]) -> Column:
+    """Runs of ``size`` neighbouring words for each size, as
+    ``array<struct<gram, start, end>>``.
 
+    ``gram`` is the lower-case words joined by one blank, whatever was between
+    them; ``start`` and ``end`` are 0-based positions in the text, both inclusive.
+    """
     empty = F.array().cast("array<struct<gram:string,start:int,end:int>>")
 
-    def runs_of(ws: Column, n: int) -> Column:
-        def run(i: Column) -> Column:
-            in_run = F.slice(ws, i, n)
+    def runs_of(placed: Column, n: int) -> Column:
+        ws, starts = placed["words"], placed["starts"]
+
+        def run(word: Column, i: Column) -> Column:
+            in_run = [word, *[x for j in range(1, n) for x in (F.lit(" "), F.get(ws, i + j))]]
+            last = word if n == 1 else F.get(ws, i + (n - 1))
             return F.struct(
-                F.lower(F.array_join(F.transform(in_run, lambda w: w["word"]), " ")).alias("gram"),
-                F.get(ws, i - 1)["start"].alias("start"),
-                F.get(ws, i + (n - 2))["end"].alias("end"),
+                F.lower(F.concat(*in_run) if n > 1 else word).alias("gram"),
+                F.get(starts, i).alias("start"),
+                (F.get(starts, i + (n - 1)) + F.length(last) - 1).alias("end"),
             )
 
-        starts = F.sequence(F.lit(1), F.greatest(F.size(ws) - (n - 1), F.lit(1)))
-        return F.when(F.size(ws) >= n, F.transform(starts, run)).otherwise(empty)
+        heads = F.slice(ws, F.lit(1), F.greatest(F.size(ws) - (n - 1), F.lit(0)))
+        return F.when(F.size(ws) >= n, F.transform(heads, run)).otherwise(empty)
+
+    def place(ps: Column) -> Column:
+        first = F.when(F.get(ps, F.lit(0)).rlike(rf"^{WORD}"), 0).otherwise(1)
+        starts = running_starts(F.transform(ps, lambda p: F.length(p)))
+        return F.struct(
+            let(first, lambda f: F.filter(ps, lambda _, i: i % 2 == f)).alias("words"),
+            let(first, lambda f: F.filter(starts, lambda _, i: i % 2 == f)).alias("starts"),
+        )
 
-    return let(spans, lambda ws: F.concat(*[runs_of(ws, n) for n in sizes]))
+    return let(let(pieces(text), place), lambda x: F.concat(*[runs_of(x, n) for n in sizes]))

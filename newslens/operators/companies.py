@@ -41,7 +41,5 @@ def find_organisations(
     articles: DataFrame, names: DataFrame, columns: tuple[str, ...] = TEXT_COLUMNS
 ) -> DataFrame:
     """Add an ``<column>_entities`` array per text column and ``orgs`` over all."""
-    tagged = articles
-    for column in columns:
-        tagged = extract_entities(tagged, names, column, f"{column}_entities")
+    tagged = extract_entities(articles, names, {c: f"{c}_entities" for c in columns})
     return tagged.withColumn("orgs", organisations(*[F.col(f"{c}_entities") for c in columns]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
 from newslens import schemas
-from newslens.functions.text import word_ngrams, word_spans, words
+from newslens.functions.text import word_runs, words
 
 
 def normalized_names(names: DataFrame, name: str = "name") -> DataFrame:
@@ -44,7 +44,7 @@ def entity_hits(
     sizes = name_sizes(names, name)
     runs = (
         texts.select(
-            key, F.explode(word_ngrams(word_spans(F.col(text)), sizes)).alias("run")
+            key, F.explode(word_runs(F.col(text), sizes)).alias("run")
         ).select(key, "run.*")
         if sizes
         else texts.select(key, F.lit("").alias("gram"), F.lit(0).alias("start"), F.lit(0).alias("end"))
@@ -63,40 +63,49 @@ def entity_hits(
     )
 
 
-def extract_entities(
-    texts: DataFrame,
-    names: DataFrame,
-    text: str = "text",
-    output: str = "entities",
-    name: str = "name",
-) -> DataFrame:
-    """Add ``output``, the entities of ``text`` in order; empty when there are none.
+def _entities(text: Column, spans: Column) -> Column:
+    def entity(span: Column) -> Column:
+        word = F.substring(text, span["start"] + 1, span["end"] - span["start"] + 1)
+        return F.struct(
+            F.lit(fv.ORGANISATION).alias("entity_group"),
+            F.lit("1.0").alias("score"),
+            word.alias("word"),
+            span["start"].alias("start"),
+            span["end"].alias("end"),
+        )
+
+    return F.transform(spans, entity)
+
 
-    Each distinct text is searched once and joined back by its hash, so a text
+def extract_entities(texts: DataFrame, names: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add the entities of each text column, in order, as the mapped output column.
+
+    The array is empty when there are none and NULL for a NULL text. Each distinct
+    text of all columns is searched once and joined back by its hash, so a text
     that a third of the rows share costs one search.
     """
-    keyed = texts.withColumn("__key", F.sha2(F.col(text), 256))
-    distinct = keyed.select("__key", F.col(text).alias("__text")).dropDuplicates(["__key"])
-    hits = entity_hits(distinct, "__key", "__text", names, name)
-    spans = hits.groupBy("__key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans")
+    distinct = (
+        texts.select(F.explode(F.array(*columns)).alias("__text"))
+        .where(F.col("__text").isNotNull())
+        .select(F.sha2("__text", 256).alias("__key"), "__text")
+        .dropDuplicates(["__key"])
     )
-    entities = F.transform(
-        "__spans",
-        lambda s: F.struct(
-            F.lit(fv.ORGANISATION).alias("entity_group"),
-            F.lit("1.0").alias("score"),
-            F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"] + 1).alias("word"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-        ),
+    spans = (
+        entity_hits(distinct, "__key", "__text", names)
+        .groupBy("__key")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
     )
     none = F.array().cast(f"array<{schemas.ENTITY.simpleString()}>")
-    return (
-        keyed.join(spans, "__key", "left")
-        .withColumn(output, F.when(F.col(text).isNotNull(), F.coalesce(entities, none)))
-        .drop("__key", "__spans")
-    )
+    tagged = texts
+    for text, output in columns.items():
+        found = _entities(F.col(text), F.col("__spans"))
+        tagged = (
+            tagged.withColumn("__key", F.sha2(F.col(text), 256))
+            .join(spans, "__key", "left")
+            .withColumn(output, F.when(F.col(text).isNotNull(), F.coalesce(found, none)))
+            .drop("__key", "__spans")
+        )
+    return tagged
 
 
 def entities_of_group(entities: Column, group: str = fv.ORGANISATION) -> Column:
