@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
 from newslens.operators.prices import daily_bars
+from newslens.sources.tables import spread
 
 # The vendor's alias codes and one that has no alias.
 EXCHANGES = (*fv.US_EXCHANGES, "LSE")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scanned = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scanned) if name == "documents" else scanned
 
 
 def with_sql(*parts: str) -> str:

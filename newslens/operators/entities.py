@@ -32,32 +32,34 @@ def name_sizes(names: DataFrame, name: str = "name") -> list[int]:
 
 
 def entity_hits(
-    texts: DataFrame, key: str, text: str, names: DataFrame, name: str = "name"
+    texts: DataFrame, key: str, names: DataFrame, name: str = "name"
 ) -> DataFrame:
-    """``(key, start, end)`` of each name found, nested shorter hits removed.
+    """``texts(key, field, text)`` to ``(key, field, start, end)`` of each name found,
+    nested shorter hits removed.
 
     Only the key and the runs are exploded, never the text. A catalogue small
-    enough for Spark to broadcast is probed in the scan's own stage; a larger
-    one costs one shuffle of the runs.
+    enough for Spark to broadcast is probed in the scan's own stage; a larger one
+    costs a shuffle of the runs. The hits that remain are partitioned by the key
+    once; the caller's grouping and join by the key reuse that.
     """
-    catalogue = normalized_names(names, name)
     sizes = name_sizes(names, name)
-    runs = (
-        texts.select(
-            key, F.explode(word_runs(F.col(text), sizes)).alias("run")
-        ).select(key, "run.*")
-        if sizes
-        else texts.select(key, F.lit("").alias("gram"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    if not sizes:
+        return texts.limit(0).select(key, "field", F.lit(0).alias("start"), F.lit(0).alias("end"))
+    runs = texts.select(
+        key, "field", F.explode(word_runs(F.col("text"), sizes)).alias("run")
+    ).select(key, "field", "run.*")
+    hits = (
+        runs.join(normalized_names(names, name).select("gram"), "gram")
+        .select(key, "field", "start", "end")
+        .repartition(key)
     )
-    hits = runs.join(catalogue.select("gram"), "gram").select(key, "start", "end")
     before = (
-        Window.partitionBy(key)
+        Window.partitionBy(key, "field")
         .orderBy("start", F.desc("end"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    furthest = F.max("end").over(before)
     return (
-        hits.withColumn("furthest", furthest)
+        hits.withColumn("furthest", F.max("end").over(before))
         .where(F.col("furthest").isNull() | (F.col("furthest") < F.col("end")))
         .drop("furthest")
     )
@@ -77,35 +79,36 @@ def _entities(text: Column, spans: Column) -> Column:
     return F.transform(spans, entity)
 
 
-def extract_entities(texts: DataFrame, names: DataFrame, columns: dict[str, str]) -> DataFrame:
+def extract_entities(
+    texts: DataFrame, names: DataFrame, columns: dict[str, str], key: str = "id"
+) -> DataFrame:
     """Add the entities of each text column, in order, as the mapped output column.
 
-    The array is empty when there are none and NULL for a NULL text. Each distinct
-    text of all columns is searched once and joined back by its hash, so a text
-    that a third of the rows share costs one search.
+    The array is empty when there are none and NULL for a NULL text. ``key`` is
+    unique. All columns are searched in one pass over the table.
     """
-    distinct = (
-        texts.select(F.explode(F.array(*columns)).alias("__text"))
-        .where(F.col("__text").isNotNull())
-        .select(F.sha2("__text", 256).alias("__key"), "__text")
-        .dropDuplicates(["__key"])
-    )
+    fields = [
+        F.struct(F.lit(i).alias("field"), F.col(text).alias("text"))
+        for i, text in enumerate(columns)
+    ]
+    long = texts.select(key, F.explode(F.array(*fields)).alias("f")).select(key, "f.*")
     spans = (
-        entity_hits(distinct, "__key", "__text", names)
-        .groupBy("__key")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
+        entity_hits(long, key, names)
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(F.struct("field", "start", "end"))).alias("__spans"))
     )
     none = F.array().cast(f"array<{schemas.ENTITY.simpleString()}>")
-    tagged = texts
-    for text, output in columns.items():
-        found = _entities(F.col(text), F.col("__spans"))
-        tagged = (
-            tagged.withColumn("__key", F.sha2(F.col(text), 256))
-            .join(spans, "__key", "left")
-            .withColumn(output, F.when(F.col(text).isNotNull(), F.coalesce(found, none)))
-            .drop("__key", "__spans")
+    tagged = texts.join(spans, key, "left")
+    for i, (text, output) in enumerate(columns.items()):
+        found = _entities(F.col(text), _of_field("__spans", i))
+        tagged = tagged.withColumn(
+            output, F.when(F.col(text).isNotNull(), F.coalesce(found, none))
         )
-    return tagged
+    return tagged.drop("__spans")
+
+
+def _of_field(spans: str, field: int) -> Column:
+    return F.filter(spans, lambda s: s["field"] == field)
 
 
 def entities_of_group(entities: Column, group: str = fv.ORGANISATION) -> Column:
