@@ -227,25 +227,37 @@ PRICED_ARTICLES = """priced_articles as (
 
 
 def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars with every line item as a trade of its supplier."""
+    """Daily bars with every line item as a trade of its supplier.
+
+    Trades are ordered by line; repeated line numbers by price. The order is one
+    long, which keeps the aggregate hash-based (a struct would make it sort).
+    """
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return daily_bars(
         table(spark, sf_dir, "lineitem"),
         "l_suppkey",
         F.col("l_shipdate"),
         "l_extendedprice",
-        F.struct("l_orderkey", "l_linenumber", "l_extendedprice"),
+        line * (1 << 20) + cents % (1 << 20),
         F.col("l_quantity").cast("long"),
     )
 
 
+def label_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bar fields that labels need; the others are never computed."""
+    return price_bars(spark, sf_dir).select("ticker", "date", "open", "adjusted_close")
+
+
 PRICE_BARS = """bars as (
   select l_suppkey as ticker, l_shipdate::date as date,
-    arg_min(l_extendedprice, (l_orderkey, l_linenumber, l_extendedprice)) as open,
+    arg_min(l_extendedprice, ord) as open,
     max(l_extendedprice) as high, min(l_extendedprice) as low,
-    arg_max(l_extendedprice, (l_orderkey, l_linenumber, l_extendedprice)) as close,
-    arg_max(l_extendedprice, (l_orderkey, l_linenumber, l_extendedprice)) as adjusted_close,
+    arg_max(l_extendedprice, ord) as close,
+    arg_max(l_extendedprice, ord) as adjusted_close,
     sum(l_quantity::bigint)::bigint as volume
-  from lineitem group by 1, 2)"""
+  from (select *, (l_orderkey * 10 + l_linenumber) * 1048576
+    + round(l_extendedprice * 100)::bigint % 1048576 as ord from lineitem) group by 1, 2)"""
 
 # Each article with each bar of its window; md is the least distance to a week on.
 WINDOWED = """windowed as (

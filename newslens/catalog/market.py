@@ -13,7 +13,7 @@ _WINDOWED = fx.with_sql(fx.PRICED_ARTICLES, fx.PRICE_BARS, fx.WINDOWED)
 
 
 def _attached(spark, sf_dir):
-    return prices.attach_prices(fx.priced_articles(spark, sf_dir), fx.price_bars(spark, sf_dir))
+    return prices.attach_prices(fx.priced_articles(spark, sf_dir), fx.label_bars(spark, sf_dir))
 
 
 @register(
@@ -37,9 +37,8 @@ from priced_articles a left join bars b
 group by 1, 2, 3""",
 )
 def attach_prices(spark, sf_dir):
-    return _attached(spark, sf_dir).select(
-        "id", "ticker", "date_published", F.to_json("prices").alias("prices")
-    )
+    priced = prices.attach_prices(fx.priced_articles(spark, sf_dir), fx.price_bars(spark, sf_dir))
+    return priced.select("id", "ticker", "date_published", F.to_json("prices").alias("prices"))
 
 
 @register(
