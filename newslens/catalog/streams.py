@@ -1 +1,80 @@
+"""Queries that run a stream over the given tables to its end."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from newslens.catalog import fixtures as fx
+from newslens.catalog import register
+from newslens.settings import shared_dir
+from newslens.streaming import incremental, price_join
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a file stream."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", f"{name}.parquet")
+        .parquet(sf_dir)
+    )
+
+
+_SEQUENCE = ["l_shipdate", "l_linenumber", "l_partkey", "o_totalprice"]
+
+
+@register(
+    "stream_incremental_merge",
+    """with last as (
+  select l_orderkey as k, arg_max(l_extendedprice, (l_shipdate, l_linenumber, l_partkey, l_extendedprice)) as p,
+    arg_max(l_linestatus, (l_shipdate, l_linenumber, l_partkey, l_extendedprice)) as s
+  from lineitem group by 1)
+select coalesce(o_orderkey, k) as o_orderkey, o_custkey,
+  case when k is not null then p else o_totalprice end as o_totalprice,
+  case when k is not null then s else o_orderstatus end as o_orderstatus
+from orders full join last on k = o_orderkey""",
+)
+def stream_incremental_merge(spark, sf_dir):
+    updates = stream(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_extendedprice").alias("o_totalprice"),
+        F.col("l_linestatus").alias("o_orderstatus"),
+        "l_shipdate",
+        "l_linenumber",
+        "l_partkey",
+    )
+    base = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"
+    )
+    folder = shared_dir(spark, "updates")
+    log = f"{folder}/log"
+    incremental.log_updates(updates, ["o_orderkey"], _SEQUENCE, log, f"{folder}/checkpoint")
+    return incremental.current(spark, base, log, ["o_orderkey"], _SEQUENCE)
+
+
+@register(
+    "stream_attach_prices",
+    """select o_orderkey as id, a.ticker, o_orderdate::date as published, l_shipdate::date as traded,
+  l_extendedprice as price
+from (select *, o_custkey % (select count(*) from supplier) as ticker from orders) a
+join lineitem on l_suppkey = a.ticker and l_shipdate between o_orderdate and o_orderdate + to_days(28)""",
+)
+def stream_attach_prices(spark, sf_dir):
+    n_tickers = fx.table(spark, sf_dir, "supplier").count()
+    articles = stream(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        (F.col("o_custkey") % n_tickers).alias("ticker"),
+        F.col("o_orderdate").cast("timestamp").alias("published"),
+    )
+    trades = stream(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("ticker"),
+        F.col("l_shipdate").cast("timestamp").alias("traded"),
+        F.col("l_extendedprice").alias("price"),
+    )
+    folder = shared_dir(spark, "trades")
+    joined = price_join.join_trades(articles, trades)
+    found = price_join.run_to_table(joined, f"{folder}/table", f"{folder}/checkpoint")
+    return found.withColumn("published", F.to_date("published")).withColumn(
+        "traded", F.to_date("traded")
+    )

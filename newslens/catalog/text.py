@@ -8,9 +8,11 @@ from newslens import fixed_values as fv
 from newslens import schemas
 from newslens.catalog import fixtures as fx
 from newslens.catalog import register
+from newslens.catalog.relational import HI, LO
 from newslens.functions import strings
 from newslens.functions import text as tx
 from newslens.operators import companies, entities, matching, summaries
+from newslens.plans import enrich
 
 from newslens.sources import pages as page_source
 from newslens.sources import sitemaps, symbols_json
@@ -324,10 +326,8 @@ def ngram_idf(spark, sf_dir):
     return matching.ngram_idf(names).withColumn("idf", F.round("idf", 6))
 
 
-_KNN = fx.with_sql(
-    fx.SYMBOLS,
-    fx.TICKER_NAMES,
-    "q as (select distinct lower(corp) as name from ticker_names)",
+_KNN_PARTS = (
+    "q as (select distinct lower(corp) as name from ticker_names where length(corp) >= 3)",
     """ig as (select id, substring(lower(name), p, 3) as g, count(*) as tf
   from (select id, name, unnest(range(1, length(name) - 1)) as p from symbols) group by 1, 2)""",
     """qg as (select name, substring(name, p, 3) as g, count(*) as tf
@@ -346,6 +346,7 @@ _KNN = fx.with_sql(
     """best as (select name, id, distance from near
   qualify row_number() over (partition by name order by distance, id) = 1)""",
 )
+_KNN = fx.with_sql(fx.SYMBOLS, fx.TICKER_NAMES, *_KNN_PARTS)
 
 
 def _matched(spark, sf_dir):
@@ -528,17 +529,28 @@ def _orgs(spark, sf_dir):
     )
 
 
-_CANDIDATES = fx.with_sql(
-    fx.ARTICLES,
-    fx.SYMBOLS,
-    r"""cut as (select id, col, generate_subscripts(ws, 1) as pos, unnest(ws) as w from (
-    select id, 1 as col, regexp_extract_all(headline, '([\p{L}\p{N}]+)', 1) as ws from articles
-    union all select id, 2, regexp_extract_all(description, '([\p{L}\p{N}]+)', 1) from articles
-    union all select id, 3, regexp_extract_all(source, '([\p{L}\p{N}]+)', 1) from articles))""",
-    """pairs as (select id, lower(w || ' ' || lead(w) over (partition by id, col order by pos)) as gram,
+def _candidate_parts(third: str, source: str) -> tuple[str, ...]:
+    """Names in the headline, the description and a third column of a table."""
+    ws = r"regexp_extract_all({0}, '([\p{{L}}\p{{N}}]+)', 1)"
+    return (
+        f"""cut as (select id, col, generate_subscripts(ws, 1) as pos, unnest(ws) as w from (
+    select id, 1 as col, {ws.format('headline')} as ws from {source}
+    union all select id, 2, {ws.format('description')} from {source}
+    union all select id, 3, {ws.format(third)} from {source}))""",
+        """pairs as (select id, lower(w || ' ' || lead(w) over (partition by id, col order by pos)) as gram,
     w || ' ' || lead(w) over (partition by id, col order by pos) as word from cut)""",
-    "found as (select distinct p.id, p.word from pairs p join symbols s on s.name = p.gram)",
-)
+        "found as (select distinct p.id, p.word from pairs p join symbols s on s.name = p.gram)",
+    )
+
+
+_CANDIDATES = fx.with_sql(fx.ARTICLES, fx.SYMBOLS, *_candidate_parts("source", "articles"))
+
+
+def _resolved_sql(source: str) -> str:
+    return f"""select id, topic, similarity, case when similarity > {fv.COMPANY_SIMILARITY_THRESHOLD}
+    or regexp_matches(lower(topic), '{fv.CORP_SUFFIX_PATTERN}') then topic else '' end as corp
+from (select a.id, a.topic, coalesce(max({levenshtein_sql('a.topic', 'f.word')}), 0) as similarity
+  from {source} a left join found f on f.id = a.id group by 1, 2)"""
 
 
 @register(
@@ -565,11 +577,7 @@ def explode_orgs_outer(spark, sf_dir):
 
 @register(
     "resolve_company",
-    _CANDIDATES
-    + f"""select id, topic, similarity, case when similarity > 50 or regexp_matches(lower(topic), '{fv.CORP_SUFFIX_PATTERN}')
-  then topic else '' end as corp
-from (select a.id, a.topic, coalesce(max({levenshtein_sql('a.topic', 'f.word')}), 0) as similarity
-  from articles a left join found f on f.id = a.id group by 1, 2)""",
+    _CANDIDATES + _resolved_sql("articles"),
 )
 def resolve_company(spark, sf_dir):
     resolved = companies.resolve_company(
@@ -616,3 +624,50 @@ def summary_sql(key: str, text: str, source: str) -> tuple[str, ...]:
 def summarize_extractive(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     return summaries.summarize_extractive(docs)
+
+
+# --- the chain of stages ----------------------------------------------------
+
+
+@register(
+    "enrich_articles",
+    fx.with_sql(
+        fx.ARTICLES,
+        fx.SYMBOLS,
+        *summary_sql("id", "text", "articles"),
+        """todo as (select a.*, s.summary from articles a join summarized s on s.id = a.id
+  where starts_with(a.topic_url_path, '/stream'))""",
+        *_candidate_parts("summary", "todo"),
+        f"resolved as ({_resolved_sql('todo')})",
+        f"""ticker_names as (select r.id, r.corp from resolved r join articles a on a.id = r.id
+  where r.corp <> '' and a.date_published > timestamp '{LO} 00:00:00'
+    and a.date_published < timestamp '{HI} 00:00:00')""",
+        *_KNN_PARTS,
+    )
+    + """select s.id, s.summary, r.corp, y.code as symbol, y.exchange, t.id is not null as tried
+from summarized s left join resolved r on r.id = s.id left join ticker_names t on t.id = s.id
+left join best b on b.name = lower(t.corp) left join symbols y on y.id = b.id""",
+)
+def enrich_articles(spark, sf_dir):
+    articles = fx.articles(spark, sf_dir)
+    nothing = enrich.StageTables(
+        summaries=spark.createDataFrame([], "id long, summary string"),
+        companies=spark.createDataFrame([], "id long, corp string"),
+        tickers=spark.createDataFrame([], "id long, symbol string, exchange string"),
+        article_prices=spark.createDataFrame([], "id long, prices array<struct<open:double>>"),
+        predictions=spark.createDataFrame([], "id long, prediction string"),
+    )
+    done = enrich.enrich_articles(
+        articles,
+        fx.symbols(spark, sf_dir),
+        nothing,
+        LO,
+        HI,
+        similarity=companies.best_levenshtein,
+    )
+    tickers = done.tickers.withColumn("tried", F.lit(True))
+    return (
+        done.summaries.join(done.companies, "id", "left")
+        .join(tickers, "id", "left")
+        .withColumn("tried", F.coalesce("tried", F.lit(False)))
+    )

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslens.settings import shared_dir
+from newslens.settings import stored
 
 PLACES = 6
 _ROUNDING = 10.0**-PLACES
@@ -54,14 +54,6 @@ def _distinct_vectors(df: DataFrame, key: str, vector: str, k: int) -> DataFrame
     return _with_unit(distinct)
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table that several passes read; a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
@@ -161,7 +153,7 @@ class VectorIndex:
         assigned = vectors.withColumn("at", _nearest_cell(matrix)("unit")).select(
             "unit", "ids", F.col("at.cell").alias("cell"), F.col("at.angle").alias("angle")
         )
-        cells = _stored(assigned, "cells")
+        cells = stored(assigned, "cells")
         radius, counts = np.full(len(matrix), -1.0), np.zeros(len(matrix), dtype=np.int64)
         for row in cells.groupBy("cell").agg(F.max("angle"), F.count("*")).collect():
             radius[row[0]], counts[row[0]] = row[1], row[2]
@@ -191,7 +183,7 @@ class VectorIndex:
 
     def _visit(self, routed: DataFrame, blocks: DataFrame) -> DataFrame:
         """``routed(qid, unit, cell)`` to ``(qid, distance, ids)``, ``k`` per visit."""
-        routed = _stored(routed, "routes")
+        routed = stored(routed, "routes")
         counts = np.zeros(len(self.pivots), dtype=np.int64)
         for row in routed.groupBy("cell").count().collect():
             counts[row[0]] = row[1]
@@ -226,7 +218,7 @@ class VectorIndex:
         first = asked.select("qid", "unit", F.explode(route("unit", F.lit(0.0))).alias("cell"))
         found = self._visit(first, blocks)
         if probes is None:
-            found = _stored(self._ranked(found), "nearest")
+            found = stored(self._ranked(found), "nearest")
             # The widest angle that can still round to the k-th distance.
             widest = F.acos(F.greatest(1 - F.col("distance") - _ROUNDING, F.lit(-1.0)))
             kth = found.where(F.col("rank") == self.k).select("qid", widest.alias("bound"))
