@@ -148,13 +148,14 @@ class NameIndex:
         """
         least = 1.0 - max_distance
         queries = _weighted(name_ngrams(names, self.n), self.idf, self.size)
-        in_prefix = F.col("rest") >= (least - _SLACK) * F.col("norm")
+        # A name whose n-grams are in every index name has no direction: no cosine.
+        in_prefix = (F.col("norm") > 0) & (F.col("rest") >= (least - _SLACK) * F.col("norm"))
         seen = F.col("df") > 0
         left = queries.where(in_prefix & seen).select(F.col("name").alias("query"), "gram")
         right = self.weighted.where(in_prefix).select("name", "gram")
         pairs = left.join(right, "gram").select("query", "name").distinct()
 
-        q = _vectors(queries.where(seen | (F.col("norm") > 0))).select(
+        q = _vectors(queries.where(seen)).select(
             F.col("name").alias("query"),
             F.col("norm").alias("query_norm"),
             F.col("weights").alias("query_weights"),
