@@ -21,6 +21,7 @@ from newslens import schemas
 from newslens.functions.text import sentences, words
 from newslens.ml.models import LoadModel, model_column
 from newslens.operators.entities import extract_entities
+from newslens.operators.skew import lookup_join
 from newslens.operators.summaries import summarize_extractive
 
 DEFAULT_MODEL_FOLDER = "assets/models"
@@ -88,7 +89,8 @@ class TextStage(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, D
             .dropDuplicates([_KEY])
         )
         done = work(distinct).select(_KEY, F.col(output))
-        return keyed.join(done, _KEY, "left").drop(_KEY)
+        others = [c for c, t in df.dtypes if c != text and not t.startswith("map")]
+        return lookup_join(keyed, done, [_KEY], others or [_KEY]).drop(_KEY)
 
 
 class NamedEntityRecognizer(TextStage):

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
 from newslens.functions.text import char_ngrams
+from newslens.operators.skew import lookup_join
 
 # Similarities are compared after rounding to this many places.
 PLACES = 6
@@ -70,7 +71,7 @@ def _weighted(grams: DataFrame, idf: DataFrame, size: DataFrame) -> DataFrame:
     first. N-grams the index has never seen weigh ``ln(m + 1)``: they match
     nothing but count in the norm."""
     m = size.scalar()
-    weighed = grams.join(idf, "gram", "left").select(
+    weighed = lookup_join(grams, idf, ["gram"], ["name"]).select(
         "name",
         "gram",
         F.coalesce("df", F.lit(0)).alias("df"),
@@ -164,16 +165,16 @@ class NameIndex:
             _dot(F.col("query_weights"), F.col("weights")) / (F.col("query_norm") * F.col("norm")),
             PLACES,
         )
+        indexed = lookup_join(pairs, _vectors(self.weighted), ["name"], ["query"], "inner")
         close = (
-            pairs.join(_vectors(self.weighted), "name")
-            .join(q, "query")
+            lookup_join(indexed, q, ["query"], ["name"], "inner")
             .select("query", "name", F.round(1 - cosine, PLACES).alias("distance"))
             .where(F.col("distance") < max_distance)
         )
         if k == 1:
             lowest = self.ids.groupBy("name").agg(F.min("id").alias("id"))
             return (
-                close.join(lowest, "name")
+                lookup_join(close, lowest, ["name"], ["query"], "inner")
                 .groupBy(F.col("query").alias("name"))
                 .agg(F.min(F.struct("distance", "id")).alias("best"))
                 .select(
@@ -208,18 +209,20 @@ def nearest_names(
     is near enough. ``queries`` needs a ``name`` column."""
     found = (
         index.neighbours(queries.select("name"), k, max_distance)
-        .groupBy("name")
+        .groupBy(F.col("name").alias("__name"))
         .agg(F.sort_array(F.collect_list(F.struct("rank", "neighbor", "distance"))).alias("found"))
         .select(
-            F.col("name").alias("__name"),
+            "__name",
             F.transform(
                 "found", lambda f: F.struct(f["neighbor"].alias("neighbor"), f["distance"].alias("distance"))
             ).alias("knn"),
         )
     )
     none = F.array().cast(found.schema["knn"].dataType)
+    named = queries.withColumn("__name", F.lower("name"))
+    spread_by = [c for c in queries.columns if c != "name"] or ["name"]
     return (
-        queries.join(found, F.lower(queries["name"]) == found["__name"], "left")
+        lookup_join(named, found, ["__name"], spread_by)
         .withColumn("knn", F.coalesce("knn", none))
         .drop("__name")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
 from newslens.functions.strings import normalize_exchange, url_encode
+from newslens.operators.skew import lookup_join
 
 BAR_FIELDS = ("date", "open", "high", "low", "close", "adjusted_close", "volume")
 
@@ -86,21 +87,21 @@ def attach_prices(
     bars: DataFrame,
     published: str = "date_published",
     days: int = fv.PRICE_WINDOW_DAYS,
+    id_col: str = "id",
 ) -> DataFrame:
     """Add ``prices``: the ticker's bars from publication to ``days`` later, both
     inclusive, by date; NULL when there are none.
 
-    A range join as one equi join on (ticker, page). The page side has one row per
-    key, so a ticker with a third of the articles is only skew on the article
-    side, which adaptive execution splits, and no article row is ever grouped.
+    A range join as one equi join on (ticker, page): articles are shuffled once and
+    never grouped, and a ticker with a third of them is split over tasks.
     """
     day = F.to_date(F.col(published))
     in_window = F.filter(
         "page_bars", lambda b: (b["date"] >= day) & (b["date"] <= F.date_add(day, days))
     )
+    paged = articles.withColumn("page", _page(day, days))
     return (
-        articles.withColumn("page", _page(day, days))
-        .join(bar_pages(bars, days), ["ticker", "page"], "left")
+        lookup_join(paged, bar_pages(bars, days), ["ticker", "page"], [id_col])
         .withColumn("prices", in_window)
         .withColumn("prices", F.when(F.size("prices") > 0, F.col("prices")))
         .drop("page", "page_bars")

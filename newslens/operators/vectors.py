@@ -102,26 +102,23 @@ def _cells_to_visit(pivots: np.ndarray, radius: np.ndarray, probes: int | None):
 
 
 def _block_top(k: int, query_type: str):
-    """Top ``k`` of an index block for each query of a query block."""
+    """The ``k`` nearest of an index block for each query of a query block, as flat
+    arrays: the query, the distance and the position in the index block."""
 
-    @F.pandas_udf(f"array<struct<qid:{query_type},near:array<struct<distance:double,slot:int>>>>")
+    @F.pandas_udf(f"qid array<{query_type}>, distance array<double>, slot array<int>")
     def top(
-        qids: pd.Series, queries: pd.Series, units: pd.Series, first_ids: pd.Series
-    ) -> pd.Series:
+        qids: pd.Series, queries: pd.Series, units: pd.Series, firsts: pd.Series
+    ) -> pd.DataFrame:
         out = []
-        for ids, qs, us, firsts in zip(qids, queries, units, first_ids):
+        for ids, qs, us, lowest in zip(qids, queries, units, firsts):
             cosines = np.round(_matrix(qs) @ _matrix(us).T, PLACES)
             distances = np.round(1.0 - cosines, PLACES)
-            ties = np.broadcast_to(np.asarray(firsts), distances.shape)
-            order = np.lexsort((ties, distances), axis=1)[:, :k]
+            kept = min(k, distances.shape[1])
+            ties = np.broadcast_to(np.asarray(lowest), distances.shape)
+            order = np.lexsort((ties, distances), axis=1)[:, :kept]
             near = np.take_along_axis(distances, order, axis=1)
-            out.append(
-                [
-                    {"qid": q, "near": [{"distance": d, "slot": int(s)} for d, s in zip(ds, ss)]}
-                    for q, ds, ss in zip(ids, near, order)
-                ]
-            )
-        return pd.Series(out)
+            out.append((np.repeat(np.asarray(ids), kept), near.ravel(), order.ravel().astype("int32")))
+        return pd.DataFrame(out, columns=["qid", "distance", "slot"])
 
     return top
 
@@ -147,7 +144,7 @@ class VectorIndex:
     ) -> "VectorIndex":
         vectors = _distinct_vectors(index, key, vector, k)
         if pivots is None:
-            pivots = int(np.sqrt(vectors.count())) or 1
+            pivots = int(np.sqrt(index.count())) or 1
         chosen = vectors.select("unit").orderBy(F.xxhash64("unit")).limit(min(pivots, max_pivots))
         matrix = np.array([r.unit for r in chosen.collect()], dtype=np.float64)
         assigned = vectors.withColumn("at", _nearest_cell(matrix)("unit")).select(
@@ -196,17 +193,13 @@ class VectorIndex:
         )
         work = packed.join(blocks, "cell")
         qid_type = routed.schema["qid"].dataType.simpleString()
-        found = work.select(
-            "slots",
-            F.explode(
-                _block_top(self.k, qid_type)(
-                    F.col("queries.qid"), F.col("queries.unit"), F.col("units"), F.col("firsts")
-                )
-            ).alias("q"),
+        nearest = _block_top(self.k, qid_type)(
+            F.col("queries.qid"), F.col("queries.unit"), F.col("units"), F.col("firsts")
         )
-        return found.select("slots", F.col("q.qid").alias("qid"), F.explode("q.near").alias("n")).select(
-            "qid", F.col("n.distance").alias("distance"), F.get("slots", F.col("n.slot")).alias("ids")
+        found = work.select("slots", nearest.alias("near")).select(
+            "slots", F.explode(F.arrays_zip("near.qid", "near.distance", "near.slot")).alias("n")
         )
+        return found.select("n.qid", "n.distance", F.get("slots", F.col("n.slot")).alias("ids"))
 
     def neighbours(
         self, queries: DataFrame, key: str = "id", vector: str = "vector", probes: int | None = None

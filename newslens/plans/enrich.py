@@ -13,7 +13,7 @@ from newslens.operators import companies, matching, stages
 from newslens.operators.merge import partial_update
 from newslens.operators.prices import attach_prices
 from newslens.operators.summaries import summarize_extractive
-from newslens.settings import JobSettings
+from newslens.settings import JobSettings, stored
 
 
 @dataclass(frozen=True)
@@ -91,13 +91,17 @@ def enrich_articles(
     settings: JobSettings | None = None,
     similarity=companies.best_partial_ratio,
 ) -> StageTables:
-    """Summaries, companies and tickers of everything pending, merged into ``done``."""
+    """Summaries, companies and tickers of everything pending, merged into ``done``.
+
+    The new rows of each stage are written before the next stage reads them, so no
+    stage is computed twice and a lost executor costs no finished stage.
+    """
     settings = settings or JobSettings()
 
     def after(**new: DataFrame) -> StageTables:
         tables = dict(done.__dict__)
         for name, rows in new.items():
-            tables[name] = partial_update(tables[name], rows, ["id"])
+            tables[name] = partial_update(tables[name], stored(rows, name), ["id"])
         return StageTables(**tables)
 
     done = after(summaries=summarize_pending(articles, done, settings))
