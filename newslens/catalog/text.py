@@ -446,7 +446,26 @@ def partial_levenshtein(spark, sf_dir):
     return _pairs(spark, sf_dir).select("id", score.alias("similarity"))
 
 
-@register("partial_ratio_udf")
+def ratio_sql(a: str, b: str) -> str:
+    """Best insert/delete similarity over all windows, with the common subsequence
+    counted bit by bit: one integer per row, one step per character."""
+
+    def best(short: str, long: str) -> str:
+        n, window = f"length({short})", f"substring({long}, greatest(i, 0) + 1, least(i + length({short}), length({long})) - greatest(i, 0))"
+        mask = f"""list_sum(list_transform(range(0, {n}), lambda p:
+          case when substring({short}, p + 1, 1) = c then 1::bigint << p::bigint else 0::bigint end))::bigint"""
+        row = f"""list_reduce(list_transform(string_split({window}, ''), lambda c: {mask}),
+          lambda r, m: ((r + (r & m)) | (r - (r & m))) & ((1::bigint << {n}) - 1), (1::bigint << {n}) - 1)"""
+        return f"""list_max(list_transform(range(1 - {n}, length({long})), lambda i:
+          200.0::double * ({n} - bit_count({row})) / ({n} + length({window}))))"""
+
+    return f"""case when coalesce({a}, '') = '' or coalesce({b}, '') = '' then 0
+  when length({a}) < length({b}) then round_even({best(a, b)}, 0)
+  when length({a}) > length({b}) then round_even({best(b, a)}, 0)
+  else round_even(greatest({best(a, b)}, {best(b, a)}), 0) end::int"""
+
+
+@register("partial_ratio_udf", _PAIRS + f"select id, {ratio_sql('a', 'b')} as similarity from pairs")
 def partial_ratio_udf(spark, sf_dir):
     score = strings.partial_ratio("a", "b")
     return _pairs(spark, sf_dir).select("id", score.alias("similarity"))
@@ -546,10 +565,10 @@ def _candidate_parts(third: str, source: str) -> tuple[str, ...]:
 _CANDIDATES = fx.with_sql(fx.ARTICLES, fx.SYMBOLS, *_candidate_parts("source", "articles"))
 
 
-def _resolved_sql(source: str) -> str:
+def _resolved_sql(source: str, score=levenshtein_sql) -> str:
     return f"""select id, topic, similarity, case when similarity > {fv.COMPANY_SIMILARITY_THRESHOLD}
     or regexp_matches(lower(topic), '{fv.CORP_SUFFIX_PATTERN}') then topic else '' end as corp
-from (select a.id, a.topic, coalesce(max({levenshtein_sql('a.topic', 'f.word')}), 0) as similarity
+from (select a.id, a.topic, coalesce(max({score('a.topic', 'f.word')}), 0) as similarity
   from {source} a left join found f on f.id = a.id group by 1, 2)"""
 
 
@@ -586,7 +605,7 @@ def resolve_company(spark, sf_dir):
     return resolved.select("id", "topic", "similarity", "corp")
 
 
-@register("resolve_company_ratio")
+@register("resolve_company_ratio", _CANDIDATES + _resolved_sql("articles", ratio_sql))
 def resolve_company_ratio(spark, sf_dir):
     return companies.resolve_company(_orgs(spark, sf_dir)).select("id", "topic", "similarity", "corp")
 
