@@ -165,33 +165,29 @@ class NameIndex:
             _dot(F.col("query_weights"), F.col("weights")) / (F.col("query_norm") * F.col("norm")),
             PLACES,
         )
-        indexed = lookup_join(pairs, _vectors(self.weighted), ["name"], ["query"], "inner")
+        # Vectors and ids are both grouped by name: this join needs no shuffle.
+        indexed = _vectors(self.weighted).join(self._carriers(k), "name")
+        compared = lookup_join(pairs, indexed, ["name"], ["query"], "inner")
         close = (
-            lookup_join(indexed, q, ["query"], ["name"], "inner")
-            .select("query", "name", F.round(1 - cosine, PLACES).alias("distance"))
+            lookup_join(compared, q, ["query"], ["name"], "inner")
+            .select("query", "ids", F.round(1 - cosine, PLACES).alias("distance"))
             .where(F.col("distance") < max_distance)
+            .select(F.col("query").alias("name"), F.explode("ids").alias("neighbor"), "distance")
         )
         if k == 1:
-            lowest = self.ids.groupBy("name").agg(F.min("id").alias("id"))
-            return (
-                lookup_join(close, lowest, ["name"], ["query"], "inner")
-                .groupBy(F.col("query").alias("name"))
-                .agg(F.min(F.struct("distance", "id")).alias("best"))
-                .select(
-                    "name",
-                    F.lit(1).alias("rank"),
-                    F.col("best.id").alias("neighbor"),
-                    F.col("best.distance").alias("distance"),
-                )
-            )
-        lowest = _first_rows(self.ids, "name", ["id"], k).drop("rank")
-        ranked = _first_rows(
-            close.join(lowest, "name").drop("name"), "query", ["distance", "id"], k
-        )
-        return ranked.select(
-            F.col("query").alias("name"), "rank", F.col("id").alias("neighbor"), "distance"
+            best = close.groupBy("name").agg(F.min(F.struct("distance", "neighbor")).alias("best"))
+            return best.select("name", F.lit(1).alias("rank"), "best.neighbor", "best.distance")
+        return _first_rows(close, "name", ["distance", "neighbor"], k).select(
+            "name", "rank", "neighbor", "distance"
         )
 
+    def _carriers(self, k: int) -> DataFrame:
+        """``(name, ids)``: the ``k`` lowest ids of each name; more can never be wanted."""
+        if k == 1:
+            return self.ids.groupBy("name").agg(F.array(F.min("id")).alias("ids"))
+        lowest = _first_rows(self.ids, "name", ["id"], k)
+        return lowest.groupBy("name").agg(F.collect_list("id").alias("ids"))
+
 
 def _first_rows(df: DataFrame, key: str, order: list[str], k: int) -> DataFrame:
     """The first ``k`` rows per key. Spark limits each group before the shuffle."""

@@ -107,7 +107,22 @@ def expand(
     return pages
 
 
+def _absolute(link: Column, base: Column) -> Column:
+    """A link as the file at ``base`` means it: full, host-relative or file-relative."""
+    scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//", 1)
+    origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/)", 1)
+    return (
+        F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(scheme, link))
+        .when(link.startswith("/"), F.concat(origin, link))
+        .otherwise(F.concat(folder, link))
+    )
+
+
 def robots_sitemaps(robots: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
-    """Sitemap URLs announced by robots files."""
-    found = F.regexp_extract_all(F.col(body), F.lit(r"(?im)^\s*sitemap:\s*(\S+)"), F.lit(1))
-    return robots.select(F.col(url).alias("robots"), F.explode(found).alias("sitemap"))
+    """Sitemap URLs announced by robots files, relative ones made absolute."""
+    found = F.regexp_extract_all(F.col(body), F.lit(r"(?im)^\s*sitemap:[ \t]*(\S+)"), F.lit(1))
+    return robots.select(F.col(url).alias("robots"), F.explode(found).alias("link")).select(
+        "robots", _absolute(F.col("link"), F.col("robots")).alias("sitemap")
+    )

@@ -57,11 +57,14 @@ def test_alternate_links_and_direct_urlset(spark, fetched):
 
 
 def test_robots(spark):
-    df = spark.createDataFrame(
-        [("r", "User-agent: *\nSitemap: https://a/1.xml\n sitemap:https://a/2.xml\n#Sitemap: no")],
-        "url string, body string",
+    text = (
+        "User-agent: *\r\nSitemap: https://a/1.xml\r\n sitemap:https://a/2.xml\n#Sitemap: no\n"
+        "SITEMAP: /3.xml\nSitemap: 4.xml\nSitemap: //b/5.xml\nSitemap:\n"
     )
-    assert sorted(r.sitemap for r in sitemaps.robots_sitemaps(df).collect()) == ["https://a/1.xml", "https://a/2.xml"]
+    df = spark.createDataFrame([("https://x.com/d/robots.txt", text)], "url string, body string")
+    assert [r.sitemap for r in sitemaps.robots_sitemaps(df).collect()] == [
+        "https://a/1.xml", "https://a/2.xml", "https://x.com/3.xml", "https://x.com/d/4.xml", "https://b/5.xml",
+    ]
 
 
 def page(article, crumbs=("Home", "Companies", "Oil")):
