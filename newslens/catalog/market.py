@@ -93,6 +93,14 @@ def forward_label(spark, sf_dir):
     return _labelled(spark, sf_dir)
 
 
+@register("label_from_bars", _WINDOWED + _LABEL.replace("select id, date,", "select id, date as future_date,"))
+def label_from_bars(spark, sf_dir):
+    labelled = prices.label_from_bars(
+        fx.priced_articles(spark, sf_dir), fx.label_bars(spark, sf_dir)
+    )
+    return labelled.select("id", "future_date", "label")
+
+
 @register(
     "label_index",
     fx.with_sql(fx.PRICED_ARTICLES, fx.PRICE_BARS, fx.WINDOWED, f"labelled as ({_LABEL})")

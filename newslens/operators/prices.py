@@ -160,3 +160,35 @@ def forward_label(
     return labelled.drop("prices").withColumn(
         "label", F.when(rises, F.lit(fv.RISE)).otherwise(F.lit(fv.FALL))
     )
+
+
+def label_from_bars(
+    articles: DataFrame,
+    bars: DataFrame,
+    published: str = "date_published",
+    days: int = fv.PRICE_WINDOW_DAYS,
+    horizon: int = fv.LABEL_HORIZON_DAYS,
+    tie: str = "both",
+    id_col: str = "id",
+) -> DataFrame:
+    """:func:`attach_prices` and :func:`forward_label` in one, without price arrays on
+    articles: adds ``future_date`` and ``label``.
+
+    The label depends on the ticker and the day only. It is computed once per such
+    pair, found by an aggregate that combines before its shuffle, and joined back:
+    the work on arrays grows with tickers and days, not with articles.
+    """
+    dated = articles.withColumn("__day", F.to_date(F.col(published)))
+    pairs = dated.select("ticker", "__day").distinct()
+    priced = attach_prices(pairs, bars, "__day", days, "__day")
+    outcome = F.struct(F.col("future_price.date").alias("future_date"), "label")
+    labels = (
+        forward_label(priced, "__day", horizon, tie)
+        .groupBy("ticker", "__day")
+        .agg(F.collect_list(outcome).alias("__labels"))
+    )
+    return (
+        lookup_join(dated, labels, ["ticker", "__day"], [id_col], "inner")
+        .withColumn("__label", F.explode("__labels"))
+        .select(*articles.columns, "__label.*")
+    )

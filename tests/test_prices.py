@@ -105,3 +105,21 @@ def test_request_plan(spark):
     assert urls[1].endswith("/eod/AAPL.US?fmt=json&from=2024-01-01&to=2024-01-29")
     assert "/VOD.LSE?" in urls[2]
     assert sorted(r.n_articles for r in prices.distinct_requests(plan).collect()) == [1, 2]
+
+
+def test_labels_from_bars_equal_labels_from_arrays(spark):
+    start = date(2024, 1, 1)
+    articles = spark.createDataFrame(
+        [(i, "H" if i % 3 else f"T{i % 5}", start + timedelta(days=i % 50)) for i in range(200)],
+        "id long, ticker string, date_published date",
+    )
+    bars = spark.createDataFrame(
+        [(t, start + timedelta(days=d), float(d % 7), float(d % 5)) for t in ("H", "T0", "T1") for d in range(0, 60, 2)],
+        f"ticker string, {BAR}",
+    )
+    for tie in ("both", "latest"):
+        arrays = prices.forward_label(prices.attach_prices(articles, bars), tie=tie)
+        expected = sorted(map(tuple, arrays.select("id", "future_price.date", "label").collect()))
+        got = prices.label_from_bars(articles, bars, tie=tie)
+        assert sorted(map(tuple, got.select("id", "future_date", "label").collect())) == expected
+        assert len(expected) > len({i for i, *_ in expected}) or tie == "latest"
