@@ -12,13 +12,10 @@ from newslens.streaming import incremental, price_join
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a file stream."""
+    """A given table as a file stream. A stream wants a folder or a pattern; the
+    pattern fits a table that is one file as well as one that is a folder."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}[.]parquet")
 
 
 _SEQUENCE = ["l_shipdate", "l_linenumber", "l_partkey", "o_totalprice"]

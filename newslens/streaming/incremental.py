@@ -22,6 +22,8 @@ def log_updates(
             f"{log}/batch_id={batch_id}"
         )
 
+    # An empty folder with the schema, so that the log can be read before any update.
+    write(updates.sparkSession.createDataFrame([], updates.schema), -1)
     query = (
         updates.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)

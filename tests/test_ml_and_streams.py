@@ -159,3 +159,29 @@ def test_streamed_price_join_equals_batch_over_several_files(spark):
         (i, k, p, d, x) for i, k, p in articles for j, d, x in trades if j == k and p <= d <= p + timedelta(days=7)
     )
     assert sorted(map(tuple, got.collect())) == expected
+
+
+def test_a_log_without_updates_leaves_the_base_as_it_is(spark):
+    folder = shared_dir(spark, "test")
+    schema = "id long, v string, seq long"
+    spark.createDataFrame([], schema).write.parquet(f"{folder}/in")
+    updates = spark.readStream.schema(schema).parquet(f"{folder}/in")
+    incremental.log_updates(updates, ["id"], ["seq"], f"{folder}/log", f"{folder}/check")
+    base = spark.createDataFrame([(1, "a")], "id long, v string")
+    out = incremental.current(spark, base, f"{folder}/log", ["id"], ["seq"])
+    assert [tuple(r) for r in out.collect()] == [(1, "a")]
+
+
+def test_a_table_streams_as_one_file_and_as_a_folder(spark, sf_dir, tmp_path):
+    from newslens.catalog.streams import stream
+
+    spark.read.parquet(f"{sf_dir}/orders.parquet").repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    counts = []
+    for n, folder in enumerate((sf_dir, str(tmp_path))):
+        query = (
+            stream(spark, folder, "orders").writeStream.format("memory").queryName(f"orders{n}")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        counts.append(spark.table(f"orders{n}").count())
+    assert counts == [1500, 1500]
