@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate
+from newslens.llm import decontaminate, langid, piece_codec
 
-QUERIES = {"op6_decontaminate": decontaminate.op6}
+QUERIES = {
+    "op6_decontaminate": decontaminate.op6,
+    "op9_piece_codec": piece_codec.op9,
+    "op10_language": langid.op10,
+}
 SQL = {"op6_decontaminate": decontaminate.OP6_SQL}
