@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate, langid, piece_codec
+from newslens.llm import decontaminate, jaccard_join, langid, piece_codec
 
 QUERIES = {
     "op6_decontaminate": decontaminate.op6,
+    "op8_jaccard_join": jaccard_join.op8,
     "op9_piece_codec": piece_codec.op9,
     "op10_language": langid.op10,
 }
-SQL = {"op6_decontaminate": decontaminate.OP6_SQL}
+SQL = {"op6_decontaminate": decontaminate.OP6_SQL, "op8_jaccard_join": jaccard_join.OP8_SQL}
