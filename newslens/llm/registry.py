@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate, jaccard_join, langid, piece_codec
+from newslens.llm import decontaminate, jaccard_join, langid, piece_codec, secret_scan
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.op2,
     "op6_decontaminate": decontaminate.op6,
     "op8_jaccard_join": jaccard_join.op8,
     "op9_piece_codec": piece_codec.op9,
