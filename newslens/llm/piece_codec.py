@@ -30,10 +30,10 @@ from pyspark.sql import types as T
 
 from newslens.llm import frames, textcore
 from newslens.llm.textcore import U64
+from newslens.llm.wordstore import MAX_KNOWN, WordStore, bounds, spread
 
 MARK = 0x2581  # stands for a space
 _LITERAL = 0x110000  # a mark that stands in the text itself; beyond all code points
-MAX_KNOWN = 300_000
 _CELLS = 1 << 21
 
 
@@ -166,14 +166,10 @@ class Coder:
     """Encodes batches of texts; remembers the ids of words."""
 
     def __init__(self, model: Pieces, max_known: int = MAX_KNOWN):
-        self.model, self.max_known = model, max_known
-        self._forget()
+        self.model = model
+        self.store = WordStore(self._best, max_known)
 
-    def _forget(self) -> None:
-        self.number: dict[tuple[bool, str], int] = {}
-        self.ids: list[np.ndarray] = []
-
-    def _learn(self, words: list[tuple[bool, str]]) -> None:
+    def _best(self, words: list[tuple[bool, str]]) -> list[np.ndarray]:
         by_length: dict[int, list[int]] = {}
         for k, (marked, word) in enumerate(words):
             by_length.setdefault(len(word) + marked, []).append(k)
@@ -192,76 +188,44 @@ class Coder:
                     code[lines, 0] = MARK
             for k, ids in zip(places, self.model.best(code), strict=True):
                 found[k] = ids
-        for word, ids in zip(words, found, strict=True):
-            self.number[word] = len(self.ids)
-            self.ids.append(ids)
-
-    def _unique(self, words: pa.Array, marked: bool) -> np.ndarray:
-        """Number of every word, learning new ones."""
-        coded = words.dictionary_encode()
-        distinct = [(marked, w) for w in coded.dictionary.to_pylist()]
-        new = [w for w in distinct if w not in self.number]
-        if new:
-            self._learn(new)
-        numbers = np.array([self.number[w] for w in distinct], np.int64)
-        return numbers[coded.indices.to_numpy(zero_copy_only=False)]
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and the bounds of rows. Null counts as empty."""
-        if len(self.number) > self.max_known:
-            self._forget()
+        self.store.trim()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         rows = pc.split_pattern(texts, " ")
-        words, word_bounds = rows.flatten(), _bounds(rows)
-        begins = np.zeros(len(words), bool)
+        words, word_bounds = rows.flatten(), bounds(rows)
         if self.model.parts_lines:
-            # the line feed is one byte piece, and what follows it has no space mark
+            # a line feed is one byte piece, and what follows it has no space mark
             parts = pc.split_pattern(words, "\n")
-            part_bounds = _bounds(parts)
-            flat = parts.flatten()
-            head = np.zeros(len(flat), bool)
-            head[part_bounds[:-1]] = True
-            feeds = ~head
-            row_parts = part_bounds[word_bounds]
+            part_bounds, words = bounds(parts), parts.flatten()
+            feeds = np.ones(len(words), bool)
+            feeds[part_bounds[:-1]] = False
+            word_bounds = part_bounds[word_bounds]
         else:
-            flat, head, row_parts = words, ~begins, word_bounds
-            feeds = np.zeros(len(flat), bool)
-        number = np.empty(len(flat), np.int64)
-        number[head] = self._unique(flat.filter(pa.array(head)), True)
+            feeds = np.zeros(len(words), bool)
+        number = np.empty(len(words), np.int64)
+        number[~feeds] = self.store.numbers(words.filter(pa.array(~feeds)), True)
         if feeds.any():
-            number[feeds] = self._unique(flat.filter(pa.array(feeds)), False)
-        empty = np.diff(texts_offsets(texts)) == 0
-        lengths = np.fromiter((len(i) for i in self.ids), np.int64, len(self.ids))
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        stock = np.concatenate([*self.ids, np.zeros(0, np.int32)])
-        count = lengths[number]
-        count[row_parts[:-1][empty]] = 0  # an empty text has not even the mark
-        size = count + feeds
-        total = np.concatenate([[0], np.cumsum(size)])
+            number[feeds] = self.store.numbers(words.filter(pa.array(feeds)), False)
+        count = self.store.lengths[number]
+        empty = np.diff(textcore.buffers(texts)[1]) == 0
+        count[word_bounds[:-1][empty]] = 0  # an empty text has not even the mark
+        total = np.concatenate([[0], np.cumsum(count + feeds)])
         out = np.empty(total[-1], np.int32)
         out[total[:-1][feeds]] = self.model.byte_ids[10]
-        at = np.repeat(starts[number] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        put = np.repeat(total[:-1] + feeds - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        out[put] = stock[at]
-        return out, total[row_parts]
-
-
-def texts_offsets(texts: pa.Array) -> np.ndarray:
-    return textcore.buffers(texts)[1]
-
-
-def _bounds(lists: pa.Array) -> np.ndarray:
-    offsets = lists.offsets.to_numpy()
-    return (offsets - offsets[0]).astype(np.int64)
+        out[spread(total[:-1] + feeds, count)] = self.store.ids(number, count)
+        return out, total[word_bounds]
 
 
-def decode(model: Pieces, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def decode(model: Pieces, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows and their bounds; the mark that begins a text is left out."""
     ids = np.where((ids >= 0) & (ids < len(model.lengths)), ids, 0)
     count = model.lengths[ids]
     total = np.concatenate([[0], np.cumsum(count)])
     data = model.bytes[np.repeat(model.starts[ids] - total[:-1], count) + np.arange(total[-1])]
-    rows = total[bounds]
+    rows = total[ends]
     lead = np.flatnonzero((np.diff(rows) > 0))
     lead = lead[data[rows[lead]] == 0x20]
     keep = np.ones(len(data), bool)
@@ -295,21 +259,21 @@ def _mapped(packed: DataFrame, path: str, kept: list[str], added: str, work) ->
 def _ids(model: Pieces, coder: Coder, column) -> list[pa.Array]:
     parts = []
     for texts in _pieces_of(column):
-        flat, bounds = coder.encode(texts)
-        parts.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()), mask=texts.is_null()))
+        flat, ends = coder.encode(texts)
+        parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()), mask=texts.is_null()))
     return [pa.concat_arrays(parts)]
 
 
 def _digest(model: Pieces, coder: Coder, column) -> list[pa.Array]:
     n, crc, same = [], [], []
     for texts in _pieces_of(column):
-        flat, bounds = coder.encode(texts)
+        flat, at = coder.encode(texts)
         raw, offsets = textcore.buffers(texts)
-        back, ends = decode(model, flat, bounds)
+        back, ends = decode(model, flat, at)
         little = flat.astype("<u4")
         for i in range(len(texts)):
-            n.append(int(bounds[i + 1] - bounds[i]))
-            crc.append(zlib.crc32(little[bounds[i] : bounds[i + 1]]))
+            n.append(int(at[i + 1] - at[i]))
+            crc.append(zlib.crc32(little[at[i] : at[i + 1]]))
             same.append(bool(np.array_equal(back[ends[i] : ends[i + 1]], raw[offsets[i] : offsets[i + 1]])))
     return [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
 

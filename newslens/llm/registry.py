@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate, jaccard_join, langid, piece_codec, secret_scan
+from newslens.llm import decontaminate, jaccard_join, langid, piece_codec, secret_scan, token_files, warc
 
 QUERIES = {
     "op2_secret_scan": secret_scan.op2,
+    "op3_token_files": token_files.op3,
     "op6_decontaminate": decontaminate.op6,
+    "op7_warc": warc.op7,
     "op8_jaccard_join": jaccard_join.op8,
     "op9_piece_codec": piece_codec.op9,
     "op10_language": langid.op10,
 }
-SQL = {"op6_decontaminate": decontaminate.OP6_SQL, "op8_jaccard_join": jaccard_join.OP8_SQL}
+SQL = {
+    "op6_decontaminate": decontaminate.OP6_SQL,
+    "op7_warc": warc.OP7_SQL,
+    "op8_jaccard_join": jaccard_join.OP8_SQL,
+}
