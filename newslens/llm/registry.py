@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate, jaccard_join, langid, piece_codec, secret_scan, token_files, warc
+from newslens.llm import decontaminate, jaccard_join, langid, piece_codec, quality, secret_scan, token_files, topk, warc
 
 QUERIES = {
+    "op1_cover_tree": topk.op1,
     "op2_secret_scan": secret_scan.op2,
     "op3_token_files": token_files.op3,
+    "op5_quality": quality.op5,
     "op6_decontaminate": decontaminate.op6,
     "op7_warc": warc.op7,
     "op8_jaccard_join": jaccard_join.op8,
@@ -14,6 +16,7 @@ QUERIES = {
     "op10_language": langid.op10,
 }
 SQL = {
+    "op1_cover_tree": topk.OP1_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op7_warc": warc.OP7_SQL,
     "op8_jaccard_join": jaccard_join.OP8_SQL,
