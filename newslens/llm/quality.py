@@ -1,7 +1,8 @@
 """Text quality by supervised subword embeddings.
 
-Features of a text are its words (between white space) and all its byte n-grams of three,
-hashed to two tables of buckets. Each bucket has a vector; a text is the mean of the vectors of
+Features of a text are its words (between white space), its pairs of words and all its byte
+n-grams of three, hashed to three tables of buckets; two equal words in a row, or with one word
+between, are one feature each whatever the word. Each bucket has a vector; a text is the mean of the vectors of
 its features; a softmax layer on it gives the class. Vectors and layer are learnt together by
 stochastic gradient descent in numpy, in one task, from a bounded sample of labelled rows
 (``sample_rows``, those of smallest hash; the whole text of each).
@@ -28,40 +29,56 @@ from newslens.llm.textcore import U64
 
 BITS = 16  # buckets of each table: 2**BITS
 SIZE = 16
-EPOCHS = 8
+EPOCHS = 5
 RATE = 0.5
-SAMPLE_ROWS = 4096
+SAMPLE_ROWS = 8192
 _PART = np.arange(256) <= 32  # white space and control bytes part words
 
 
+def _in_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Put each row's values (``rows`` their bounds) at its place."""
+    count = np.diff(rows)
+    out[np.repeat(at - rows[:-1], count) + np.arange(len(values))] = values
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all features of all rows (words, then n-grams, of every row) and bounds of rows."""
+    """Buckets of all features of all rows (words, pairs, echoes, n-grams of every row) and bounds of rows."""
     inside = np.zeros(len(data) + 2, bool)
     inside[1:-1] = ~_PART[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | first[:-1]))
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | first[1:])) + 1
-    words = (textcore.span_hashes(data, starts, ends) >> U64(64 - BITS)).astype(np.int64)
+    hashes = textcore.span_hashes(data, starts, ends)
     word_rows = np.searchsorted(starts, offsets)
-    n_words = np.diff(word_rows)
-    n_grams = np.maximum(np.diff(offsets) - 2, 0)
+    words = (hashes >> U64(64 - BITS)).astype(np.int64)
+    # pairs of words; a word that repeats the one before, or the one before that, is one feature each
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(word_rows))
+    next_ = np.flatnonzero(row[1:] == row[:-1]) + 1
+    pair = (textcore.mix(hashes[next_ - 1] * U64(31) + hashes[next_]) >> U64(64 - BITS)).astype(np.int64)
+    pair = np.where(hashes[next_] == hashes[next_ - 1], 0, np.maximum(pair, 2)) + (1 << BITS)
+    pair_rows = np.searchsorted(next_, word_rows)
+    echo = np.flatnonzero((row[2:] == row[:-2]) & (hashes[2:] == hashes[:-2])) + 2
+    echo_rows = np.searchsorted(echo, word_rows)
     wide = data.astype(np.uint32)
     key = (wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]) if len(data) > 2 else np.zeros(0, np.uint32)
-    grams = ((key * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64) + (1 << BITS)
-    bounds = np.concatenate([[0], np.cumsum(n_words + n_grams)])
-    out = np.empty(bounds[-1], np.int64)
-    out[np.repeat(bounds[:-1] - word_rows[:-1], n_words) + np.arange(len(words))] = words
-    gram_ends = np.cumsum(n_grams)
-    place = np.arange(gram_ends[-1] if len(gram_ends) else 0) - np.repeat(gram_ends - n_grams, n_grams)
-    out[np.repeat(bounds[:-1] + n_words, n_grams) + place] = grams[np.repeat(offsets[:-1], n_grams) + place]
+    gram_of = ((key * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64) + (2 << BITS)
+    n_grams = np.maximum(np.diff(offsets) - 2, 0)
+    gram_rows = np.concatenate([[0], np.cumsum(n_grams)])
+    grams = gram_of[np.repeat(offsets[:-1] - gram_rows[:-1], n_grams) + np.arange(gram_rows[-1])]
+    parts = [(word_rows, words), (pair_rows, pair), (echo_rows, np.full(len(echo), (1 << BITS) + 1)), (gram_rows, grams)]
+    bounds = np.sum([rows for rows, _ in parts], axis=0)
+    out, at = np.empty(bounds[-1], np.int64), bounds[:-1].copy()
+    for rows, values in parts:
+        _in_rows(out, at, rows, values)
+        at += np.diff(rows)
     return out, bounds
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed: int = 1) -> tuple[np.ndarray, float]:
     """Logit difference per bucket, and of the bias, after gradient descent on (buckets, shares) of texts."""
     random = np.random.default_rng(seed)
-    vectors = random.uniform(-1 / SIZE, 1 / SIZE, (2 << BITS, SIZE))
+    vectors = random.uniform(-1 / SIZE, 1 / SIZE, (3 << BITS, SIZE))
     layer, bias = random.normal(0, 0.1, (2, SIZE)), np.zeros(2)
     steps, done = EPOCHS * len(rows), 0
     for _ in range(EPOCHS if len(set(labels)) else 0):
@@ -123,7 +140,7 @@ def train(
     model = found.repartition(1).mapInArrow(learn, "table binary, bias double")  # of the bounded sample
     got = model.collect()
     if not got:
-        return np.zeros(2 << BITS, np.float32), 0.0
+        return np.zeros(3 << BITS, np.float32), 0.0
     return np.frombuffer(got[0].table, np.float32), got[0].bias
 
 
@@ -133,7 +150,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], *, text: str = "text
     packed = frames.pack(docs, text, keep)
     kept = ["row", "text"] if text in keep else ["row"]
     schema = T.StructType([*[packed.schema[c] for c in kept], T.StructField("score", T.DoubleType())])
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**(BITS + 1) numbers
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 3 * 2**BITS numbers
 
     def apply(batches):
         for batch in batches:
