@@ -21,7 +21,7 @@ def pack(docs: DataFrame, text: str, keep: list[str] | None = None) -> DataFrame
     return docs.select(F.struct(*own).alias("row"), F.col(quoted(text)).cast("string").alias("text"))
 
 
-def unpack(packed: DataFrame, text: str, keep: list[str], **added: Column) -> DataFrame:
+def unpack(packed: DataFrame, text: str, keep: list[str], /, **added: Column) -> DataFrame:
     """The kept columns in their order, then the added ones; an added name replaces a kept one."""
     own = [F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in keep if c not in added]
     return packed.select(*own, *[c.alias(name) for name, c in added.items()])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate, jaccard_join, langid, piece_codec, quality, secret_scan, token_files, topk, warc
+from newslens.llm import decontaminate, html_extract, jaccard_join, langid, piece_codec, quality, secret_scan, token_files, topk, warc
 
 QUERIES = {
     "op1_cover_tree": topk.op1,
     "op2_secret_scan": secret_scan.op2,
     "op3_token_files": token_files.op3,
+    "op4_html_extract": html_extract.op4,
     "op5_quality": quality.op5,
     "op6_decontaminate": decontaminate.op6,
     "op7_warc": warc.op7,
