@@ -169,26 +169,20 @@ class Coder:
         self.model = model
         self.store = WordStore(self._best, max_known)
 
-    def _best(self, words: list[tuple[bool, str]]) -> list[np.ndarray]:
+    def _best(self, words: list[str], marked: bool) -> tuple[np.ndarray, np.ndarray]:
         by_length: dict[int, list[int]] = {}
-        for k, (marked, word) in enumerate(words):
-            by_length.setdefault(len(word) + marked, []).append(k)
+        for k, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(k)
         found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
         for length, places in by_length.items():
-            if not length:
-                continue
-            code = np.empty((len(places), length), np.uint32)
-            for marked in (False, True):
-                lines = [j for j, k in enumerate(places) if words[k][0] == marked]
-                if lines and length - marked:
-                    own = _codes([words[places[j]][1] for j in lines]).copy()
-                    own[own == MARK] = _LITERAL
-                    code[lines, int(marked) :] = own
-                if lines and marked:
-                    code[lines, 0] = MARK
-            for k, ids in zip(places, self.model.best(code), strict=True):
-                found[k] = ids
-        return found
+            code = np.full((len(places), length + marked), MARK, np.uint32)
+            if length:
+                own = _codes([words[k] for k in places])
+                code[:, int(marked) :] = np.where(own == MARK, _LITERAL, own)
+            if code.shape[1]:
+                for k, ids in zip(places, self.model.best(code), strict=True):
+                    found[k] = ids
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and the bounds of rows. Null counts as empty."""

@@ -14,15 +14,10 @@ BLOCK = 4096
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    """0 for 0, else the number of bits; 64 for what needs an escape counts as 60."""
-    out = np.zeros(values.shape, np.uint8)
-    rest = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        big = rest >= U64(1 << step)
-        out[big] += step
-        rest[big] >>= U64(step)
-    out += (rest > 0).astype(np.uint8)
-    return np.minimum(out, 60)
+    """0 for 0, else the number of bits; what needs an escape counts as 60."""
+    low = np.frexp((values & U64((1 << 52) - 1)).astype(float))[1]  # exact below 2**53
+    high = np.frexp((values >> U64(52)).astype(float))[1]
+    return np.minimum(np.where(high > 0, high + 52, low), 60).astype(np.uint8)
 
 
 def _selectors(bits: np.ndarray) -> np.ndarray:
@@ -56,19 +51,19 @@ def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarr
     table.reshape(-1)[:n] = values
     ends = np.minimum(n - np.arange(blocks) * block, block)
     selectors = _selectors(_bit_lengths(table))
-    at, taken = np.zeros(blocks, np.int64), []
-    alive = np.arange(blocks)
-    while len(alive):  # all blocks advance together, a word at a time
-        chosen = selectors[alive, at[alive]]
-        taken.append((alive, at[alive], chosen))
-        at[alive] += COUNTS[chosen]
-        alive = alive[at[alive] < ends[alive]]
-    row, place, chosen = (np.concatenate(x) for x in zip(*taken))
-    by = np.lexsort((place, row))
-    row, place, chosen = row[by], place[by], chosen[by]
+    step = COUNTS[selectors].reshape(-1)
+    begins = np.zeros(blocks * block, bool)
+    at = np.arange(blocks) * block
+    ends += at
+    while len(at):  # all blocks advance together, a word at a time
+        begins[at] = True
+        at = at + step[at]
+        alive = at < ends
+        at, ends = at[alive], ends[alive]
+    first = np.flatnonzero(begins)
+    row, chosen = first // block, selectors.reshape(-1)[first]
     flat = np.concatenate([table.reshape(-1), np.zeros(240, U64)])
     limit = (row + 1) * block
-    first = row * block + place
     words = chosen.astype(U64) << U64(60)
     for selector in range(2, 16):
         some = np.flatnonzero(chosen == selector)

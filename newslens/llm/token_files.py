@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newslens.llm import files, frames, simple8b, textcore
-from newslens.llm.wordstore import WordStore, bounds, spread
+from newslens.llm.wordstore import WordStore, bounds, flattened, spread
 from newslens.settings import shared_dir, stored
 
 END_ID = 2
 FILE_IDS = 1 << 22
+KNOWN_WORDS = 500_000
+SLICE_BYTES = 1 << 23
 MAGIC = b"IDS-S8B1"
 _HEAD = struct.Struct("<8s4Q")  # magic, documents, ids, blocks, words
 
@@ -44,8 +46,8 @@ def default_tokenizer() -> str:
 class TextEncoder:
     """Ids of texts by a tokenizer file, each followed by ``end_id``.
 
-    ``by_words``: encode distinct words once. Right for tokenizers whose pre-tokenizer drops
-    white space and whose tokens never reach over it.
+    ``by_words``: encode distinct words once. Right for tokenizers that lower-case, whose pre-tokenizer
+    drops white space and parts letters from punctuation, and whose tokens never reach over either.
     """
 
     def __init__(self, path: str, end_id: int, by_words: bool):
@@ -53,10 +55,40 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id, self.by_words = Tokenizer.from_file(path), end_id, by_words
-        self.store = WordStore(lambda words: self._whole([w for _, w in words]))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.store = WordStore(self._words, KNOWN_WORDS)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str], marked: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Words of Latin letters go many at a time: each ends with the only token that ends a word."""
+        plain = np.array([w.isalpha() and (w.isascii() or max(w) <= "\u00ff") for w in words], bool)
+        starts, lengths = np.zeros(len(words), np.int64), np.full(len(words), -1)
+        parts, size, places = [], 0, np.flatnonzero(plain)
+        for first in range(0, len(places), 4000):
+            some = places[first : first + 4000]
+            ids = np.array(self._whole([" ".join([words[k] for k in some.tolist()])])[0], np.int32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                starts[some] = size + np.concatenate([[0], ends[:-1]])
+                lengths[some] = np.diff(ends, prepend=0)
+                parts.append(ids)
+                size += len(ids)
+        rest = np.flatnonzero(lengths < 0)
+        flat, own = flattened(self._whole([words[k] for k in rest.tolist()]))
+        starts[rest], lengths[rest] = size + np.cumsum(own) - own, own
+        return np.concatenate([*parts, flat])[spread(starts, lengths)], lengths
+
+    def _parted(self, texts: pa.Array) -> pa.ListArray:
+        """Texts cut where no token reaches over: at spaces, and between a letter and a stop or comma."""
+        texts = pc.replace_substring(texts, "\n", " ")
+        if not any(pc.any(pc.match_substring(texts, s, ignore_case=True)).as_py() for s in self.special):
+            texts = pc.ascii_lower(texts)  # a special token in other letters would become one
+        return pc.split_pattern(pc.replace_substring_regex(texts, "([A-Za-zÀ-ÖØ-öø-ÿ])([.,])", "\\1 \\2"), " ")
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and the bounds of rows."""
@@ -66,7 +98,7 @@ class TextEncoder:
             ends = np.concatenate([[0], np.cumsum([len(f) + 1 for f in found])])
             return np.array([i for f in found for i in (*f, self.end_id)], np.int64), ends
         self.store.trim()
-        rows = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        rows = self._parted(texts)
         number = self.store.numbers(rows.flatten(), True)
         count = self.store.lengths[number] if len(number) else np.zeros(0, np.int64)
         sums = np.concatenate([[0], np.cumsum(count)])[bounds(rows)]
@@ -146,7 +178,7 @@ def write(
 
         for batch in batches:
             texts = batch.column("text")
-            for first, end, _, _ in textcore.slices(texts, 1 << 22):
+            for first, end, _, _ in textcore.slices(texts, SLICE_BYTES):
                 flat, ends = coder.encode(texts.slice(first, end - first))
                 names += batch.column("id").slice(first, end - first).to_pylist()
                 counts.append(np.diff(ends))

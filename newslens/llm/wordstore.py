@@ -13,34 +13,35 @@ MAX_KNOWN = 300_000
 class WordStore:
     """Numbers words and keeps their ids in one array. Beyond ``max_known`` words all are dropped.
 
-    ``encode`` takes a list of (marked, word) and returns their ids, one list or array each.
+    ``encode`` takes a list of words, and whether they are marked, and returns the ids of all in one
+    array and the number of each word's ids.
     """
 
-    def __init__(self, encode: Callable[[list[tuple[bool, str]]], list], max_known: int = MAX_KNOWN):
+    def __init__(self, encode: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]], max_known: int = MAX_KNOWN):
         self.encode, self.max_known = encode, max_known
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[tuple[bool, str], int] = {}
+        self.number: tuple[dict[str, int], dict[str, int]] = ({}, {})
         self.flat, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def trim(self) -> None:
         """To be called between batches: numbers of an earlier batch are void after it."""
-        if len(self.number) > self.max_known:
+        if len(self.lengths) > self.max_known:
             self.forget()
 
     def numbers(self, words: pa.Array, marked: bool) -> np.ndarray:
         """The number of every word; unknown words are encoded."""
         coded = words.dictionary_encode()
-        distinct = [(marked, w) for w in coded.dictionary.to_pylist()]
-        new = [w for w in distinct if w not in self.number]
+        distinct, known = coded.dictionary.to_pylist(), self.number[marked]
+        new = [w for w in distinct if w not in known]
         if new:
-            found = self.encode(new)
-            for word in new:
-                self.number[word] = len(self.number)
-            self.flat = np.concatenate([self.flat, *[np.asarray(f, np.int32) for f in found]])
-            self.lengths = np.concatenate([self.lengths, np.array([len(f) for f in found], np.int64)])
-        own = np.array([self.number[w] for w in distinct], np.int64)
+            first = len(self.lengths)
+            known.update(zip(new, range(first, first + len(new)), strict=True))
+            flat, lengths = self.encode(new, marked)
+            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+            self.lengths = np.concatenate([self.lengths, lengths])
+        own = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
         return own[coded.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int64)
 
     def ids(self, numbers: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -49,6 +50,12 @@ class WordStore:
         return self.flat[spread(starts[numbers] if len(starts) else numbers, count)]
 
 
+def flattened(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some lists of ids, and the length of each."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((i for one in lists for i in one), np.int32, int(lengths.sum())), lengths
+
+
 def spread(starts: np.ndarray, count: np.ndarray) -> np.ndarray:
     """starts[0], starts[0] + 1, ... (count[0] of them), starts[1], ..."""
     total = int(count.sum())
