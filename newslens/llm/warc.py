@@ -190,8 +190,8 @@ def write(
     return stored(rows.drop("first").mapInArrow(save, "path string, n_records long"), "warc-files")
 
 
-def _loaded(manifest: DataFrame) -> DataFrame:
-    """A row per record of the files."""
+def _loaded(manifest: DataFrame, segmented: bool) -> DataFrame:
+    """A row per record of the files: the segments with their blocks, or the others with their payloads."""
 
     def load(batches):
         for batch in batches:
@@ -200,10 +200,14 @@ def _loaded(manifest: DataFrame) -> DataFrame:
                 for fields, block in parse(files.read(path)):
                     number, total = fields.get("warc-segment-number"), fields.get("warc-segment-total-length")
                     origin = fields.get("warc-segment-origin-id") or (fields["warc-record-id"] if number else None)
+                    if (origin is not None) != segmented:
+                        continue
+                    if not segmented:
+                        block = payload(block) if fields["warc-type"] == "response" else None
                     digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
                     rows.append((fields["warc-record-id"], origin, number and int(number), total and int(total), fields["warc-type"],
                                  fields.get("warc-page-id"), fields.get("warc-target-uri"), fields.get("warc-refers-to-page-id"), digest, block))
-                    size += len(block)
+                    size += len(block or b"")
                     if size >= 1 << 22:
                         yield _batch(rows)
                         rows, size = [], 0
@@ -235,19 +239,20 @@ def _assembled(records_: DataFrame) -> DataFrame:
 
 def read(manifest: DataFrame) -> DataFrame:
     """Per record: page_id (string), url, kind, refers_to, digest (as written) and payload (null for revisits)."""
-    columns = ["page_id", "url", "kind", "refers_to", "digest", "block"]
-    loaded = stored(_loaded(manifest), "warc-records")
-    whole = loaded.where("origin is null").select(*columns)
-    found = whole.unionByName(_assembled(loaded.where("origin is not null")).select(*columns))
+    columns = ["page_id", "url", "kind", "refers_to", "digest"]
 
     def decode(batches):
         for batch in batches:
             kinds, blocks = batch.column("kind").to_pylist(), batch.column("block").to_pylist()
             bodies = [payload(b) if k == "response" and b is not None else None for k, b in zip(kinds, blocks, strict=True)]
-            kept = [batch.column(c) for c in columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(bodies, pa.binary())], names=[*columns[:-1], "payload"])
-
-    return found.mapInArrow(decode, "page_id string, url string, kind string, refers_to string, digest string, payload binary")
+            kept = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(bodies, pa.binary())], names=[*columns, "payload"])
+
+    # the archives are read twice rather than written once more; no task holds two Python workers
+    whole = _loaded(manifest, False).select(*columns, F.col("block").alias("payload"))
+    parts = _assembled(_loaded(manifest, True)).select(*columns, "block")
+    schema = "page_id string, url string, kind string, refers_to string, digest string, payload binary"
+    return whole.unionByName(parts.mapInArrow(decode, schema))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
