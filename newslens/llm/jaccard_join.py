@@ -98,39 +98,34 @@ def _digest(one: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """id, digest of the shingle set (null: no shingle), its size, MinHash values and band keys."""
+    """id, digest of the shingle set (null: no shingle) and the band keys of its MinHash values."""
     rows = docs.select(F.col(frames.quoted(doc_id)).alias("id"), F.col(frames.quoted(text)).cast("string").alias("text"))
-    added = T.StructType.fromDDL("key binary, n int, sig binary, bands array<long>")
-    schema = T.StructType([rows.schema["id"], *added.fields])
+    schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("key binary, bands array<long>").fields])
 
     def sign(batches):
         for batch in batches:
-            keys, counts, sigs, keyed = [], [], [], []
+            keys, keyed = [], []
             for found, bounds, sets in _shingle_sets(batch.column("text"), size):
                 some = np.flatnonzero(np.diff(bounds))
-                values = minhash(found, np.concatenate([bounds[some], bounds[-1:]])) if len(some) else None
-                own = bands(values).tolist() if len(some) else []
+                own = bands(minhash(found, np.concatenate([bounds[some], bounds[-1:]]))).tolist() if len(some) else []
                 line = {int(row): k for k, row in enumerate(some)}
                 for row, one in enumerate(sets):
-                    k = line.get(row)
-                    keys.append(None if k is None else _digest(one))
-                    counts.append(len(one))
-                    sigs.append(None if k is None else values[k].tobytes())
-                    keyed.append(None if k is None else own[k])
+                    keys.append(_digest(one) if row in line else None)
+                    keyed.append(own[line[row]] if row in line else None)
             if batch.num_rows:
-                columns = [batch.column("id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int32())]
-                columns += [pa.array(sigs, pa.binary()), pa.array(keyed, pa.list_(pa.int64()))]
+                columns = [batch.column("id"), pa.array(keys, pa.binary()), pa.array(keyed, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(sign, schema)
 
 
 def _with_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``members`` (of groups of two or more) with the shingle set of their representative."""
+    """``members`` (of groups of two or more) with shingle set and MinHash values of their representative."""
     rows = docs.select(F.col(frames.quoted(doc_id)).alias("id"), F.col(frames.quoted(text)).cast("string").alias("text"))
     joined = members.join(rows, F.col("rep").eqNullSafe(F.col("id")))
     kept = [c for c in members.columns if c not in ("rep", "key")]
-    schema = T.StructType([*[members.schema[c] for c in kept], T.StructField("shingles", T.BinaryType())])
+    added = T.StructType.fromDDL("shingles binary, sig binary").fields
+    schema = T.StructType([*[members.schema[c] for c in kept], *added])
 
     def add(batches):
         for batch in batches:
@@ -140,6 +135,9 @@ def _with_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, size
             if right:  # another text may have the same id
                 columns = [batch.column(c).take(pa.array(right)) for c in kept]
                 columns.append(pa.array([sets[i].tobytes() for i in right], pa.binary()))
+                own = [sets[i] for i in right]
+                values = minhash(np.concatenate(own), np.concatenate([[0], np.cumsum([len(o) for o in own])]))
+                columns.append(pa.array([v.tobytes() for v in values], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return joined.mapInArrow(add, schema).dropDuplicates(["cid"])
@@ -293,7 +291,7 @@ def near_copies(
     grouped = (
         rows.where("key is not null")
         .groupBy("key")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+        .agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.first("bands").alias("bands"))
     )
     classes = stored(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     banded = classes.select("cid", F.explode("bands").alias("band"))
@@ -332,9 +330,16 @@ def drop_near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     Rows that share an id are one document: they stay if one of them does.
     """
     kept = near_copies(docs, doc_id=doc_id, text=text, **options)
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    own = docs.join(kept, F.col(frames.quoted(doc_id)).eqNullSafe(F.col("__kept")), "left_semi")
-    return own.dropDuplicates([doc_id, text])
+    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.struct("doc_id").alias("__kept")).distinct()
+    # a struct equals another if both hold null; the join's partitioning serves the dropping of repeats
+    packed = docs.select(
+        F.struct(F.col(frames.quoted(doc_id)).alias("doc_id")).alias("__kept"),
+        F.col(frames.quoted(text)).alias("__text"),
+        F.struct(*[F.col(frames.quoted(c)) for c in docs.columns if c not in (doc_id, text)]).alias("__row"),
+    )
+    own = packed.join(kept, "__kept", "left_semi").dropDuplicates(["__kept", "__text"])
+    columns = {doc_id: F.col("__kept.doc_id"), text: F.col("__text")}
+    return own.select(*[columns.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
