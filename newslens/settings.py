@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -22,7 +23,6 @@ class JobSettings:
     min_length: int = fv.SUMMARY_MIN_LENGTH
     max_length: int = fv.SUMMARY_MAX_LENGTH
     boosting_rounds: int = fv.BOOSTING_ROUNDS
-    model_path: str | None = None
 
     @classmethod
     def from_json_files(cls, *paths: str) -> "JobSettings":
@@ -34,10 +34,10 @@ class JobSettings:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder that every executor can reach.
+    """A new folder that every executor can reach, below ``spark.checkpoint.dir``.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a
-    local-mode session without that setting falls back to a temporary folder.
+    A session without that setting gets a folder of its own once, for local runs only:
+    on a cluster the shared folder must be named.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -46,9 +46,27 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="newslens-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/newslens-{purpose}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers that were started elsewhere, or on another machine, can then import it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_newslens_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="newslens-package-")) / "newslens.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._newslens_shipped = True
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table that several passes read; a lost executor costs no recomputation."""
     spark = df.sparkSession

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
 from newslens.functions.strings import file_name
+from newslens.settings import stored
 
 INDEX_ROOT = "sitemapindex"
 URLSET_ROOT = "urlset"
@@ -79,32 +80,33 @@ def expand(
     body: str = "body",
     year: int | None = None,
     alternate_links: bool = False,
-    levels: int = 2,
 ) -> DataFrame:
-    """Page URLs reachable from the root sitemaps through ``levels`` of index files.
+    """Page URLs reachable from the roots through any number of index files.
 
-    ``fetched(url, body)`` holds the texts, ``roots(url)`` the start URLs. Each
-    level is a semi-join on the location, so it works on any number of files.
+    ``fetched(url, body)`` holds the texts, ``roots(url)`` the start URLs: sitemaps or
+    robots files. The walk goes on until no unvisited file is found, so nested and
+    circular index files are followed to the end. One row per sitemap and page.
     """
-    listed = entries(fetched, url, body, year)
-    frontier = roots.select(F.col(url).alias("sitemap")).distinct()
-    pages = None
-    for level in range(levels):
-        here = listed.join(frontier, "sitemap", "left_semi")
-        found = here.where(F.col("type") == URLSET_ROOT)
-        if alternate_links:
-            urls = F.concat(F.array("loc"), F.col("alternates"))
-            found = found.select("sitemap", F.explode(urls).alias("page_url"))
-        else:
-            found = found.select("sitemap", F.col("loc").alias("page_url"))
-        pages = found if pages is None else pages.unionByName(found)
-        if level + 1 < levels:
-            frontier = (
-                here.where(F.col("type") == INDEX_ROOT)
-                .select(F.col("loc").alias("sitemap"))
-                .distinct()
-            )
-    return pages
+    listed = stored(entries(fetched, url, body, year), "sitemap-entries")
+    robots = fetched.where(F.col(url).rlike(r"(?i)/robots\.txt$"))
+    links = listed.where(F.col("type") == INDEX_ROOT).select(F.col("sitemap").alias("file"), F.col("loc").alias("next"))
+    links = links.unionByName(
+        robots_sitemaps(robots, url, body).select(F.col("robots").alias("file"), F.col("sitemap").alias("next"))
+    )
+    links = stored(links.distinct(), "sitemap-links")
+    frontier = stored(roots.select(F.col(url).alias("file")).distinct(), "sitemaps-seen")
+    seen = frontier
+    while not frontier.isEmpty():
+        found = links.join(frontier, "file", "left_semi").select(F.col("next").alias("file")).distinct()
+        frontier = stored(found.join(seen, "file", "left_anti"), "sitemaps-seen")
+        seen = seen.unionByName(frontier)
+    here = listed.where(F.col("type") == URLSET_ROOT).join(
+        seen.select(F.col("file").alias("sitemap")), "sitemap", "left_semi"
+    )
+    if alternate_links:
+        urls = F.concat(F.array("loc"), F.col("alternates"))
+        return here.select("sitemap", F.explode(urls).alias("page_url")).distinct()
+    return here.select("sitemap", F.col("loc").alias("page_url")).distinct()
 
 
 def _absolute(link: Column, base: Column) -> Column:

@@ -17,16 +17,6 @@ def scan(
     return df.select(*columns) if columns else df
 
 
-def spread(scanned: DataFrame) -> DataFrame:
-    """Give a scan of too few splits to all cores.
-
-    For tables whose rows are costly to work on and that may come as one file. A
-    scan with at least one split per core is returned as it is, unshuffled.
-    """
-    cores = scanned.sparkSession.sparkContext.defaultParallelism
-    return scanned.repartition(cores) if scanned.rdd.getNumPartitions() < cores else scanned
-
-
 def articles(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     return scan(spark, path, schemas.ARTICLES, columns)
 

@@ -56,6 +56,29 @@ def test_alternate_links_and_direct_urlset(spark, fetched):
     assert sorted(r.page_url for r in out.collect()) == ["https://x.com/n", "https://x.com/n/de"]
 
 
+def test_walk_goes_to_the_end_and_lists_a_page_once(spark):
+    def index(*locs):
+        inner = "".join(f"<sitemap><loc>https://x.com/{u}</loc></sitemap>" for u in locs)
+        return f"<sitemapindex>{inner}</sitemapindex>"
+
+    fetched = spark.createDataFrame(
+        [
+            ("https://x.com/robots.txt", "Sitemap: /1.xml\nSitemap: /d.xml"),
+            ("https://x.com/1.xml", index("2.xml", "d.xml")),
+            ("https://x.com/2.xml", index("3.xml", "1.xml")),  # back to its own index
+            ("https://x.com/3.xml", index("4.xml")),
+            ("https://x.com/4.xml", index("deep.xml")),
+            ("https://x.com/deep.xml", urlset("https://x.com/p")),
+            ("https://x.com/d.xml", urlset("https://x.com/q")),
+        ],
+        "url string, body string",
+    )
+    roots = spark.createDataFrame([("https://x.com/robots.txt",), ("https://x.com/d.xml",)], "url string")
+    out = sorted(r.page_url for r in sitemaps.expand(fetched, roots).collect())
+    assert out == ["https://x.com/p", "https://x.com/q"]
+    assert sitemaps.expand(fetched, roots.limit(0)).count() == 0
+
+
 def test_robots(spark):
     text = (
         "User-agent: *\r\nSitemap: https://a/1.xml\r\n sitemap:https://a/2.xml\n#Sitemap: no\n"
