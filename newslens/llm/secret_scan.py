@@ -36,6 +36,7 @@ IDENTIFIER = r"(?<![A-Za-z0-9+/_=])[A-Za-z_]{8,}(?![A-Za-z0-9+/_=])"
 PER_CHARACTER = 0.5
 IN_ALL = 12.0
 UNIFORM = 0.5  # share of the uniform distribution in the model of random strings
+PRIOR = 5.0  # weight of the single characters in both models
 SAMPLE_ROWS = 2000
 SPAN = "struct<kind:int,start:int,end:int,hit:string>"
 _CHUNK = 256
@@ -133,13 +134,15 @@ def train(samples: DataFrame, text: str = "text", label: str = "label") -> list[
         n[row["label"]][number[row["a"]]][number[row["b"]]] = float(row["count"])
     if not any(r["label"] for r in counts) or all(r["label"] for r in counts):
         return [0.0] * (size * size)
+    # a bigram falls back to how often its second character is used at all
+    used = [[sum(n[k][a][b] for a in range(size)) + 0.5 for b in range(size)] for k in range(2)]
+    share = [[u / sum(own) for u in own] for own in used]
     out = []
     for a in range(size):
-        random, plain = n[1][a], n[0][a]
-        in_random, in_plain = sum(random), sum(plain)
+        seen = [sum(n[k][a]) for k in range(2)]
         for b in range(size):
-            p = UNIFORM / size + (1 - UNIFORM) * (random[b] + 1) / (in_random + size)
-            out.append(math.log(p) - math.log((plain[b] + 1) / (in_plain + size)))
+            random, plain = ((n[k][a][b] + PRIOR * share[k][b]) / (seen[k] + PRIOR) for k in range(2))
+            out.append(math.log(UNIFORM / size + (1 - UNIFORM) * random) - math.log(plain))
     return out
 
 

@@ -178,7 +178,7 @@ def write(
 
         for batch in batches:
             texts = batch.column("text")
-            for first, end, _, _ in textcore.slices(texts, SLICE_BYTES):
+            for first, end, _, _ in textcore.slices(texts, min(SLICE_BYTES, 4 * file_ids)):
                 flat, ends = coder.encode(texts.slice(first, end - first))
                 names += batch.column("id").slice(first, end - first).to_pylist()
                 counts.append(np.diff(ends))

@@ -1,0 +1,332 @@
+"""The operators against brute force, round trips and held-out rows; odd inputs."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from newslens.llm import (
+    cover_tree, decontaminate, files, fm_index, frames, html_extract, jaccard_join, langid, piece_codec, quality,
+    registry, secret_scan, simple8b, textcore, token_files, topk, warc,
+)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = "word " * 60_000
+ODD = [
+    (1, None, None, "a", 0), (2, "", "en", None, 0), (None, "the cat sat on the mat and ran", "en", "a", 30),
+    (3, "the cat sat on the mat and ran", "en", "a", 30), (3, "the cat sat on the mat and ran", "en", "a", 30),
+    (4, LONG, "en", "b", len(LONG)), (5, "12 34 !!", "en", "b", 8), (6, "token = abcdefghijklmnop 😀 ▁x\n\n y", "en", "b", 30),
+]
+
+
+@pytest.fixture
+def odd(spark):
+    """Nulls, empty and long texts, repeated rows, and columns of names that operators add."""
+    docs = spark.createDataFrame(ODD, DOCS)
+    extra = {c: F.lit(7) for c in ("row", "spans", "score", "ids", "key", "base", "rejected", "text2", "cid")}
+    return docs.withColumns(extra)
+
+
+# --- words ---------------------------------------------------------------------
+
+
+def test_words_and_shingles_equal_a_loop():
+    texts = ["A b,Céd x9", None, "", "one two three four five six", "zz"]
+    data, offsets = textcore.buffers(pa.array(texts))
+    hashes, rows = textcore.words(data, offsets)
+    found, bounds = textcore.shingles(hashes, rows, 5)
+    expected = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({i: i + 32 for i in range(65, 91)})) for t in texts]
+    assert np.diff(rows).tolist() == [len(e) for e in expected]
+    one, _ = textcore.words(*textcore.buffers(pa.array(["céd"])))
+    assert hashes[2] == one[0]
+    assert np.diff(bounds).tolist() == [1, 0, 0, 2, 1]
+
+
+# --- 1 -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_dual_search_equals_brute_force(seed):
+    r = np.random.default_rng(seed)
+    points = np.floor(r.normal(0, 60, (700, 6)) + 200 * r.integers(0, 3, (700, 1))).astype(float)
+    points[50:90] = points[50]
+    ids = r.permutation(700)
+    queries = points[::9]
+    best, compared = cover_tree.search(queries, ids[::9], points, ids, 5, np.full(len(queries), -np.inf))
+    scores = queries @ points.T
+    scores[ids[::9][:, None] == ids[None, :]] = -np.inf
+    for i in range(len(queries)):
+        assert best.id[i].tolist() == ids[np.lexsort((ids, -scores[i]))[:5]].tolist()
+    assert compared < scores.size  # something was pruned
+
+
+def test_topk_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [float("nan"), 1.0]), (4, []), (5, [1.0, None]),
+            (6, [0.5, 0.5]), (7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.search(vectors, F.col("id") == 0, k=5, block=2, pivots=2).collect()
+    assert [tuple(r) for r in sorted(got, key=lambda r: r["rank"])] == [(0, 1, 1, 32768), (0, 2, 6, 32768)]
+    assert topk.search(vectors.limit(0), F.col("id") == 0).count() == 0
+
+
+# --- 2 -------------------------------------------------------------------------
+
+
+def test_spans_equal_a_loop(spark):
+    r = random.Random(4)
+    parts = ["token", "TOKEN", "api_key", "=", ":", " ", "\"", "'", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "é😀", "x", "secret=token:", "a.b-c/d+e=f_g"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(60))) for _ in range(200)] + ["", None, "0123456789abcdef " * 700]
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.scan(df, [0.0] * 66 * 66).collect()}
+    for i, text in enumerate(texts):
+        t = text or ""
+        want = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[2]) >= 12]
+        want += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+        want += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+        assert [(s.start, secret_scan.KINDS.index(s.kind), s.end) for s in got[i].secrets] == sorted(want)
+    masked = secret_scan.redact(df, [0.0] * 66 * 66).where("doc_id = 202").first().text
+    assert masked == "[SECRET] " * 700
+
+
+def test_markov_models_tell_random_runs(spark):
+    r = random.Random(1)
+    key = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    words = ["configuration", "load_default_settings", "the_quick_brown", "connection_handler", "is_valid_entry"]
+    samples = [(key(32), 1) for _ in range(200)] + [(r.choice(words), 0) for _ in range(400)]
+    ratios = secret_scan.train(spark.createDataFrame(samples, "text string, label int"))
+    texts = [f"see {key(40)}1a now", "load_default_settings_connection_handler_2 here", "=" * 40]
+    found = secret_scan.scan(spark.createDataFrame([(t,) for t in texts], "text string"), ratios).collect()
+    assert [[s.kind for s in f.secrets] for f in found] == [["random"], [], []]
+    assert secret_scan.train(spark.createDataFrame([], "text string, label int")) == [0.0] * 66 * 66
+
+
+# --- 3 -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [0, 1, 239, 4096, 9001])
+def test_simple8b_round_trip(n):
+    r = np.random.default_rng(n)
+    for top in (1, 2, 300, 50_000, 1 << 40):
+        values = r.integers(0, top, n).astype(np.uint64)
+        if n > 100:
+            values[[3, 4, 90]] = [(1 << 60) - 1, (1 << 64) - 1, 1 << 60]
+            values[100:] *= values[100:] % np.uint64(2)
+        words, offsets = simple8b.encode(values)
+        assert (simple8b.decode(words, offsets, n) == values).all()
+
+
+def test_token_files_equal_the_library(spark, sf_dir):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_files.default_tokenizer())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame(
+        [(900, None), (901, ""), (902, "It's a.b, <|endoftext|>. É́x ... \t don't"), (903, "<|ENDOFTEXT|> İ ß,"), (None, "a")], "doc_id long, text string"))
+    manifest = token_files.write(docs, file_ids=20_000)
+    got = sorted(token_files.read(manifest).collect(), key=lambda r: (r.doc_id is not None, r.doc_id))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    start = 0
+    for row in got:
+        ids = [*tokenizer.encode(texts[row.doc_id] or "", add_special_tokens=False).ids, 2]
+        assert (row.start, row.ids, row.ids_crc32) == (start, ids, zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert len(got) == len(texts) and manifest.count() > 1
+    assert token_files.read(token_files.write(docs.limit(0))).count() == 0
+
+
+# --- 4 -------------------------------------------------------------------------
+
+
+def test_repeated_runs_equal_a_loop():
+    r = random.Random(2)
+    for _ in range(30):
+        pages = [[r.randrange(1, 4) for _ in range(r.randrange(1, 25))] for _ in range(4)]
+        tokens = [t for k, p in enumerate(pages) for t in (*p, 100 + k)]
+        owner = [k for k, p in enumerate(pages) for _ in range(len(p) + 1)]
+        got = html_extract.repeated(np.array(tokens), np.array(owner), 4)
+        want = [False] * len(tokens)
+        for i in range(len(tokens)):
+            for j in range(len(tokens)):
+                if owner[i] != owner[j] and tokens[i : i + 4] == tokens[j : j + 4] and len(tokens[i : i + 4]) == 4:
+                    want[i : i + 4] = [True] * 4
+        assert got.tolist() == want
+
+
+def test_extraction(spark):
+    nav = "<nav><ul><li><a href=/>Home</a></ul></nav><div class='ad'>Buy &amp; save</div>"
+    article = f"{nav}<article><h1>T&amp;C</h1><p><b>One  two.<br><p>Three<aside>no</aside> <i>four</i><div id=comments>c</div><script>var a='<p>';</script></article><footer>f"
+    plain = "<div>All rights reserved by the owner of this site</div><p>own {}</p>"
+    rows = [(1, "http://a/1", article), (2, "http://a/2", plain.format("x")), (3, "http://a/3", plain.format("y")), (4, None, None), (5, "u", ""), (5, "u", "")]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), group_pages=8).collect()}
+    assert got == {1: "T&C\n\nOne two.\n\nThree\n\nfour", 2: "own x", 3: "own y", 4: "", 5: ""}
+
+
+# --- 5 and 10 ------------------------------------------------------------------
+
+
+def test_quality_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = quality.op5(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").where("held_out").collect()
+    assert np.mean([r.predicted == r.quality for r in found]) > 0.95
+
+
+def test_language_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = langid.op10(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r.lang == r.lang_pred for r in found if r.held_out]) > 0.99
+    assert not any(r.rejected for r in found)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = spark.createDataFrame([("qzxj vkqw xzqj jjqv zxkw qqzj",), ("漢字漢字漢字漢字漢字",), ("123 !?",), ("",), (None,)], "text string")
+    out = langid.identify(odd, langid.train(docs)).collect()
+    assert all(r.rejected for r in out) and [r.lang_pred for r in out[2:]] == ["und"] * 3
+
+
+def test_kneser_ney_sums_to_one():
+    data, offsets = textcore.buffers(pa.array(["banana bandana", "an ant"]))
+    keys, n = np.unique(langid.grams(data, offsets)[0], return_counts=True)
+    orders = langid.Model._orders(keys, n)
+    seen = textcore.U64(0x61_0000_006E)  # context a, n of order 3
+    context = np.arange(1 << 16).astype(textcore.U64) | (textcore.U64(0x0061_006E) << textcore.U64(16))
+    assert seen and abs(langid.Model._prob(orders, 3, context).sum() - 1) < 1e-9
+
+
+# --- 6 -------------------------------------------------------------------------
+
+
+def test_fm_index_equals_a_loop():
+    r = np.random.default_rng(3)
+    text = np.concatenate([r.integers(1, 4, 300), np.tile([1, 2], 50)])
+    index = fm_index.FMIndex(text, 3)
+    phrases = r.integers(1, 4, (40, 4))
+    low, high = index.search(phrases)
+    for k, p in enumerate(phrases):
+        want = [i for i in range(len(text) - 3) if (text[i : i + 4] == p).all()]
+        assert sorted(index.locate(np.arange(low[k], high[k])).tolist()) == want
+
+
+def test_groups_of_items_find_the_same(spark, sf_dir):
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    one = decontaminate.find(docs, bench, keep=["doc_id"])
+    many = decontaminate.find(docs, bench, keep=["doc_id"], group_words=200, shard_words=500)
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "short item"), (3, "short item"), (None, "zz")], "item_id long, text string")
+    texts = spark.createDataFrame([("a Short, item!",), (None,), ("zz",)], "text string")
+    got = [(r.n_words, [tuple(s) for s in r.spans], r["items"]) for r in decontaminate.find(texts, odd).collect()]
+    assert got == [(3, [(1, 3)], ["3"]), (0, [], []), (1, [(0, 1)], [""])]
+    assert decontaminate.find(texts, odd.limit(0)).where("size(items) > 0").count() == 0
+
+
+# --- 7 -------------------------------------------------------------------------
+
+
+def test_archives_round_trip(spark):
+    big = "".join(random.Random(5).choice("abc\n é") for _ in range(70_000))
+    rows = [(2, "u\r\nX: y", big), (1, "v", big), (3, None, None), (4, "w", "short"), (5, "w", "short"), (None, "n", "z" * 200), (6, "n", "z" * 200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.read(warc.write(pages, segment_bytes=1000)).collect()}
+    assert got["1"].payload.decode() == big and got["2"].kind == "revisit" and got["2"].refers_to == "1"
+    assert got["4"].kind == got["5"].kind == "response" and got["3"].payload == b""
+    assert got["6"].kind == "response" and got[None].refers_to == "6"
+    assert warc.read(warc.write(pages.limit(0))).count() == 0
+
+
+def test_broken_segments_and_frames(spark):
+    assert warc.unchunked(warc.chunked(b"x" * 9000)) == b"x" * 9000
+    assert warc.unchunked(b"5\r\nabc") is None and warc.unchunked(b"zz\r\n") is None
+    parts = [("o", 1, None, "response", "1"), ("o", 3, 30, "continuation", None)]
+    df = spark.createDataFrame(
+        [(None, o, s, t, k, p, None, None, None, bytearray(b"0123456789")) for o, s, t, k, p in parts], warc._RECORD)
+    assert warc._assembled(df).first().block is None
+
+
+# --- 8 -------------------------------------------------------------------------
+
+
+def test_pruning_keeps_pairs_at_the_threshold():
+    least = jaccard_join.fewest_matches(0.8, 1e-6)
+    lost = 1.0
+    r = np.random.default_rng(1)
+    same = np.cumsum(r.random((20_000, jaccard_join.HASHES)) < 0.8, axis=1)[:, jaccard_join.STEP - 1 :: jaccard_join.STEP]
+    lost = (same < np.array(least)).any(1).mean()
+    assert lost < 1e-3 and least[-1] > 60
+
+
+def test_blocks_and_odd_rows(spark, odd):
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [(i, base + f" t{i}") for i in range(40)] + [(50, "other words in here now"), (51, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.near_copies(docs, block=7).collect()}
+    assert got == {i: (0, 39) for i in range(40)} | {50: (50, 0), 51: (51, 0)}
+    kept = jaccard_join.drop_near_copies(odd)
+    assert kept.columns == odd.columns and kept.count() == 6
+    assert jaccard_join.drop_near_copies(odd.limit(0)).count() == 0
+
+
+# --- 9 -------------------------------------------------------------------------
+
+
+def test_pieces_equal_the_library_and_decode(spark, odd):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    with open(piece_codec.default_model(), "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = 1  # the library's own search for the best segmentation
+    for piece in proto.pieces:
+        piece.score = max(piece.score, -60_000.0)  # so that its 32-bit sums stay exact
+    model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()] + ["x\n\ny é 日本語 😀\t", "", "\n"]
+    coder = piece_codec.Coder(piece_codec.pieces(piece_codec.default_model()), max_known=500)
+    for first in range(0, len(texts), 50):
+        part = texts[first : first + 50]
+        ids, ends = coder.encode(pa.array(part))
+        for i, text in enumerate(part):
+            assert ids[ends[i] : ends[i + 1]].tolist() == model.encode(text)
+    back = piece_codec.decoded(piece_codec.encode(odd)).select("doc_id", "text").collect()
+    assert sorted(map(str, back)) == sorted(str(r) for r in odd.select("doc_id", "text").collect())
+
+
+# --- all -----------------------------------------------------------------------
+
+
+def test_operators_keep_odd_rows_and_columns(spark, odd):
+    plain = [c for c in odd.columns if c not in ("score", "rejected")]
+    model = langid.train(odd)
+    for out, lost in (
+        (langid.identify(odd, model), 0), (secret_scan.redact(odd, secret_scan.train(secret_scan.labelled_samples(odd))), 0),
+        (decontaminate.drop_contaminated(odd, spark.createDataFrame([(1, "no such words at all")], "item_id long, text string")), 0),
+        (quality.score(odd, quality.train(odd, spark.createDataFrame([(3, 1)], "doc_id long, quality int"))), 0),
+        (piece_codec.encode(odd), 0),
+    ):
+        assert set(plain) <= set(out.columns) and out.count() == len(ODD) - lost
+    empty = odd.limit(0)
+    assert langid.identify(empty, langid.train(empty)).count() == 0
+    assert quality.score(empty, quality.train(empty, spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
+    assert frames.unpack(frames.pack(odd, "text"), "text", odd.columns).columns == odd.columns
+
+
+def test_files_are_read_as_written(tmp_path):
+    assert files.read(files.write(f"file://{tmp_path}", "x", [b"a", b"b"])) == b"ab"
+
+
+def test_pipeline(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = corpus_pipeline.run(spark, sf_dir).collect()
+    near = {r.class_id for r in jaccard_join.near_copies(docs).collect()}
+    bad = {r.doc_id for r in decontaminate.op6(spark, sf_dir).where("contaminated").collect()}
+    assert {r.doc_id for r in out} == near - bad
+    secret = {r.doc_id for r in secret_scan.op2(spark, sf_dir).where("spans <> ''").collect()}
+    own = {r.doc_id: r.text for r in docs.collect()}
+    for r in out:
+        assert (r.text == own[r.doc_id]) == (r.doc_id not in secret) and r.n_chars == len(r.text) and r.n_tokens == len(r.ids)
+
+
+def test_registry():
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11)) and set(registry.SQL) <= set(registry.QUERIES)
