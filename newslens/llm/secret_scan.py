@@ -141,7 +141,7 @@ def train(samples: DataFrame, text: str = "text", label: str = "label") -> list[
     for a in range(size):
         seen = [sum(n[k][a]) for k in range(2)]
         for b in range(size):
-            random, plain = ((n[k][a][b] + PRIOR * share[k][b]) / (seen[k] + PRIOR) for k in range(2))
+            random, plain = ((n[k][a][b] + PRIOR * share[k][b]) / (seen[k] + PRIOR) for k in (1, 0))
             out.append(math.log(UNIFORM / size + (1 - UNIFORM) * random) - math.log(plain))
     return out
 
