@@ -97,14 +97,17 @@ def labelled_samples(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROW
     """text and label (1 random, 0 ordinary) from a bounded sample of documents.
 
     Values that the patterns find are random, runs of letters and underscores are ordinary.
-    Each label takes ``rows`` documents at most, those of the smallest hash.
+    Each label takes ``rows`` distinct texts at most, those of the smallest hash. The hashes
+    are ranked first, so that only texts of the sample are ever shuffled.
     """
     own = docs.select(F.coalesce(F.col(frames.quoted(text)).cast("string"), F.lit("")).alias("text"))
     own = own.withColumn("order", F.xxhash64("text"))
     any_base = F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")
 
     def sample(part: DataFrame) -> DataFrame:
-        return part.orderBy("order", "text").limit(rows)
+        last = part.select("order").distinct().orderBy("order").limit(rows).agg(F.max("order")).first()[0]
+        kept = part.where(F.col("order") <= last) if last is not None else part.limit(0)
+        return kept.groupBy("order").agg(F.min("text").alias("text"))
 
     secret = sample(own.where(any_base)).select(F.explode(base_spans(F.col("text"))).alias("s"))
     value = F.when(F.col("s.kind") == 0, F.regexp_extract("s.hit", ASSIGN, 2)).otherwise(F.col("s.hit"))
