@@ -109,7 +109,7 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     def count(batches):
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), object)
-            for first, end, data, offsets in textcore.slices(batch.column("text"), 1 << 22):
+            for first, end, data, offsets in textcore.slices(batch.column("text"), 1 << 21):
                 packed, bounds, _ = grams(data, offsets)
                 names, number = np.unique(langs[first:end].astype(str), return_inverse=True)
                 of = np.repeat(number, np.diff(bounds))
