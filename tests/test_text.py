@@ -152,7 +152,7 @@ def resolve(spark, rows, **options):
     return {r.id: r for r in companies.resolve_company(df, **options).collect()}
 
 
-@pytest.mark.parametrize("similarity", [companies.best_partial_ratio, companies.best_levenshtein])
+@pytest.mark.parametrize("similarity", [None, strings.best_partial_ratio, companies.best_levenshtein])
 def test_resolve_company(spark, similarity):
     out = resolve(
         spark,
@@ -172,6 +172,20 @@ def test_resolve_company(spark, similarity):
     assert out[3].similarity == 0 and out[4].similarity == 0
 
 
+def test_each_pair_of_topic_and_name_is_scored_once(spark):
+    rows = [(i, "Oil" if i % 3 else "Baker Hughes", ["Baker Hughes", "Xyz", "Xyz"]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, topic string, orgs array<string>")
+    pairs = df.select("topic", F.explode("orgs").alias("org"))
+    scored = companies.pair_ratios(pairs)
+    assert scored.count() == 4
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("HashAggregate")  # above the aggregate
+    assert "hashpartitioning(topic" in plan and "org#" in plan.split("hashpartitioning(topic")[1][:20]
+    out = companies.resolve_company(df)
+    assert out.count() == 300
+    assert {(r.topic, r.corp) for r in out.collect()} == {("Oil", ""), ("Baker Hughes", "Baker Hughes")}
+
+
 def test_threshold_is_strict(spark):
     assert strings.partial_ratio_score("ab", "ax") == 67
     rows = [(1, "ab", ["ax"])]
