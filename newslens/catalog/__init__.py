@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from newslens.catalog import market, models, relational, streams, text  # noqa: F401
+    from newslens.catalog import chains, market, models, relational, streams, text  # noqa: F401

@@ -224,38 +224,63 @@ PRICED_ARTICLES = """priced_articles as (
     o_orderdate::date as date_published from orders)"""
 
 
-def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars with every line item as a trade of its supplier.
-
-    Trades are ordered by line; repeated line numbers by price. The order is one
-    long, which keeps the aggregate hash-based (a struct would make it sort).
-    """
+def _trade_order():
+    """Trades are ordered by line; repeated line numbers by price, which has less than
+    2^24 cents. The order is one long, which keeps the aggregate hash-based (a struct
+    would make it sort)."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * (1 << 24) + cents
+
+
+def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars with every line item as a trade of its supplier."""
     return daily_bars(
         table(spark, sf_dir, "lineitem"),
         "l_suppkey",
         F.col("l_shipdate"),
         "l_extendedprice",
-        line * (1 << 20) + cents % (1 << 20),
+        _trade_order(),
         F.col("l_quantity").cast("long"),
     )
 
 
+def news_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of the listed securities in the two months from the first article on,
+    with every line item as a trade of its part."""
+    day = F.date_add(
+        F.lit("2024-01-01").cast("date"),
+        F.datediff("l_shipdate", F.lit("1992-01-01").cast("date")) % 60,
+    )
+    traded = table(spark, sf_dir, "lineitem").withColumn(
+        "code", F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
+    )
+    return daily_bars(
+        traded, "code", day, "l_extendedprice", _trade_order(), F.col("l_quantity").cast("long")
+    ).select("ticker", "date", "open", "adjusted_close")
+
+
 def label_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bar fields that labels need; the others are never computed."""
     return price_bars(spark, sf_dir).select("ticker", "date", "open", "adjusted_close")
 
 
-PRICE_BARS = """bars as (
+_TRADE_ORDER = """(l_orderkey * 10 + l_linenumber) * 16777216
+    + round(l_extendedprice * 100)::bigint"""
+
+NEWS_BARS = f"""bars as (
+  select 'P' || l_partkey::varchar as ticker,
+    date '2024-01-01' + (l_shipdate::date - date '1992-01-01')::int % 60 as date,
+    arg_min(l_extendedprice, ord) as open, arg_max(l_extendedprice, ord) as adjusted_close
+  from (select *, {_TRADE_ORDER} as ord from lineitem) group by 1, 2)"""
+
+PRICE_BARS = f"""bars as (
   select l_suppkey as ticker, l_shipdate::date as date,
     arg_min(l_extendedprice, ord) as open,
     max(l_extendedprice) as high, min(l_extendedprice) as low,
     arg_max(l_extendedprice, ord) as close,
     arg_max(l_extendedprice, ord) as adjusted_close,
     sum(l_quantity::bigint)::bigint as volume
-  from (select *, (l_orderkey * 10 + l_linenumber) * 1048576
-    + round(l_extendedprice * 100)::bigint % 1048576 as ord from lineitem) group by 1, 2)"""
+  from (select *, {_TRADE_ORDER} as ord from lineitem) group by 1, 2)"""
 
 # Each article with each bar of its window; md is the least distance to a week on.
 WINDOWED = """windowed as (

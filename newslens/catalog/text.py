@@ -13,6 +13,7 @@ from newslens.functions import strings
 from newslens.functions import text as tx
 from newslens.operators import companies, entities, matching, summaries
 from newslens.plans import enrich
+from newslens.settings import stored
 
 from newslens.sources import pages as page_source
 from newslens.sources import sitemaps, symbols_json
@@ -648,38 +649,47 @@ def summarize_extractive(spark, sf_dir):
 # --- the chain of stages ----------------------------------------------------
 
 
-@register(
-    "enrich_articles",
-    fx.with_sql(
+def chain_parts(score) -> tuple[str, ...]:
+    """From articles to the nearest listed name of each company found, ``best``."""
+    return (
         fx.ARTICLES,
         fx.SYMBOLS,
         *summary_sql("id", "text", "articles"),
         """todo as (select a.*, s.summary from articles a join summarized s on s.id = a.id
   where starts_with(a.topic_url_path, '/stream'))""",
         *_candidate_parts("summary", "todo"),
-        f"resolved as ({_resolved_sql('todo')})",
+        f"resolved as ({_resolved_sql('todo', score)})",
         f"""ticker_names as (select r.id, r.corp from resolved r join articles a on a.id = r.id
   where r.corp <> '' and a.date_published > timestamp '{LO} 00:00:00'
     and a.date_published < timestamp '{HI} 00:00:00')""",
         *_KNN_PARTS,
     )
-    + """select s.id, s.summary, r.corp, y.code as symbol, y.exchange, t.id is not null as tried
-from summarized s left join resolved r on r.id = s.id left join ticker_names t on t.id = s.id
-left join best b on b.name = lower(t.corp) left join symbols y on y.id = b.id""",
-)
-def enrich_articles(spark, sf_dir):
-    articles = fx.articles(spark, sf_dir)
-    nothing = enrich.StageTables(
+
+
+def nothing_done(spark) -> enrich.StageTables:
+    bar = "date:date,open:double,adjusted_close:double"
+    return enrich.StageTables(
         summaries=spark.createDataFrame([], "id long, summary string"),
         companies=spark.createDataFrame([], "id long, corp string"),
         tickers=spark.createDataFrame([], "id long, symbol string, exchange string"),
-        article_prices=spark.createDataFrame([], "id long, prices array<struct<open:double>>"),
+        article_prices=spark.createDataFrame([], f"id long, prices array<struct<{bar}>>"),
         predictions=spark.createDataFrame([], "id long, prediction string"),
     )
+
+
+@register(
+    "enrich_articles",
+    fx.with_sql(*chain_parts(levenshtein_sql))
+    + """select s.id, s.summary, r.corp, y.code as symbol, y.exchange, t.id is not null as tried
+from summarized s left join resolved r on r.id = s.id left join ticker_names t on t.id = s.id
+left join best b on b.name = lower(t.corp) left join symbols y on y.id = b.id""",
+)
+def enrich_articles(spark, sf_dir):
+    articles = stored(fx.articles(spark, sf_dir), "articles")
     done = enrich.enrich_articles(
         articles,
         fx.symbols(spark, sf_dir),
-        nothing,
+        nothing_done(spark),
         LO,
         HI,
         similarity=companies.best_levenshtein,

@@ -8,12 +8,12 @@ summary; none of them is a neural network and none should be read as one.
 from __future__ import annotations
 
 from pyspark.ml import Transformer
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,8 +128,15 @@ class NamedEntityRecognizer(TextStage):
         return tagged.withColumn("sentence", sentences(text)).withColumn("token", words(text))
 
 
+def word_bucket(word: Column, buckets: int) -> Column:
+    """The first seven hexadecimal digits of the word's MD5, modulo ``buckets``: a rule
+    that any engine can repeat."""
+    return F.conv(F.substring(F.md5(word.cast("binary")), 1, 7), 16, 10).cast("long") % buckets
+
+
 class Vectorizer(TextStage):
-    """Text to ``array<vector>`` with one vector: unit-length hashed word counts.
+    """Text to ``array<vector>`` with one vector: unit-length counts of words by
+    :func:`word_bucket`.
 
     The size is fixed by ``numFeatures``, so nothing is fitted or collected. With
     ``cleanAnnotations=False`` the words stay as the column ``token``.
@@ -144,20 +151,20 @@ class Vectorizer(TextStage):
         if self.model:
             vectors = model_column(self.model, T.ArrayType(VectorUDT()), input=F.col(text))
             return df.withColumn(output, vectors)
-        stages = [
-            RegexTokenizer(
-                inputCol="__text", outputCol="token", gaps=False, pattern=r"[\p{L}\p{N}]+"
-            ),
-            HashingTF(
-                inputCol="token", outputCol="__counts", numFeatures=self.getOrDefault("numFeatures")
-            ),
-            Normalizer(inputCol="__counts", outputCol="__unit", p=2.0),
-        ]
-        vectorized = df.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-        for stage in stages:
-            vectorized = stage.transform(vectorized)
+        size = self.getOrDefault("numFeatures")
+        counter = CountVectorizerModel.from_vocabulary(
+            [str(i) for i in range(size)], inputCol="__buckets", outputCol="__counts"
+        )
+        unit = Normalizer(inputCol="__counts", outputCol="__unit", p=2.0)
+        vectorized = df.withColumn("token", words(F.coalesce(F.col(text), F.lit(""))))
+        vectorized = vectorized.withColumn(
+            "__buckets", F.transform("token", lambda w: word_bucket(w, size).cast("string"))
+        )
+        vectorized = unit.transform(counter.transform(vectorized))
         embedding = F.when(F.col(text).isNotNull(), F.array("__unit"))
-        vectorized = vectorized.withColumn(output, embedding).drop("__text", "__counts", "__unit")
+        vectorized = vectorized.withColumn(output, embedding).drop(
+            "__buckets", "__counts", "__unit"
+        )
         return vectorized.drop("token") if self.getOrDefault("cleanAnnotations") else vectorized
 
 

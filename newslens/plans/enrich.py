@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 
 from newslens.ml.direction import Trained, predict_direction, train_direction_model
 from newslens.operators import companies, matching, stages
-from newslens.operators.merge import partial_update
-from newslens.operators.prices import attach_prices
+from newslens.operators.prices import attach_prices, forward_label
 from newslens.operators.summaries import summarize_extractive
 from newslens.settings import JobSettings, stored
 
@@ -39,7 +38,7 @@ def resolve_pending(
     done: StageTables,
     names: DataFrame,
     settings: JobSettings,
-    similarity=companies.best_partial_ratio,
+    similarity=None,
 ) -> DataFrame:
     todo = stages.pending_companies(articles, done.summaries, done.companies)
     tagged = companies.find_organisations(todo, names)
@@ -77,6 +76,12 @@ def predict_pending(
     return predict_direction(todo, model)
 
 
+def label_priced(articles: DataFrame, done: StageTables, tie: str = "both") -> DataFrame:
+    """``(id, date_published, headline, description, summary, ..., label)`` of priced articles."""
+    priced = stages.trainable_articles(articles, done.summaries, done.article_prices)
+    return forward_label(priced, tie=tie)
+
+
 def train_on_priced(articles: DataFrame, done: StageTables, **options) -> Trained:
     priced = stages.trainable_articles(articles, done.summaries, done.article_prices)
     return train_direction_model(priced, **options)
@@ -89,19 +94,23 @@ def enrich_articles(
     lo: date,
     hi: date,
     settings: JobSettings | None = None,
-    similarity=companies.best_partial_ratio,
+    similarity=None,
 ) -> StageTables:
-    """Summaries, companies and tickers of everything pending, merged into ``done``.
+    """Summaries, companies and tickers of everything pending, appended to ``done``.
 
-    The new rows of each stage are written before the next stage reads them, so no
-    stage is computed twice and a lost executor costs no finished stage.
+    What is pending has no row in its stage table yet, so new rows are added without
+    a join. They are written before the next stage reads them: no stage is computed
+    twice and a lost executor costs no finished stage. ``similarity`` as in
+    :func:`newslens.operators.companies.resolve_company`.
     """
     settings = settings or JobSettings()
 
     def after(**new: DataFrame) -> StageTables:
         tables = dict(done.__dict__)
         for name, rows in new.items():
-            tables[name] = partial_update(tables[name], stored(rows, name), ["id"])
+            tables[name] = tables[name].unionByName(
+                stored(rows, name), allowMissingColumns=True
+            )
         return StageTables(**tables)
 
     done = after(summaries=summarize_pending(articles, done, settings))
