@@ -235,13 +235,14 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_grams:
     from newslens.settings import stored
 
     counted = stored(count_grams(docs, text, lang), "grams")
-    by_count = counted.groupBy("lang", F.least("n", F.lit(256)).alias("n")).agg(F.count("*").alias("kinds"))
+    level = F.floor(F.log2("n") * 8).alias("level")
+    by_count = counted.groupBy("lang", level).agg(F.min("n").alias("n"), F.count("*").alias("kinds"))
     least: dict[str, int] = {}
-    for name, rows in _grouped(by_count.collect()).items():  # at most 256 rows a language
+    for name, rows in _grouped(by_count.collect()).items():  # at most 8 * 63 rows a language
         kept = 0
-        for row in sorted(rows, key=lambda r: -r.n):
+        for row in sorted(rows, key=lambda r: -r.level):
             kept += row.kinds
-            if kept > max_grams and name in least:
+            if kept > max_grams:
                 break
             least[name] = row.n
     counts = {}
