@@ -224,7 +224,7 @@ PRICED_ARTICLES = """priced_articles as (
     o_orderdate::date as date_published from orders)"""
 
 
-def _trade_order():
+def trade_order():
     """Trades are ordered by line; repeated line numbers by price, which has less than
     2^24 cents. The order is one long, which keeps the aggregate hash-based (a struct
     would make it sort)."""
@@ -239,7 +239,7 @@ def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey",
         F.col("l_shipdate"),
         "l_extendedprice",
-        _trade_order(),
+        trade_order(),
         F.col("l_quantity").cast("long"),
     )
 
@@ -255,7 +255,7 @@ def news_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "code", F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     )
     return daily_bars(
-        traded, "code", day, "l_extendedprice", _trade_order(), F.col("l_quantity").cast("long")
+        traded, "code", day, "l_extendedprice", trade_order(), F.col("l_quantity").cast("long")
     ).select("ticker", "date", "open", "adjusted_close")
 
 

@@ -50,6 +50,36 @@ def stream_incremental_merge(spark, sf_dir):
     return incremental.current(spark, base, log, ["o_orderkey"], _SEQUENCE)
 
 
+@register(
+    "stream_daily_prices",
+    fx.with_sql(fx.PRICED_ARTICLES, fx.PRICE_BARS)
+    + """select a.id, a.ticker, a.date_published as published, b.date, b.open, b.high, b.low, b.close
+from priced_articles a left join bars b
+  on b.ticker = a.ticker and b.date between a.date_published and a.date_published + 28""",
+)
+def stream_daily_prices(spark, sf_dir):
+    """Trades stream in by line number, that is out of order, over several micro-batches."""
+    folder = shared_dir(spark, "daily")
+    trades = fx.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("ticker"),
+        F.col("l_shipdate").alias("traded"),
+        F.col("l_extendedprice").alias("price"),
+        fx.trade_order().alias("seq"),
+        F.col("l_linenumber").alias("part"),
+    )
+    trades.write.partitionBy("part").parquet(f"{folder}/trades")
+    landed = spark.read.parquet(f"{folder}/trades")
+    batches = 4
+    arriving = (
+        spark.readStream.schema(landed.schema)
+        .option("maxFilesPerTrigger", max(1, len(landed.inputFiles()) // batches))
+        .parquet(f"{folder}/trades")
+    )
+    price_join.log_daily_bars(arriving.drop("part"), f"{folder}/log", f"{folder}/checkpoint")
+    articles = fx.priced_articles(spark, sf_dir).withColumnRenamed("date_published", "published")
+    return price_join.attach_logged_prices(articles, price_join.logged_bars(spark, f"{folder}/log"))
+
+
 @register(
     "stream_attach_prices",
     """select o_orderkey as id, a.ticker, o_orderdate::date as published, l_shipdate::date as traded,

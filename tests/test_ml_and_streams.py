@@ -168,6 +168,58 @@ def test_streamed_updates_equal_one_batch_upsert_also_after_a_restart(spark):
     assert run() == batch()
 
 
+def test_a_folded_log_and_a_fresh_checkpoint_lose_nothing(spark):
+    folder = shared_dir(spark, "test")
+    schema = "id long, v string, seq long"
+    base = spark.createDataFrame([(0, "base"), (9, "base")], "id long, v string")
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def run(log, checkpoint):
+        updates = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        incremental.log_updates(updates, ["id"], ["seq"], f"{folder}/{log}", f"{folder}/{checkpoint}")
+        out = incremental.current(spark, base, f"{folder}/{log}", ["id"], ["seq"])
+        return sorted(map(tuple, out.collect()))
+
+    land([(0, "a", 5), (1, "a", 6)])
+    land([(1, "b", 8), (2, "b", 7)])
+    expected = [(0, "a"), (1, "b"), (2, "b"), (9, "base")]
+    assert run("log", "check") == expected
+    incremental.compact(spark, f"{folder}/log", ["id"], ["seq"], f"{folder}/log2")
+    assert incremental.read_log(spark, f"{folder}/log2").count() == 3
+    land([(1, "late", 1), (3, "c", 9)])
+    expected = sorted([*expected, (3, "c")])
+    assert run("log2", "check") == expected
+    # A fresh checkpoint reads the input again; what the old one logged stays.
+    before = incremental.read_log(spark, f"{folder}/log2").count()
+    assert run("log2", "check2") == expected
+    assert incremental.read_log(spark, f"{folder}/log2").count() > before
+
+
+def test_daily_prices_of_trades_that_come_out_of_order(spark):
+    folder, start = shared_dir(spark, "test"), datetime(2024, 1, 1)
+    trades = [("T", start + timedelta(days=d % 9, hours=d % 5), float(d * 7 % 31), d) for d in range(90)]
+    schema = "ticker string, traded timestamp, price double, seq long"
+    for part in (trades[60:], trades[:30], trades[30:60]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    price_join.log_daily_bars(arriving, f"{folder}/log", f"{folder}/check")
+    bars = price_join.logged_bars(spark, f"{folder}/log")
+    articles = spark.createDataFrame(
+        [(1, "T", start.date()), (2, "T", (start + timedelta(days=5)).date()), (3, "U", start.date())],
+        "id long, ticker string, published date",
+    )
+    got = price_join.attach_logged_prices(articles, bars, days=2).collect()
+    assert sorted(r.id for r in got) == [1, 1, 1, 2, 2, 2, 3]
+    assert [r.open for r in got if r.id == 3] == [None]
+    for r in got:
+        if r.id != 3:
+            day = [t for t in trades if t[1].date() == r.date]
+            prices = [t[2] for t in day]
+            assert (r.open, r.high, r.low, r.close) == (prices[0], max(prices), min(prices), prices[-1])
+
+
 def test_streamed_price_join_equals_batch_over_several_files(spark):
     folder, start = shared_dir(spark, "test"), datetime(2024, 1, 1)
     articles = [(i, "H" if i % 3 else "T", start + timedelta(hours=7 * i)) for i in range(60)]
