@@ -167,6 +167,47 @@ def test_extraction(spark):
     assert got == {1: "T&C\n\nOne two.\n\nThree\n\nfour", 2: "own x", 3: "own y", 4: "", 5: ""}
 
 
+def _naive_extraction(rows, least):
+    """Text and covered tokens of (id, host, html) by comparing every window with those of all other pages of the host."""
+    cut = {i: [(k, t.split(" ")) for k, t in html_extract.blocks(page) if k != html_extract.BODY] for i, _, page in rows}
+    windows = {i: {tuple(t[j : j + least]) for _, t in page for j in range(len(t) - least + 1)} for i, page in cut.items()}
+    out = {}
+    for i, host, page in rows:
+        others = set().union(*[windows[j] for j, h, _ in rows if h == host and j != i])
+        kept, count = [], 0
+        for kind, tokens in cut[i]:
+            gone = [False] * len(tokens)
+            for j in range(len(tokens) - least + 1):
+                if tuple(tokens[j : j + least]) in others:
+                    gone[j : j + least] = [True] * least
+            count += sum(gone)
+            rest = " ".join(t for t, g in zip(tokens, gone) if not g)
+            if rest and kind == html_extract.REST:
+                kept.append(rest)
+        body = [t for k, t in html_extract.blocks(page) if k == html_extract.BODY]
+        out[i] = ("\n\n".join(body or kept), count)
+    return out
+
+
+def _host_pages():
+    r = random.Random(7)
+    rows = []
+    for i in range(160):
+        words = lambda n: " ".join(r.choice(["é", "b", "c"]) + str(r.randrange(3)) for _ in range(n))
+        body = f"<article><p>{words(9)}</article>" if i % 4 == 0 else ""
+        notice = f"<p>only two pages say this about {i // 80} on a host" if i in (3, 77, 90, 159) else ""
+        rows.append((i, "big" if i < 130 else "small", f"<nav>{words(5)}</nav>{body}<div>{words(12)}</div>{notice}<footer>all rights reserved by its owner x{i}"))
+    return rows
+
+
+def test_pages_with_articles_count_repeated_tokens(spark):
+    rows = _host_pages()
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, h, p in rows], "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.repeated) for r in html_extract.extract(pages).collect()}
+    assert got == _naive_extraction(rows, 6)
+    assert all(got[i][1] >= 6 for i in range(0, 160, 4))  # the footer, although these pages have an article
+
+
 # --- 5 and 10 ------------------------------------------------------------------
 
 
