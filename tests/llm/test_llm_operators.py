@@ -208,6 +208,15 @@ def test_pages_with_articles_count_repeated_tokens(spark):
     assert all(got[i][1] >= 6 for i in range(0, 160, 4))  # the footer, although these pages have an article
 
 
+def test_groups_of_a_host_change_nothing(spark):
+    rows = _host_pages()
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, h, p in rows], "page_id long, url string, html string")
+    want = _naive_extraction(rows, 6)
+    assert "only two pages" not in want[3][0] + want[77][0]
+    for size in (1, 8, 50):
+        assert {r.page_id: (r.text, r.repeated) for r in html_extract.extract(pages, group_pages=size).collect()} == want
+
+
 # --- 5 and 10 ------------------------------------------------------------------
 
 
