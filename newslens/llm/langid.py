@@ -10,8 +10,9 @@ A text gets the language of lowest cross-entropy per character. It is rejected w
 entropy exceeds what the language's own counts predict for a text of its length:
 mean + slack + z * deviation / sqrt(length), mean and deviation taken from all counts.
 
-The model is the one thing that goes through the driver: at most ``max_grams`` 4-grams per
-language. Beyond that, the rarest counts of the language are left to the lower orders.
+No n-gram is left out. While every language has at most ``max_grams`` distinct 4-grams, the arrays are built on the
+driver and broadcast. Beyond that Spark computes the same probabilities from all counts and keeps them as tables; texts
+are scored by joining their n-grams to those. Only discounts, means and deviations, a few numbers a language, are collected.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected;
 rows without lang or text teach nothing; with nothing to learn from, all is ``und``; ties go
@@ -23,15 +24,18 @@ from __future__ import annotations
 import sys
 import unicodedata
 from functools import lru_cache
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslens.llm import frames, textcore
 from newslens.llm.textcore import U64
+from newslens.operators.skew import lookup_join
+from newslens.settings import stored
 
 ORDER = 4
 MAX_GRAMS = 1_000_000
@@ -124,14 +128,17 @@ def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _discount(once: int, twice: int) -> float:
+    return min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.5
+
+
 class _Order:
     """Counts of the n-grams of one order and language, sorted, with totals by context."""
 
     def __init__(self, keys: np.ndarray, n: np.ndarray):
         by = np.argsort(keys)
         self.keys, self.n = keys[by], n[by].astype(float)
-        once, twice = np.count_nonzero(n == 1), np.count_nonzero(n == 2)
-        self.discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.5
+        self.discount = _discount(np.count_nonzero(n == 1), np.count_nonzero(n == 2))
         self.contexts, at = np.unique(self.keys >> _SHIFT, return_inverse=True)
         self.total = np.bincount(at, self.n, len(self.contexts))
         kinds = np.bincount(at, np.minimum(self.n, self.discount), len(self.contexts))
@@ -216,56 +223,118 @@ class Model:
         for _, _, data, offsets in textcore.slices(column):
             packed, bounds, has_letter = grams(data, offsets)
             cost = -np.add.reduceat(self.log_probs(packed), bounds[:-1], axis=0, dtype=np.float64)
-            length = np.diff(bounds)[:, None]
-            entropy = cost / length
-            best = entropy.argmin(1)
-            rows = np.arange(len(best))
-            lowest = entropy[rows, best]
-            evidence = length / (1 + length / 40)  # characters are not independent
-            score = 1 / np.exp(np.minimum((lowest[:, None] - entropy) * evidence, 0)).sum(1)
-            limit = self.mean[best] + slack + z * self.deviation[best] / np.sqrt(length[:, 0])
-            langs += [self.langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), has_letter.tolist())]
-            scores += np.where(has_letter, score, 0.0).tolist()
-            rejected += (~has_letter | (lowest > limit)).tolist()
+            for all_of, some in zip((langs, scores, rejected), _decided(self, cost, np.diff(bounds), has_letter, z, slack)):
+                all_of += some
         return langs, scores, rejected
 
 
-def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> Model:
-    """Count all 4-grams of the rows with a language and build the arrays on the driver."""
-    from newslens.settings import stored
+def _decided(model, cost: np.ndarray, length: np.ndarray, has_letter: np.ndarray, z: float, slack: float) -> tuple[list, list, list]:
+    """Language, score and rejection of rows from what they cost in each language."""
+    length = length[:, None]
+    entropy = cost / length
+    best = entropy.argmin(1)
+    lowest = entropy[np.arange(len(best)), best]
+    evidence = length / (1 + length / 40)  # characters are not independent
+    score = 1 / np.exp(np.minimum((lowest[:, None] - entropy) * evidence, 0)).sum(1)
+    limit = model.mean[best] + slack + z * model.deviation[best] / np.sqrt(length[:, 0])
+    langs = [model.langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), has_letter.tolist())]
+    return langs, np.where(has_letter, score, 0.0).tolist(), (~has_letter | (lowest > limit)).tolist()
+
+
+def _by_lang(value) -> Column:
+    return F.map_from_entries(F.collect_list(F.struct("lang", value)))
+
+
+class Tables:
+    """The probabilities of ``Model`` as Spark tables: for each order the discounted ``shares`` of n-grams and the
+    ``weights`` that contexts leave to the lower order, maps from the number of a language."""
+
+    def __init__(self, counts: DataFrame, langs: list[str]):
+        self.langs, self.shares, self.weights = langs, {}, {}
+        number = F.array_position(F.array(*[F.lit(lang) for lang in langs]), F.col("lang")) - 1
+        top = orders = stored(counts.select(number.cast("int").alias("lang"), "gram", "n"), "order")
+        for k in range(ORDER, 0, -1):
+            if k < ORDER:
+                orders = stored(orders.groupBy("lang", self._tail(k).alias("gram")).agg(F.count("*").alias("n")), "order")
+            discount = [0.5] * len(langs)
+            for row in orders.groupBy("lang").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).collect():
+                discount[row[0]] = _discount(row[1], row[2])
+            cut = F.get(F.array(*[F.lit(d) for d in discount]), F.col("lang"))
+            grams = orders.withColumn("key", F.shiftrightunsigned("gram", 16))
+            contexts = stored(grams.groupBy("lang", "key").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "contexts")
+            share = lookup_join(grams, contexts, ["lang", "key"], ["gram"]).withColumn("share", (F.col("n") - cut) / F.col("total"))
+            self.shares[k] = stored(share.groupBy(F.col("gram").alias("key")).agg(_by_lang("share").alias(f"share{k}")), "shares")
+            weight = contexts.withColumn("weight", cut * F.col("kinds") / F.col("total"))
+            self.weights[k] = stored(weight.groupBy("key").agg(_by_lang("weight").alias(f"weight{k}")), "weights")
+        costs = lookup_join(top, self.log_probs(top.select("gram").distinct()), ["gram"], ["lang"])
+        cost = -F.get("logp", F.col("lang"))
+        self.mean, self.deviation = np.zeros(len(langs)), np.zeros(len(langs))
+        for row in costs.groupBy("lang").agg(F.sum("n"), F.sum(cost * F.col("n")), F.sum(cost * cost * F.col("n"))).collect():
+            self.mean[row[0]] = row[2] / row[1]
+            self.deviation[row[0]] = np.sqrt(max(row[3] / row[1] - (row[2] / row[1]) ** 2, 0.0))
 
+    @staticmethod
+    def _tail(k: int) -> Column:
+        return F.col("gram") if k == ORDER else F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1))
+
+    def log_probs(self, grams: DataFrame) -> DataFrame:
+        """gram and logp, an array over the languages, of distinct n-grams."""
+        for k in range(1, ORDER + 1):
+            grams = lookup_join(grams.withColumn("key", self._tail(k)), self.shares[k], ["key"], ["gram"])
+            grams = lookup_join(grams.withColumn("key", F.shiftrightunsigned(self._tail(k), 16)), self.weights[k], ["key"], ["gram"])
+
+        def log_prob(lang):
+            p = F.lit(1.0 / (1 << 16))
+            for k in range(1, ORDER + 1):
+                share, weight = F.try_element_at(f"share{k}", lang), F.try_element_at(f"weight{k}", lang)
+                p = F.coalesce(share, F.lit(0.0)) + F.coalesce(weight, F.lit(1.0)) * p
+            return F.log(p)
+
+        return grams.select("gram", F.transform(F.sequence(F.lit(0), F.lit(len(self.langs) - 1)), log_prob).alias("logp"))
+
+    def costs(self, texts: DataFrame) -> DataFrame:
+        """id, length, has_letter and cost (an array over the languages) of rows of id and text."""
+
+        def cut(batches):
+            for batch in batches:
+                ids = batch.column("id").to_numpy()
+                for first, end, data, offsets in textcore.slices(batch.column("text"), 1 << 21):
+                    packed, bounds, has_letter = grams(data, offsets)
+                    of = np.repeat(np.arange(end - first), np.diff(bounds))
+                    by = np.lexsort((packed, of))
+                    packed, of = packed[by], of[by]
+                    at = np.flatnonzero(np.concatenate([[True], (packed[1:] != packed[:-1]) | (of[1:] != of[:-1])]))
+                    n = np.diff(np.concatenate([at, [len(of)]]))
+                    columns = [ids[first:end][of[at]], has_letter[of[at]], packed[at].view(np.int64), n]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "has_letter", "gram", "n"])
+
+        found = stored(texts.mapInArrow(cut, "id long, has_letter boolean, gram long, n long"), "found")
+        known = stored(self.log_probs(found.select("gram").distinct()), "known")
+        cost = F.array(*[F.sum(-F.get("logp", F.lit(i)) * F.col("n")) for i in range(len(self.langs))])
+        summed = lookup_join(found, known, ["gram"], ["id"]).groupBy("id")
+        return summed.agg(F.sum("n").alias("length"), F.first("has_letter").alias("has_letter"), cost.alias("cost"))
+
+
+def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> Model | Tables:
+    """Count all 4-grams of the rows with a language; arrays on the driver, or tables if a language has more than ``max_grams``."""
     counted = stored(count_grams(docs, text, lang), "grams")
-    level = F.floor(F.log2("n") * 8).alias("level")
-    by_count = counted.groupBy("lang", level).agg(F.min("n").alias("n"), F.count("*").alias("kinds"))
-    least: dict[str, int] = {}
-    for name, rows in _grouped(by_count.collect()).items():  # at most 8 * 63 rows a language
-        kept = 0
-        for row in sorted(rows, key=lambda r: -r.level):
-            kept += row.kinds
-            if kept > max_grams:
-                break
-            least[name] = row.n
+    kinds = {row.lang: row["count"] for row in counted.groupBy("lang").count().collect()}
+    if max(kinds.values(), default=0) > max_grams:
+        return Tables(counted, sorted(kinds))
     counts = {}
-    for name in sorted(least):
-        table = counted.where((F.col("lang") == name) & (F.col("n") >= least[name])).select("gram", "n").toArrow()
-        keys = table.column("gram").to_numpy().view(U64)
-        if len(keys):
-            counts[name] = keys, table.column("n").to_numpy()
+    for name in sorted(kinds):
+        table = counted.where(F.col("lang") == name).select("gram", "n").toArrow()
+        counts[name] = table.column("gram").to_numpy().view(U64), table.column("n").to_numpy()
     return Model(counts)
 
 
-def _grouped(rows) -> dict:
-    out: dict = {}
-    for row in rows:
-        out.setdefault(row.lang, []).append(row)
-    return out
-
-
-def _classified(packed: DataFrame, model: Model, z: float, slack: float, with_text: bool) -> DataFrame:
+def _classified(packed: DataFrame, model: Model | Tables, z: float, slack: float, with_text: bool) -> DataFrame:
     kept = ["row", "text"] if with_text else ["row"]
     added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
     schema = T.StructType([*[packed.schema[c] for c in kept], *added.fields])
     names = schema.names
+    if isinstance(model, Tables):
+        return _scored_by_join(packed, model, z, slack, schema)
     sent = packed.sparkSession.sparkContext.broadcast(model)  # at most max_grams entries a language
 
     def classify(batches):
@@ -283,9 +352,28 @@ def _classified(packed: DataFrame, model: Model, z: float, slack: float, with_te
     return packed.mapInArrow(classify, schema)
 
 
+def _scored_by_join(packed: DataFrame, model: Tables, z: float, slack: float, schema: T.StructType) -> DataFrame:
+    numbered = stored(packed.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    limits = SimpleNamespace(langs=model.langs, mean=model.mean, deviation=model.deviation)  # the tables can't be sent
+    names = schema.names
+
+    def decide(batches):
+        for batch in batches:
+            if batch.num_rows:
+                cost = batch.column("cost").flatten().to_numpy().reshape(batch.num_rows, -1)
+                has_letter = batch.column("has_letter").to_numpy(zero_copy_only=False)
+                found = _decided(limits, cost, batch.column("length").to_numpy(), has_letter, z, slack)
+                types = pa.string(), pa.float64(), pa.bool_()
+                columns = [batch.column(c) for c in names[:-3]] + [pa.array(f, t) for f, t in zip(found, types)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    joined = numbered.join(model.costs(numbered.select("id", "text")), "id")  # every row has a cost
+    return joined.select(*names[:-3], "cost", "length", "has_letter").mapInArrow(decide, schema)
+
+
 def identify(
     docs: DataFrame,
-    model: Model,
+    model: Model | Tables,
     *,
     text: str = "text",
     keep: list[str] | None = None,
@@ -300,7 +388,7 @@ def identify(
 
 
 def drop_rejected(
-    docs: DataFrame, model: Model, *, text: str = "text", z: float = REJECT_Z, slack: float = REJECT_SLACK
+    docs: DataFrame, model: Model | Tables, *, text: str = "text", z: float = REJECT_Z, slack: float = REJECT_SLACK
 ) -> DataFrame:
     """The documents that some language accepts, with their own columns."""
     found = _classified(frames.pack(docs, text), model, z, slack, True)

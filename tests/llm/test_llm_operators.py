@@ -237,6 +237,19 @@ def test_language_on_held_out_rows(spark):
     assert all(r.rejected for r in out) and [r.lang_pred for r in out[2:]] == ["und"] * 3
 
 
+def test_languages_beyond_the_bound_of_the_driver_are_whole(spark, odd):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    texts = [("die kleine Katze",), ("ganz anderes 漢字漢字漢字",), ("",), (None,), ("aaaa aaaa",)]
+    texts = docs.select("text").unionByName(spark.createDataFrame(texts, "text string"))
+    small, large = langid.train(docs), langid.train(docs, max_grams=20)
+    assert isinstance(large, langid.Tables) and large.langs == small.langs
+    assert np.allclose(large.mean, small.mean) and np.allclose(large.deviation, small.deviation)
+    order = lambda out: sorted(out.collect(), key=lambda r: (r.text is None, r.text))
+    for a, b in zip(order(langid.identify(texts, small)), order(langid.identify(texts, large)), strict=True):
+        assert (a.text, a.lang_pred, a.rejected) == (b.text, b.lang_pred, b.rejected) and abs(a.score - b.score) < 1e-4
+    assert langid.drop_rejected(odd, langid.train(odd, max_grams=1)).count() == langid.drop_rejected(odd, langid.train(odd)).count()
+
+
 def test_kneser_ney_sums_to_one():
     data, offsets = textcore.buffers(pa.array(["banana bandana", "an ant"]))
     keys, n = np.unique(langid.grams(data, offsets)[0], return_counts=True)
