@@ -7,7 +7,8 @@ query, never the pairs. Identical index vectors are compared once.
 
 ``probes=None`` is exact: after the nearest cell, a query visits every cell that
 the triangle inequality cannot rule out. ``probes=n`` visits the ``n`` nearest
-cells only, the scalable approximate mode.
+cells only, the approximate mode. No fixed ``n`` keeps its recall as the index
+grows: ``probes_for`` measures how many cells a wanted recall takes.
 """
 
 from __future__ import annotations
@@ -227,6 +228,26 @@ class VectorIndex:
             best = self._ranked(found)
         return best.select(F.col("qid").alias(key), "rank", "neighbor", "distance")
 
+    def probes_for(
+        self, queries: DataFrame, recall: float, key: str = "id", vector: str = "vector", sample: int = 1024
+    ) -> int:
+        """The fewest cells to visit for that share of the true ``k`` nearest, taken from the exact
+        answers of ``sample`` queries, with two standard errors added to ``recall``."""
+        some = queries.where(F.col(vector).isNotNull()).select(key, vector).orderBy(F.xxhash64(key), key).limit(sample)
+        asked = _with_unit(stored(some, "sample").select(F.col(key).alias("qid"), _vector(vector)))
+        exact = self.neighbours(asked.select(F.col("qid").alias(key), F.col("unit").alias(vector)), key, vector)
+        homes = self.cells.select("cell", F.explode("ids").alias("neighbor"))
+        wanted = exact.join(homes, "neighbor").select(F.col(key).alias("qid"), "cell").collect()  # k rows a query
+        units = {r.qid: r.unit for r in asked.collect()}
+        if not wanted:
+            return 1
+        angles = _angles(np.array([units[r.qid] for r in wanted], dtype=np.float64) @ self.pivots.T)
+        angles[:, self.radius < 0] = np.inf
+        places = np.argsort(np.argsort(angles, axis=1, kind="stable"), axis=1)
+        visited = np.sort(places[np.arange(len(wanted)), [r.cell for r in wanted]]) + 1
+        share = min(recall + 2 * np.sqrt(recall * (1 - recall) / len(units)), 1.0)
+        return int(visited[int(np.ceil(share * len(visited))) - 1])
+
     def _ranked(self, found: DataFrame) -> DataFrame:
         return self._top(found.select("qid", "distance", F.explode("ids").alias("neighbor")))
 

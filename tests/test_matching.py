@@ -166,3 +166,13 @@ def test_probed_search_finds_most_and_all_with_all_cells(spark):
 
     assert found(len(fitted.pivots)) == expected
     assert len(found(6) & expected) / len(expected) > 0.8
+
+
+def test_probed_search_finds_nine_in_ten(spark):
+    from newslens.catalog import models
+
+    for sf_dir in ("/root/testdata/sf0.001", "/root/testdata/sf0.1"):
+        exact = {(r.id, r.neighbor) for r in models.knn_dense_exact(spark, sf_dir).collect()}
+        probed = {(r.id, r.neighbor) for r in models.knn_dense_probed(spark, sf_dir).collect()}
+        print(sf_dir, len(exact & probed) / len(exact))
+        assert len(exact & probed) >= 0.9 * len(exact)
