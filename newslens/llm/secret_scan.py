@@ -5,8 +5,9 @@ pieces between them, so one pass over a text gives all spans and nothing is shuf
 
 Two bigram models, of random strings and of ordinary identifiers, are trained from labelled
 samples (a table of text and label). A run of 20 or more of their characters that has a letter
-and a digit, is cut by no pattern's span and whose log-likelihood ratio per character and in all
-exceeds the thresholds becomes a span of kind ``random``. The model is one array of 66 x 66
+and a digit, lies in no pattern's span and whose log-likelihood ratio per character and in all
+exceeds the thresholds becomes a span of kind ``random``; it may overlap spans of patterns. Runs
+are read with hyphens, scored like underscores, and without: a secret may hold or follow one. The model is one array of 66 x 66
 ratios, whatever the number of samples; it is all that reaches the driver.
 
 Spans are [start, end) in code points. Defined results: a null text counts as empty and has no
@@ -32,6 +33,9 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "random")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_="
 RUN = r"(?<![A-Za-z0-9+/_=])(?=[A-Za-z+/_=]*[0-9])(?=[0-9+/_=]*[A-Za-z])[A-Za-z0-9+/_=]{20,}"
+HYPHENATED = (  # the same with at least one hyphen
+    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=]*-)(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
+)
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=])[A-Za-z_]{8,}(?![A-Za-z0-9+/_=])"
 PER_CHARACTER = 0.5
 IN_ALL = 12.0
@@ -160,15 +164,15 @@ def _ratio(hit: Column, ratios: Column) -> Column:
 
         return F.aggregate(F.sequence(F.lit(1), F.size(codes) - 1), F.lit(0.0), add)
 
-    codes = F.transform(F.split(hit, ""), lambda c: F.position(c, F.lit(ALPHABET)))
+    codes = F.transform(F.split(F.translate(hit, "-", "_"), ""), lambda c: F.position(c, F.lit(ALPHABET)))
     return _let(F.filter(codes, lambda c: c > 0), total)
 
 
 def random_spans(text: Column, base: Column, ratios: Column) -> Column:
-    """Runs that the models call random and that overlap no span of ``base``."""
+    """Runs that the models call random and that are not wholly inside a span of ``base``."""
 
-    def free(s):
-        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    def outside(spans, s):
+        return ~F.exists(spans, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
 
     def improbable(s):
         return _let(
@@ -176,7 +180,9 @@ def random_spans(text: Column, base: Column, ratios: Column) -> Column:
             lambda r: (r > IN_ALL) & (r > PER_CHARACTER * F.length(s["hit"])),
         )
 
-    return F.filter(_placed(text, RUN, 3), lambda s: free(s) & improbable(s))
+    hyphenated = F.filter(_placed(text, HYPHENATED, 3), lambda s: outside(base, s) & improbable(s))
+    runs = F.filter(_placed(text, RUN, 3), lambda s: outside(base, s) & improbable(s))
+    return _let(hyphenated, lambda wide: F.concat(wide, F.filter(runs, lambda s: outside(wide, s))))
 
 
 def _scanned(packed: DataFrame, ratios: list[float]) -> DataFrame:
