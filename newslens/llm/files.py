@@ -12,13 +12,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
 
-def _at(uri: str) -> tuple[pafs.FileSystem, str]:
+def at(uri: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
 
 def write(folder: str, suffix: str, parts: list[bytes]) -> str:
     """Write one file of several parts under a new name; its URI."""
-    fs, path = _at(folder)
+    fs, path = at(folder)
     fs.create_dir(path, recursive=True)
     name = f"{uuid.uuid4().hex}.{suffix}"
     with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
@@ -28,11 +28,11 @@ def write(folder: str, suffix: str, parts: list[bytes]) -> str:
 
 
 def read(uri: str) -> bytes:
-    fs, path = _at(uri)
+    fs, path = at(uri)
     with fs.open_input_stream(path, compression=None) as source:
         return source.read()
 
 
 def dealt(manifest: DataFrame) -> DataFrame:
-    """A row per file, about one file a task."""
-    return manifest.repartition(max(1, min(manifest.count(), 4096)))
+    """A row per file, dealt to as many tasks."""
+    return manifest.repartition(max(1, manifest.count()))

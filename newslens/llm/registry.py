@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from newslens.llm import decontaminate, html_extract, jaccard_join, langid, piece_codec, quality, secret_scan, token_files, topk, warc
+from newslens.llm import decontaminate, html_extract, jaccard_join, langid, lexical, lm_score, periodic, piece_codec, quality
+from newslens.llm import secret_scan, token_files, topk, warc
 
 QUERIES = {
     "op1_cover_tree": topk.op1,
@@ -15,10 +16,14 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_piece_codec": piece_codec.op9,
     "op10_language": langid.op10,
+    "op11_periodic_runs": periodic.op11,
+    "op12_lexical_search": lexical.op12,
+    "op13_lm_score": lm_score.op13,
 }
 SQL = {
     "op1_cover_tree": topk.OP1_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
     "op7_warc": warc.OP7_SQL,
     "op8_jaccard_join": jaccard_join.OP8_SQL,
+    "op12_lexical_search": lexical.OP12_SQL,
 }
