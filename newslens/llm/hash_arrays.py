@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from newslens.llm import files
 
-ROWS = 1 << 21  # about as many rows a file
+ROWS = 1 << 18  # about as many rows a file
 
 
 def bits_for(rows: int) -> int:

@@ -92,8 +92,8 @@ def grams(token: np.ndarray, bounds: np.ndarray, order: int) -> tuple[list[np.nd
     return [token, *[joined(c, token) for c in contexts]], contexts
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
-    """Rows, tokens and bounds of about ``PART_TOKENS`` tokens at a time."""
+def _parts(batches: Iterator[pa.RecordBatch], most: int = PART_TOKENS) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
+    """Rows, tokens and bounds of about ``most`` tokens at a time; a text is never cut."""
     rows, found, counts, size = [], [], [], 0
 
     def whole():
@@ -106,7 +106,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBa
             found.append(token)
             counts.append(np.diff(bounds))
             size += len(token)
-            if size >= PART_TOKENS:
+            if size >= most:
                 yield whole()
                 rows, found, counts, size = [], [], [], 0
     if rows:
@@ -144,21 +144,18 @@ def _discounted(count: np.ndarray, discounts: tuple[float, float, float]) -> np.
 
 
 def _write(rows: DataFrame, model_dir: str, bits: int, table: str, values: list[str]) -> dict[int, list[int]]:
-    """Sum ``values`` (whole numbers but for rounding) by level and key and write the files. By level: rows, those of
-    value 1 to 4 in the last column, and the sums of all columns."""
-    summed = (
-        rows.withColumn("bucket", hash_arrays.bucket("key", bits))
-        .repartition("bucket")
-        .groupBy("bucket", "level", "key")
-        .agg(*[F.round(F.sum(v)).cast("long").alias(v) for v in values])
-        .sortWithinPartitions("bucket", "level", "key")
-    )
+    """Sum ``values`` (whole numbers but for rounding) by level and key, sorted by Spark, and write the files. By level:
+    rows, those of value 1 to 4 in the last column, and the sums of all columns."""
+    placed = rows.withColumn("bucket", hash_arrays.bucket("key", bits)).repartition("bucket")
+    placed = placed.sortWithinPartitions("bucket", "level", "key")  # a sort spills; a table of all keys would not fit
     names = ["level", "rows", *[f"c{k}" for k in range(1, 5)], *[f"s_{v}" for v in values]]
 
     def save(batches):
         for (number, level), part in hash_arrays.by_file(batches, ["bucket", "level"]):
-            columns = {"key": part.column("key").to_numpy().view(U64)}
-            own = {v: part.column(v).to_numpy() for v in values}
+            key = part.column("key").to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            columns = {"key": key[first].view(U64)}
+            own = {v: np.rint(np.add.reduceat(part.column(v).to_numpy(), first)).astype(np.int64) for v in values}
             for v in values:
                 columns |= hash_arrays.narrow(v, own[v])
             hash_arrays.save(model_dir, f"{table}{level}-{number}", columns)
@@ -166,7 +163,7 @@ def _write(rows: DataFrame, model_dir: str, bits: int, table: str, values: list[
             row = [level, int((last > 0).sum()), *[int((last == k).sum()) for k in range(1, 5)], *[int(own[v].sum()) for v in values]]
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], names=names)
 
-    written = stored(summed.mapInArrow(save, ", ".join(f"{n} long" for n in names)), "lm-files")
+    written = stored(placed.mapInArrow(save, ", ".join(f"{n} long" for n in names)), "lm-files")
     sums = written.groupBy("level").agg(*[F.sum(n) for n in names[1:]]).collect()  # a row per order
     return {r[0]: [int(x) for x in r[1:]] for r in sums}
 
@@ -266,7 +263,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str]
     carried = text in keep
 
     def work(batches):
-        for parts, token, bounds in _parts(batches):
+        for parts, token, bounds in _parts(batches, PART_TOKENS // 4):
             p, seen = log_probabilities(model, token, bounds)
             base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
             columns = [np.add.reduceat(x, bounds[:-1]) for x in ((seen > 0).astype(np.int64), base, p)]
