@@ -9,8 +9,9 @@ system are mapped; of any other store one file at a time is read.
 from __future__ import annotations
 
 import json
-import uuid
+import mmap
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,18 +52,26 @@ def save(folder: str, name: str, columns: dict[str, np.ndarray]) -> None:
         fs.delete_file(path)
 
 
+@lru_cache(4096)
+def _mapped(path: str) -> dict[str, np.ndarray] | None:
+    try:
+        with open(path, "rb") as source:
+            return _columns(np.frombuffer(mmap.mmap(source.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8))
+    except FileNotFoundError:
+        return None
+
+
 def load(folder: str, name: str) -> dict[str, np.ndarray] | None:
-    """The columns of a file; None without one."""
+    """The columns of a file; None without one. Mapped files stay mapped, so a table must be whole before it is read."""
     fs, path = files.at(f"{folder}/{name}")
     if isinstance(fs, pafs.LocalFileSystem):
-        try:
-            data = np.memmap(path, np.uint8, "r")
-        except FileNotFoundError:
-            return None
-    elif fs.get_file_info(path).type != pafs.FileType.File:
+        return _mapped(path)
+    if fs.get_file_info(path).type != pafs.FileType.File:
         return None
-    else:
-        data = np.frombuffer(files.read(f"{folder}/{name}"), np.uint8)
+    return _columns(np.frombuffer(files.read(f"{folder}/{name}"), np.uint8))
+
+
+def _columns(data: np.ndarray) -> dict[str, np.ndarray]:
     size = int(data[:16].tobytes())
     start = -(-(16 + size) // 64) * 64
     out = {}

@@ -263,7 +263,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str]
     carried = text in keep
 
     def work(batches):
-        for parts, token, bounds in _parts(batches, PART_TOKENS // 4):
+        for parts, token, bounds in _parts(batches, PART_TOKENS // 2):
             p, seen = log_probabilities(model, token, bounds)
             base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
             columns = [np.add.reduceat(x, bounds[:-1]) for x in ((seen > 0).astype(np.int64), base, p)]

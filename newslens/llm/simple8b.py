@@ -11,33 +11,40 @@ COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 ESCAPE = (1 << 60) - 1  # with selector 15: the next word is the number itself
 BLOCK = 4096
+_BITS16 = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
     """0 for 0, else the number of bits; what needs an escape counts as 60."""
-    low = np.frexp((values & U64((1 << 52) - 1)).astype(float))[1]  # exact below 2**53
-    high = np.frexp((values >> U64(52)).astype(float))[1]
-    return np.minimum(np.where(high > 0, high + 52, low), 60).astype(np.uint8)
+    out = _BITS16[(values & U64(0xFFFF)).astype(np.uint16)]
+    for part in (16, 32, 48):
+        higher = values >> U64(part)
+        if not higher.any():
+            break
+        some = higher > 0
+        out[some] = _BITS16[(higher[some] & U64(0xFFFF)).astype(np.uint16)] + np.uint8(part)
+    return np.minimum(out, 60)
 
 
 def _selectors(bits: np.ndarray) -> np.ndarray:
     """The fullest selector that fits from each place on; places past the end are zeros."""
-    rows, width = bits.shape
-    best = np.full((rows, width), 15, np.uint8)
-    widest = {1: np.concatenate([bits, np.zeros((rows, 240), np.uint8)], 1)}
-    span = 1
-    while span * 2 <= 240:
-        a = widest[span]
-        b = np.zeros_like(a)
-        b[:, : a.shape[1] - span] = np.maximum(a[:, : a.shape[1] - span], a[:, span:])
-        widest[span * 2] = b
-        span *= 2
+    return np.concatenate([_fullest(bits[:-1]), _fullest(bits[-1:])])  # only the last row has places past the end
+
+
+def _fullest(bits: np.ndarray) -> np.ndarray:
+    """A selector fits only where the next one of fewer numbers does, so the search ends with the first that fits nowhere."""
+    width = bits.shape[1]
+    best = np.full(bits.shape, 15, np.uint8)
+    widest, span = np.pad(bits, ((0, 0), (0, int(COUNTS[0])))), 1  # the most bits of ``span`` numbers from each place on
     for selector in range(14, -1, -1):
         count = int(COUNTS[selector])
-        power = 1 << (count.bit_length() - 1)
-        a = widest[power]
-        most = np.maximum(a[:, :width], a[:, count - power : count - power + width])
-        best[most <= BITS[selector]] = selector
+        while span * 2 <= count:
+            widest[:, : widest.shape[1] - span] = np.maximum(widest[:, : widest.shape[1] - span], widest[:, span:])
+            span *= 2
+        fits = np.maximum(widest[:, :width], widest[:, count - span : count - span + width]) <= BITS[selector]
+        if not fits.any():
+            break
+        best[fits] = selector
     return best
 
 

@@ -23,11 +23,25 @@ class WordStore:
 
     def forget(self) -> None:
         self.number: tuple[dict[str, int], dict[str, int]] = ({}, {})
-        self.flat, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self._flat, self._lengths, self._starts = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.known = self.size = 0  # words and ids so far; the buffers are longer
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return self._lengths[: self.known]
+
+    def _add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        known, size = self.known + len(lengths), self.size + len(flat)
+        self._flat = _roomy(self._flat, self.size, size)
+        self._lengths, self._starts = (_roomy(b, self.known, known) for b in (self._lengths, self._starts))
+        self._flat[self.size : size] = flat
+        self._lengths[self.known : known] = lengths
+        self._starts[self.known : known] = self.size + np.cumsum(lengths) - lengths
+        self.known, self.size = known, size
 
     def trim(self) -> None:
         """To be called between batches: numbers of an earlier batch are void after it."""
-        if len(self.lengths) > self.max_known:
+        if self.known > self.max_known:
             self.forget()
 
     def numbers(self, words: pa.Array, marked: bool) -> np.ndarray:
@@ -36,18 +50,23 @@ class WordStore:
         distinct, known = coded.dictionary.to_pylist(), self.number[marked]
         new = [w for w in distinct if w not in known]
         if new:
-            first = len(self.lengths)
-            known.update(zip(new, range(first, first + len(new)), strict=True))
-            flat, lengths = self.encode(new, marked)
-            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-            self.lengths = np.concatenate([self.lengths, lengths])
+            known.update(zip(new, range(self.known, self.known + len(new)), strict=True))
+            self._add(*self.encode(new, marked))
         own = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
         return own[coded.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int64)
 
     def ids(self, numbers: np.ndarray, count: np.ndarray) -> np.ndarray:
         """The first ``count`` ids (all or none) of each word, one after the other."""
-        starts = np.cumsum(self.lengths) - self.lengths
-        return self.flat[spread(starts[numbers] if len(starts) else numbers, count)]
+        return self._flat[spread(self._starts[numbers], count)]
+
+
+def _roomy(buffer: np.ndarray, used: int, needed: int) -> np.ndarray:
+    """The buffer, or one at least twice as long with the same beginning."""
+    if needed <= len(buffer):
+        return buffer
+    larger = np.empty(max(needed, 2 * len(buffer)), buffer.dtype)
+    larger[:used] = buffer[:used]
+    return larger
 
 
 def flattened(lists: list) -> tuple[np.ndarray, np.ndarray]:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newslens.llm import hash_arrays, lexical, lm_score, periodic, textcore
+from newslens.llm import hash_arrays, html_extract, lexical, lm_score, periodic, textcore
 
 ODD = [
     (1, None), (2, ""), (None, "the cat sat on the mat the cat sat on the mat the cat sat"), (3, "a a a a a a a a a a a a a a a"),
@@ -253,3 +254,28 @@ def test_arrays_are_found_as_written(tmp_path):
     want = dict(zip(keys.tolist(), n.tolist()))
     assert hash_arrays.lookup(f"file://{tmp_path}", "t", 2, ask, ["n"])[0].tolist() == [want.get(k, 0) for k in ask.tolist()]
     assert textcore.mix(ask).dtype == np.uint64
+
+
+# --- 4 -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<article class="post has-sidebar"><p>The body of this page</p></article>', "The body of this page"),
+    ('<div class="page has-sidebar"><article><p>a</p></article></div>', "a"),
+    ('<div class="widget"><article><p>a</p><div class="ad">x</div></article></div>', "a"),
+    ('<article>a</article><div class="related"><article>b</article></div>', "a"),
+    ('<main><div class="sidebar-left"><article>a</article></div></main>', "a"),
+    ('<main>m<div class="share-buttons"><article>b</article></div></main>', "m"),
+    ('<article><div class="comment-list"><p>c</p></div>a<ul><li>1<li>2</ul></article>', "a\n\n1\n\n2"),
+    ('<aside><article>x</article></aside><article>a</article>', "a"),
+    ('<article>a <b>b</i> c</b></article>', "a b c"),
+])
+def test_articles_keep_their_text(page, want):
+    assert "\n\n".join(t for k, t in html_extract.blocks(page) if k == html_extract.BODY) == want
+
+
+@pytest.mark.parametrize("page", ["<div>" * 40_000 + "</i>" * 40_000, "<i><div>" + "<b>" * 30_000 + "</i>" * 30_000, "<p><i>" * 30_000])
+def test_long_pages_take_linear_time(page):
+    start = time.perf_counter()
+    html_extract.blocks(page + "end")
+    assert time.perf_counter() - start < 3
