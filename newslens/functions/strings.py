@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,28 +102,75 @@ def partial_ratio_score(a: str | None, b: str | None) -> int:
     return round(best)
 
 
-@F.pandas_udf(T.IntegerType())
-def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Arrow-batched :func:`partial_ratio_score`; each pair of a batch is scored once."""
-    seen: dict[tuple, int] = {}
-    scores = []
-    for pair in zip(a, b):
-        if pair not in seen:
-            seen[pair] = partial_ratio_score(*pair)
-        scores.append(seen[pair])
-    return pd.Series(scores, dtype="int32")
+LANES = 1 << 20
+
+
+def _points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _window_ratios(short: list[str], long: list[str]) -> np.ndarray:
+    """Best window score of each pair, for all windows of all pairs at once.
+
+    A lane is a window of a pair and holds a row of the bit-parallel recurrence for the longest
+    common subsequence, in as many 64-bit words as the longest of ``short`` needs.
+    """
+    n, m = (np.fromiter(map(len, x), np.int64, len(x)) for x in (short, long))
+    of, within = np.repeat(np.arange(len(m)), m), _counted(m)
+    width = m + 2 * n  # characters of the long side, with room for the windows that overhang
+    base = np.cumsum(width) - width
+    words = int(-(-n.max() // 64))
+    masks = np.zeros((words, int(width.sum()) + 1), np.uint64)  # the last column is no character
+    characters, shorter, begin = _points(long), _points(short), np.cumsum(n) - n
+    at = (base + n)[of] + within
+    for k in range(int(n.max())):
+        same = np.flatnonzero((k < n[of]) & (shorter[np.minimum(begin[of] + k, len(shorter) - 1)] == characters))
+        masks[k // 64, at[same]] |= np.uint64(1 << k % 64)
+    count = m + n - 1
+    pair, i = np.repeat(np.arange(len(m)), count), _counted(count) + 1  # a window begins at i - n in the long side
+    first, size = base[pair] + i, n[pair]
+    row = [np.full(len(pair), 2**64 - 1, np.uint64) for _ in range(words)]
+    for t in range(int(n.max())):
+        place = np.where(t < size, first + t, masks.shape[1] - 1)
+        carry = np.uint64(0)
+        for w in range(words):
+            hit = row[w] & masks[w, place]
+            total = row[w] + hit
+            over = total < hit
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            row[w] = total | (row[w] ^ hit)
+    common = sum((64 - np.bitwise_count(r)).astype(np.int64) for r in row)  # bits past the end stay set
+    window = np.minimum(np.minimum(i, size), count[pair] + 1 - i)
+    return np.maximum.reduceat(200.0 * common / (size + window), np.cumsum(count) - count)
+
+
+def _counted(count: np.ndarray) -> np.ndarray:
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+
+
+def partial_ratios(a: list[str | None], b: list[str | None]) -> np.ndarray:
+    """:func:`partial_ratio_score` of many pairs."""
+    out = np.zeros(len(a))
+    rows, short, long = [], [], []
+    for k, (x, y) in enumerate(zip(a, b, strict=True)):
+        if x and y:
+            for s, t in ((x, y), (y, x)) if len(x) == len(y) else (sorted((x, y), key=len),):
+                rows.append(k)
+                short.append(s)
+                long.append(t)
+    order = sorted(range(len(rows)), key=lambda j: (len(short[j]), len(long[j])))  # lanes of a chunk are alike
+    chunk, size = [], 0
+    for j in order:
+        chunk.append(j)
+        size += len(short[j]) + len(long[j])
+        if size >= LANES or j == order[-1]:
+            np.maximum.at(out, [rows[c] for c in chunk], _window_ratios([short[c] for c in chunk], [long[c] for c in chunk]))
+            chunk, size = [], 0
+    return np.rint(out).astype(np.int32)
 
 
 @F.pandas_udf(T.IntegerType())
-def best_partial_ratio(topic: pd.Series, candidates: pd.Series) -> pd.Series:
-    """Highest :func:`partial_ratio_score` of a string with any of an array; 0 for none."""
-    seen: dict[tuple, int] = {}
-    scores = []
-    for name, others in zip(topic, candidates):
-        best = 0
-        for other in others if others is not None else ():
-            if (name, other) not in seen:
-                seen[name, other] = partial_ratio_score(name, other)
-            best = max(best, seen[name, other])
-        scores.append(best)
-    return pd.Series(scores, dtype="int32")
+def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Arrow-batched partial ratio: all windows of all pairs of a batch together."""
+    return pd.Series(partial_ratios(a.tolist(), b.tolist()), dtype="int32")

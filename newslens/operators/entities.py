@@ -1,68 +1,24 @@
 """Organisations in texts, by a gazetteer of names.
 
-The default recogniser. Texts are cut into runs of words, runs are equi-joined
-with the names, and of nested hits the longest stays. A trained model can take
-its place (:class:`newslens.ml.transformers.NamedEntityRecognizer`).
+The default recogniser. Texts are searched for all names at once (:mod:`newslens.operators.gazetteer`);
+of nested hits the longest stays. A trained model can take its place
+(:class:`newslens.ml.transformers.NamedEntityRecognizer`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
-from newslens import schemas
-from newslens.functions.text import word_runs, words
+from newslens.functions.text import words
+from newslens.operators.gazetteer import name_files, name_spans
 
 
 def normalized_names(names: DataFrame, name: str = "name") -> DataFrame:
-    """Distinct names as lower-case words joined by one space, with the word count."""
-    ws = words(F.col(name))
-    return (
-        names.select(F.array_join(ws, " ").alias("gram"), F.size(ws).alias("n_words"))
-        .where(F.col("n_words") > 0)
-        .distinct()
-    )
-
-
-def name_sizes(names: DataFrame, name: str = "name") -> list[int]:
-    """The word counts that occur among the names: a handful of integers."""
-    rows = normalized_names(names, name).select("n_words").distinct().collect()
-    return sorted(r.n_words for r in rows)
-
-
-def entity_hits(
-    texts: DataFrame, key: str, names: DataFrame, name: str = "name"
-) -> DataFrame:
-    """``texts(key, field, text)`` to ``(key, field, start, end)`` of each name found,
-    nested shorter hits removed.
-
-    Only the key and the runs are exploded, never the text. A catalogue small
-    enough for Spark to broadcast is probed in the scan's own stage; a larger one
-    costs a shuffle of the runs. The hits that remain are partitioned by the key
-    once; the caller's grouping and join by the key reuse that.
-    """
-    sizes = name_sizes(names, name)
-    if not sizes:
-        return texts.limit(0).select(key, "field", F.lit(0).alias("start"), F.lit(0).alias("end"))
-    runs = texts.select(
-        key, "field", F.explode(word_runs(F.col("text"), sizes)).alias("run")
-    ).select(key, "field", "run.*")
-    hits = (
-        runs.join(normalized_names(names, name).select("gram"), "gram")
-        .select(key, "field", "start", "end")
-        .repartition(key)
-    )
-    before = (
-        Window.partitionBy(key, "field")
-        .orderBy("start", F.desc("end"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        hits.withColumn("furthest", F.max("end").over(before))
-        .where(F.col("furthest").isNull() | (F.col("furthest") < F.col("end")))
-        .drop("furthest")
-    )
+    """``gram``: distinct names as lower-case words joined by one space."""
+    grams = names.select(F.array_join(words(F.col(name)), " ").alias("gram"))
+    return grams.where(F.col("gram") != "").distinct()
 
 
 def _entities(text: Column, spans: Column) -> Column:
@@ -79,36 +35,19 @@ def _entities(text: Column, spans: Column) -> Column:
     return F.transform(spans, entity)
 
 
-def extract_entities(
-    texts: DataFrame, names: DataFrame, columns: dict[str, str], key: str = "id"
-) -> DataFrame:
+def extract_entities(texts: DataFrame, names: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add the entities of each text column, in order, as the mapped output column.
 
-    The array is empty when there are none and NULL for a NULL text. ``key`` is
-    unique. All columns are searched in one pass over the table.
+    The array is empty when there are none and NULL for a NULL text. Rows stay where they
+    are: all columns are searched in one pass, without a join or a shuffle.
     """
-    fields = [
-        F.struct(F.lit(i).alias("field"), F.col(text).alias("text"))
-        for i, text in enumerate(columns)
-    ]
-    long = texts.select(key, F.explode(F.array(*fields)).alias("f")).select(key, "f.*")
-    spans = (
-        entity_hits(long, key, names)
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("field", "start", "end"))).alias("__spans"))
-    )
-    none = F.array().cast(f"array<{schemas.ENTITY.simpleString()}>")
-    tagged = texts.join(spans, key, "left")
-    for i, (text, output) in enumerate(columns.items()):
-        found = _entities(F.col(text), _of_field("__spans", i))
-        tagged = tagged.withColumn(
-            output, F.when(F.col(text).isNotNull(), F.coalesce(found, none))
-        )
-    return tagged.drop("__spans")
-
-
-def _of_field(spans: str, field: int) -> Column:
-    return F.filter(spans, lambda s: s["field"] == field)
+    find = name_spans(name_files(normalized_names(names)))
+    found = texts.withColumns({f"__spans_{i}": find(F.col(c)) for i, c in enumerate(columns)})
+    tagged = {
+        output: F.when(F.col(text).isNotNull(), _entities(F.col(text), F.col(f"__spans_{i}")))
+        for i, (text, output) in enumerate(columns.items())
+    }
+    return found.withColumns(tagged).drop(*[f"__spans_{i}" for i in range(len(columns))])
 
 
 def entities_of_group(entities: Column, group: str = fv.ORGANISATION) -> Column:

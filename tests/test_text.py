@@ -2,6 +2,7 @@ import random
 import re
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from newslens.functions import strings
 from newslens.functions import text as tx
 from newslens.functions.columns import running_starts
-from newslens.operators import companies, entities
+from newslens.operators import companies, entities, gazetteer
 from newslens.operators.summaries import summarize_extractive
 
 
@@ -88,7 +89,53 @@ def brute_ratio(a, b):
 @settings(max_examples=200, deadline=None)
 @given(st.text("abcd ", max_size=9), st.text("abcd ", max_size=14))
 def test_partial_ratio_is_the_best_window(a, b):
-    assert strings.partial_ratio_score(a, b) == brute_ratio(a, b)
+    assert strings.partial_ratio_score(a, b) == brute_ratio(a, b) == strings.partial_ratios([a], [b])[0]
+
+
+def test_ratios_of_many_pairs_and_long_strings():
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abcé 漢") for _ in range(n))
+    pairs = [(word(r.randint(0, 200)), word(r.randint(0, 200))) for _ in range(60)] + [(None, "a"), ("a", None), ("ab", "ba"), (word(64), word(64))]
+    got = strings.partial_ratios(*map(list, zip(*pairs)))
+    assert got.tolist() == [strings.partial_ratio_score(a, b) for a, b in pairs]
+
+
+def _naive_spans(text, names, lower=str.lower):
+    words = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text or "")]
+    hits = [
+        (a, words[j][1] - 1)
+        for i, (a, _) in enumerate(words)
+        for j in range(i, min(i + 6, len(words)))
+        if " ".join(text[s:e].lower() for s, e in words[i : j + 1]) in names
+    ]
+    hits.sort(key=lambda h: (h[0], -h[1]))
+    return [h for k, h in enumerate(hits) if all(p[1] < h[1] for p in hits[:k])]
+
+
+def test_name_spans_equal_a_loop():
+    r = random.Random(7)
+    vocabulary = ["Acme", "acme", "Big", "CO", "é", "İx", "ΟΣ", "σ", "7", "漢字"]
+    names = {" ".join(r.choices([w.lower() for w in vocabulary if w != "İx"], k=r.randint(1, 4))) for _ in range(40)}
+    texts = ["".join(r.choice(vocabulary) + r.choice([" ", "  ", "-", ", ", "🙂"]) for _ in range(r.randint(0, 30))) for _ in range(200)]
+    texts += [None, "", "acme", "..."]
+    sorted_names = sorted(names)
+    for parts in ([sorted_names], [sorted_names[::2], sorted_names[1::2]]):
+        tries = [lambda p=p: gazetteer.Trie(pa.array(p)) for p in parts]
+        got = [[(h["start"], h["end"]) for h in row] for row in gazetteer.spans(pa.array(texts), tries).to_pylist()]
+        assert got == [_naive_spans(t, names) for t in texts]
+
+
+def test_entities_need_no_shuffle_and_any_number_of_files(spark):
+    texts = spark.createDataFrame([(1, "The Big Co. and acme", None), (2, "", "ACME big co")], "id long, a string, b string")
+    names = spark.createDataFrame([("Big Co",), ("Acme",), ("Big",), ("!",), (None,)], "name string")
+    grams = entities.normalized_names(names)
+    assert len(gazetteer.name_files(grams, file_bytes=12)) > 1
+    out = entities.extract_entities(texts, names, {"a": "x", "b": "y"})
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = [[None if e is None else [w.word for w in e] for e in (r.x, r.y)] for r in out.orderBy("id").collect()]
+    assert got == [[["Big Co", "acme"], None], [[], ["ACME", "big co"]]]
+    nothing = entities.extract_entities(texts, names.limit(0), {"a": "x"}).collect()
+    assert [r.x for r in nothing] == [[], []]
 
 
 def test_partial_ratio_known_values(spark):
@@ -152,7 +199,7 @@ def resolve(spark, rows, **options):
     return {r.id: r for r in companies.resolve_company(df, **options).collect()}
 
 
-@pytest.mark.parametrize("similarity", [None, strings.best_partial_ratio, companies.best_levenshtein])
+@pytest.mark.parametrize("similarity", [None, companies.best_levenshtein])
 def test_resolve_company(spark, similarity):
     out = resolve(
         spark,
