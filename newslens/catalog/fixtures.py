@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from newslens import fixed_values as fv
 from newslens.operators.prices import daily_bars
+from newslens.settings import stored
 
 # The vendor's alias codes and one that has no alias.
 EXCHANGES = (*fv.US_EXCHANGES, "LSE")
@@ -110,7 +111,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ARTICLES = """articles as (
+ARTICLES = """articles as materialized (
   select d.doc_id as id,
     case when d.doc_id % 11 = 0 then '' else named.p_name || ': ' end
       || split_part(d.text, chr(10), 1) as headline,
@@ -144,26 +145,29 @@ SUMMARIES = """summaries as (
   from labels l join documents d on d.doc_id = l.doc_id)"""
 
 
-def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def companies(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
     """Resolved where the label says good quality; "" where it says toxic."""
     done = table(spark, sf_dir, "labels").where("quality = 1").withColumnRenamed("doc_id", "id")
-    topics = articles(spark, sf_dir).select("id", "topic")
+    topics = (of or articles(spark, sf_dir)).select("id", "topic")
     return done.join(topics, "id").select(
         "id", F.when(F.col("toxic") == 1, "").otherwise(F.col("topic")).alias("corp")
     )
 
 
-COMPANIES = """companies as (
+COMPANIES = """companies as materialized (
   select a.id, case when l.toxic = 1 then '' else a.topic end as corp
   from labels l join articles a on a.id = l.doc_id where l.quality = 1)"""
 
 
-def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tickers(
+    spark: SparkSession, sf_dir: str, of: DataFrame | None = None, resolved: DataFrame | None = None
+) -> DataFrame:
     """Matched where resolved and English; Spanish ones were tried without success."""
-    tried = articles(spark, sf_dir).where(F.col("lang").isin("en", "es")).select("id", "lang")
+    of = of or articles(spark, sf_dir)
+    tried = of.where(F.col("lang").isin("en", "es")).select("id", "lang")
     found = F.col("lang") == "en"
     return (
-        companies(spark, sf_dir)
+        (resolved or companies(spark, sf_dir, of))
         .where("corp <> ''")
         .join(tried, "id")
         .select(
@@ -174,17 +178,17 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TICKERS = f"""tickers as (
+TICKERS = f"""tickers as materialized (
   select c.id, case when a.lang = 'en' then 'P' || c.id::varchar end as symbol,
     case when a.lang = 'en' then {_exchange_sql('c.id')} end as exchange
   from companies c join articles a on a.id = c.id
   where c.corp <> '' and a.lang in ('en', 'es'))"""
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, matched: DataFrame | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "n_chars")
     return (
-        tickers(spark, sf_dir)
+        (matched or tickers(spark, sf_dir))
         .where("symbol is not null")
         .join(docs, "id")
         .where("n_chars > 1000")
@@ -201,9 +205,16 @@ STAGES = (ARTICLES, SUMMARIES, COMPANIES, TICKERS, PREDICTIONS)
 
 
 def stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All stage tables, each written once and read by the next."""
+    written = stored(articles(spark, sf_dir), "articles")
+    resolved = stored(companies(spark, sf_dir, written), "companies")
+    matched = stored(tickers(spark, sf_dir, written, resolved), "tickers")
     return {
-        f.__name__: f(spark, sf_dir)
-        for f in (articles, summaries, companies, tickers, predictions)
+        "articles": written,
+        "summaries": summaries(spark, sf_dir),
+        "companies": resolved,
+        "tickers": matched,
+        "predictions": predictions(spark, sf_dir, matched),
     }
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from newslens import schemas
 from newslens.catalog import fixtures as fx
-from newslens.catalog import register
+from newslens.catalog import SQL, register
 from newslens.functions.strings import article_text as compose_text
 from newslens.functions.strings import normalize_exchange as to_vendor_code
 from newslens.operators import feed, merge, stages
-from newslens.sources import tables
+from newslens.settings import shared_dir
+from newslens.sources import keyed, tables
 
 # Dates of the fixture's open ranges; a few articles carry exactly these stamps.
 LO, HI = date(2024, 1, 7), date(2024, 1, 25)
@@ -75,6 +76,17 @@ def merge_partial_update(spark, sf_dir):
     )
 
 
+@register("merge_keyed_table", SQL["merge_partial_update"])
+def merge_keyed_table(spark, sf_dir):
+    """The same update, in place of a stored table and by the folders it touches, in two steps."""
+    path = shared_dir(spark, "orders")
+    orders = keyed.KeyedTable.create(_order_base(spark, sf_dir), path, ["o_orderkey"], 16)
+    updates = _order_updates(spark, sf_dir)
+    for half in (0, 1):
+        orders.update(updates.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(16)) % 2 == half))
+    return orders.read()
+
+
 @register(
     "update_prices_no_insert",
     """with bars as (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newslens.catalog import fixtures as fx
 from newslens.catalog import register
 from newslens.settings import shared_dir
-from newslens.streaming import incremental, price_join
+from newslens.streaming import incremental, price_join, price_timers
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,3 +105,39 @@ def stream_attach_prices(spark, sf_dir):
     return found.withColumn("published", F.to_date("published")).withColumn(
         "traded", F.to_date("traded")
     )
+
+
+@register(
+    "stream_timed_prices",
+    fx.with_sql(fx.PRICED_ARTICLES, fx.PRICE_BARS)
+    + """select a.id, a.ticker, a.date_published as published, count(b.date) as n_bars, min(b.date) as first_day,
+  max(b.date) as last_day, arg_min(b.open, b.date) as first_open, arg_max(b.close, b.date) as last_close
+from priced_articles a left join bars b
+  on b.ticker = a.ticker and b.date between a.date_published and a.date_published + 28
+group by all""",
+)
+def stream_timed_prices(spark, sf_dir):
+    """Articles and bars land by month and arrive over several micro-batches; a last bar of no ticker, long
+    after all others, lets the watermark pass every window."""
+    folder = shared_dir(spark, "timed")
+    articles = fx.priced_articles(spark, sf_dir).withColumnRenamed("date_published", "published")
+    bars = fx.price_bars(spark, sf_dir).select("ticker", "date", "open", "high", "low", "close")
+    articles.repartition(6, F.year("published")).write.parquet(f"{folder}/articles")
+    bars.repartition(6, F.year("date")).write.parquet(f"{folder}/bars")
+    end = bars.agg(F.date_add(F.max("date"), 3650 + 90).alias("date")).select(
+        F.lit(-1).cast("long").alias("ticker"), "date", *[F.lit(0.0).alias(c) for c in ("open", "high", "low", "close")]
+    )
+    end.write.mode("append").parquet(f"{folder}/bars")
+    landed = [
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/{name}")
+        for name, df in (("articles", articles), ("bars", bars))
+    ]
+    # Files come in any order, so the watermark must wait for all of them: ten years.
+    priced = price_timers.attach_by_timers(*landed, delay="3650 days", salts=1)
+    found = price_timers.run_with_timers(priced, f"{folder}/table", f"{folder}/checkpoint")
+    first, last = F.get("prices", F.lit(0)), F.element_at("prices", -1)
+    return found.select(
+        "id", "ticker", "published", F.coalesce(F.size("prices"), F.lit(0)).cast("long").alias("n_bars"),
+        first["date"].alias("first_day"), last["date"].alias("last_day"),
+        first["open"].alias("first_open"), last["close"].alias("last_close"),
+    )

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from newslens import fixed_values as fv
 from newslens import schemas
 from newslens.catalog import fixtures as fx
-from newslens.catalog import register
+from newslens.catalog import SQL, register
 from newslens.catalog.relational import HI, LO
 from newslens.functions import strings
 from newslens.functions import text as tx
 from newslens.operators import companies, entities, matching, summaries
 from newslens.plans import enrich
-from newslens.settings import stored
+from newslens.settings import shared_dir, stored
 
 from newslens.sources import pages as page_source
 from newslens.sources import sitemaps, symbols_json
@@ -369,6 +369,20 @@ def match_tickers_knn(spark, sf_dir):
     )
 
 
+@register("match_saved_index", SQL["match_tickers_knn"])
+def match_saved_index(spark, sf_dir):
+    """The index is fitted and saved by one job and loaded by another, which doesn't shuffle it."""
+    path = shared_dir(spark, "name-index")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    matching.NameIndex.fit(fx.symbols(spark, sf_dir)).save_bucketed(path, buckets)
+    index = matching.NameIndex.load_bucketed(spark, path)
+    queries = fx.ticker_names(spark, sf_dir).withColumn("name", F.col("corp"))
+    first = F.get("knn", F.lit(0))
+    return matching.nearest_names(queries, index).select(
+        "id", first["neighbor"].alias("neighbor"), first["distance"].alias("distance")
+    )
+
+
 @register(
     "match_tickers_top3",
     _KNN

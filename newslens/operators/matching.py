@@ -10,6 +10,7 @@ become join keys and no pair that could pass the threshold is missed.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 from newslens import fixed_values as fv
 from newslens.functions.text import char_ngrams
 from newslens.operators.skew import lookup_join
+from newslens.sources.tables import save_bucketed
 
 # Similarities are compared after rounding to this many places.
 PLACES = 6
 _SLACK = 10**-PLACES
+_BUCKET_KEYS = {"vectors": "name", "ids": "name", "weighted": "gram", "idf": "gram"}
 
 
 def name_ngrams(names: DataFrame, n: int = fv.NGRAM_SIZE) -> DataFrame:
@@ -66,12 +69,13 @@ def _idf(grams: DataFrame, size: DataFrame) -> DataFrame:
     )
 
 
-def _weighted(grams: DataFrame, idf: DataFrame, size: DataFrame) -> DataFrame:
+def _weighted(grams: DataFrame, idf: DataFrame, size: DataFrame, salted: bool = True) -> DataFrame:
     """``(name, gram, w, norm, rest)``: ``rest`` is the norm from this n-gram on, rare
     first. N-grams the index has never seen weigh ``ln(m + 1)``: they match
     nothing but count in the norm."""
     m = size.scalar()
-    weighed = lookup_join(grams, idf, ["gram"], ["name"]).select(
+    joined = lookup_join(grams, idf, ["gram"], ["name"]) if salted else grams.join(idf, "gram", "left")
+    weighed = joined.select(
         "name",
         "gram",
         F.coalesce("df", F.lit(0)).alias("df"),
@@ -117,6 +121,7 @@ class NameIndex:
     idf: DataFrame  # gram, df, idf
     size: DataFrame  # m
     n: int = fv.NGRAM_SIZE
+    vectors: DataFrame | None = None  # name, norm, weights, of an index that is bucketed by its join keys
 
     @classmethod
     def fit(cls, symbols: DataFrame, n: int = fv.NGRAM_SIZE) -> "NameIndex":
@@ -136,6 +141,38 @@ class NameIndex:
         parts = [spark.read.parquet(f"{path}/{p}") for p in ("ids", "weighted", "idf", "size")]
         return cls(*parts, n)
 
+    def save_bucketed(self, path: str, buckets: int) -> None:
+        """Save with every part bucketed by the key that :meth:`neighbours` joins it on.
+
+        Joined with as many shuffle partitions as ``buckets``, a loaded index is never shuffled. A name that
+        very many others resemble is then not split over tasks, as it is with :meth:`save`.
+        """
+        spark = self.size.sparkSession
+        parts = {"vectors": _vectors(self.weighted), "ids": self.ids, "weighted": self.weighted, "idf": self.idf}
+        for part, df in parts.items():
+            table = f"newslens_saved_{uuid.uuid4().hex}"
+            key = _BUCKET_KEYS[part]
+            save_bucketed(df.repartition(buckets, key), table, key, buckets, f"{path}/{part}")  # a file per bucket
+            spark.sql(f"DROP TABLE {table}")  # its files stay
+        self.size.write.mode("overwrite").parquet(f"{path}/size")
+        spark.createDataFrame([(buckets, self.n)], "buckets int, n int").write.parquet(f"{path}/about")
+
+    @classmethod
+    def load_bucketed(cls, spark: SparkSession, path: str) -> "NameIndex":
+        """An index saved by :meth:`save_bucketed`, as tables of this session's catalogue."""
+        buckets, n = spark.read.parquet(f"{path}/about").first()
+        parts = {}
+        for part, key in _BUCKET_KEYS.items():
+            schema = spark.read.parquet(f"{path}/{part}").schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            table = f"newslens_index_{uuid.uuid4().hex}"
+            spark.sql(
+                f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (path '{path}/{part}') "
+                f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS"
+            )
+            parts[part] = spark.table(table)
+        return cls(size=spark.read.parquet(f"{path}/size"), n=n, **parts)
+
     def neighbours(
         self,
         names: DataFrame,
@@ -148,7 +185,7 @@ class NameIndex:
         lower id. Names without any neighbour have no row.
         """
         least = 1.0 - max_distance
-        queries = _weighted(name_ngrams(names, self.n), self.idf, self.size)
+        queries = _weighted(name_ngrams(names, self.n), self.idf, self.size, salted=self.vectors is None)
         # A name whose n-grams are in every index name has no direction: no cosine.
         in_prefix = (F.col("norm") > 0) & (F.col("rest") >= (least - _SLACK) * F.col("norm"))
         seen = F.col("df") > 0
@@ -166,8 +203,12 @@ class NameIndex:
             PLACES,
         )
         # Vectors and ids are both grouped by name: this join needs no shuffle.
-        indexed = _vectors(self.weighted).join(self._carriers(k), "name")
-        compared = lookup_join(pairs, indexed, ["name"], ["query"], "inner")
+        vectors = _vectors(self.weighted) if self.vectors is None else self.vectors
+        indexed = vectors.join(self._carriers(k), "name")
+        if self.vectors is None:
+            compared = lookup_join(pairs, indexed, ["name"], ["query"], "inner")
+        else:
+            compared = pairs.join(indexed, "name")
         close = (
             lookup_join(compared, q, ["query"], ["name"], "inner")
             .select("query", "ids", F.round(1 - cosine, PLACES).alias("distance"))
