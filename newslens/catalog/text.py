@@ -241,7 +241,10 @@ def _ld_parts(spark, sf_dir):
         F.when(i % 17 == 1, F.concat(F.lit("Letter: "), "headline")).otherwise(F.col("headline")).alias("headline"),
         F.when(i % 13 != 1, F.col("description")).alias("description"),
         F.when(i % 19 == 1, F.concat(F.lit("Good morning. "), "text")).otherwise(F.col("text")).alias("articleBody"),
-        F.date_format("date_published", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datePublished"),
+        F.when(i % 3 == 2, F.date_format("date_published", "EEE, d MMM yyyy HH:mm:ss 'GMT'"))
+        .when(i % 9 == 1, F.date_format("date_published", "MMMM d, yyyy H:mm:ss"))
+        .otherwise(F.date_format("date_published", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .alias("datePublished"),
         F.when(i % 4 == 3, F.array(home, section))
         .otherwise(F.array(home, section, topic))
         .cast(f"array<{crumb}>")

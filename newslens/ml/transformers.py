@@ -120,9 +120,7 @@ class NamedEntityRecognizer(TextStage):
             names = getattr(self, "names", None)
             if names is None:
                 names = df.sparkSession.read.parquet(self.model_uri("entity_names"))
-            tagged = self._per_text(
-                df, lambda texts: extract_entities(texts, names, {"text": output}, _KEY)
-            )
+            tagged = extract_entities(df, names, {self.getInputCol(): output})
         if self.getOrDefault("cleanAnnotations"):
             return tagged
         return tagged.withColumn("sentence", sentences(text)).withColumn("token", words(text))

@@ -54,6 +54,28 @@ def is_company_news(
     return F.coalesce(keep, F.lit(False))
 
 
+# Dates as web pages write them beside ISO 8601, with time and zone or without; the weekday is dropped first.
+DATE_FORMATS = (
+    "d MMM yyyy[ H:mm[:ss]][ z]",
+    "d MMM yyyy[ H:mm[:ss]][ xx]",
+    "d MMMM yyyy[ H:mm[:ss]][ z]",
+    "MMM d, yyyy[ H:mm[:ss]][ z]",
+    "MMMM d, yyyy[ H:mm[:ss]][ z]",
+    "yyyy/M/d[ H:mm[:ss]][ z]",
+    "M/d/yyyy[ H:mm[:ss]][ z]",
+)
+_WEEKDAY = r"^\s*(?:(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*\.?,?\s+)?"
+
+
+def published_at(text: Column) -> Column:
+    """Timestamp of a publication date: ISO 8601, RFC 822 (``Mon, 3 Jan 2022 05:00:00 GMT``) and the other
+    :data:`DATE_FORMATS`; NULL for anything else. A date without a zone is in the session's."""
+    plain = F.trim(F.regexp_replace(text, _WEEKDAY, ""))
+    return F.coalesce(
+        F.try_to_timestamp(text), *[F.try_to_timestamp(plain, F.lit(f)) for f in DATE_FORMATS]
+    )
+
+
 def extract_articles(
     pages: DataFrame,
     page_id: str = "page_id",
@@ -77,6 +99,6 @@ def extract_articles(
         topic["name"].alias("topic"),
         url_path(topic["item"]).alias("topic_url_path"),
         F.col("articleBody").alias("text"),
-        F.try_to_timestamp("datePublished").alias("date_published"),
+        published_at(F.col("datePublished")).alias("date_published"),
         F.lit(source).alias("source"),
     )

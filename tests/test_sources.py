@@ -143,3 +143,15 @@ def test_settings_and_shared_folder(spark, tmp_path):
     assert JobSettings.from_json_files(str(f)).max_distance == 0.3
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(base)
+
+
+def test_publication_dates_in_other_forms(spark):
+    want = {
+        "Mon, 3 Jan 2022 05:00:00 GMT": "2022-01-03 05:00:00", "Monday 3 Jan 2022": "2022-01-03 00:00:00",
+        "3 Jan 2022 05:00:00 +0100": "2022-01-03 04:00:00", "January 13, 2022": "2022-01-13 00:00:00",
+        "Jan 3, 2022 7:05": "2022-01-03 07:05:00", "2022/1/3 17:05:09": "2022-01-03 17:05:09", "12/31/2021": "2021-12-31 00:00:00",
+        "2022-01-03T05:00:00Z": "2022-01-03 05:00:00", "32 Jan 2022": None, "": None, None: None, "soon": None,
+    }
+    df = spark.createDataFrame([(k,) for k in want], "v string")
+    got = df.select("v", pages.published_at(F.col("v")).alias("t")).collect()
+    assert {r.v: None if r.t is None else str(r.t) for r in got} == want
