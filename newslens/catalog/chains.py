@@ -32,7 +32,8 @@ where a.headline is not null and a.description is not null""",
 )
 def predict_chain(spark, sf_dir):
     """Summaries, companies, tickers and predictions by a model of the priced articles.
-    Prices do not tell the words' meaning here, so only that a label was chosen is compared."""
+    The pending articles hold none of the words that tell a price, so only that a label was
+    chosen is compared; ``predict_articles`` compares the labels themselves."""
     articles, done = _enriched(spark, sf_dir)
     news = stored(priced_news(spark, sf_dir), "news")
     history = replace(

@@ -11,7 +11,7 @@ from newslens.catalog import SQL, register
 from newslens.catalog.relational import HI, LO
 from newslens.functions import strings
 from newslens.functions import text as tx
-from newslens.operators import companies, entities, matching, summaries
+from newslens.operators import beams, companies, entities, matching, summaries
 from newslens.plans import enrich
 from newslens.settings import shared_dir, stored
 
@@ -663,6 +663,13 @@ def summarize_extractive(spark, sf_dir):
     return summaries.summarize_extractive(docs)
 
 
+@register("summarize_beams")
+def summarize_beams(spark, sf_dir):
+    """Four beams, 50 to 100 words, length penalty 2.0."""
+    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return beams.summarize_beams(docs)
+
+
 # --- the chain of stages ----------------------------------------------------
 
 

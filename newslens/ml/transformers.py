@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from newslens import schemas
 from newslens.functions.text import sentences, words
 from newslens.ml.models import LoadModel, model_column
+from newslens.operators.beams import summarize_beams
 from newslens.operators.entities import extract_entities
 from newslens.operators.skew import lookup_join
 from newslens.operators.summaries import summarize_extractive
@@ -169,8 +170,8 @@ class Vectorizer(TextStage):
 class Summarizer(TextStage):
     """Text to a shorter text of ``minLength`` to ``maxLength`` words.
 
-    ``lengthPenalty`` and ``numBeams`` are for generating models; the extractive
-    default has no use for them and passes them on to a model only.
+    One beam takes the best sentences in turn; more search sets of sentences, where
+    ``lengthPenalty`` above 0 favours long summaries. A model is given all four.
     """
 
     minLength = _param("minLength", "Least length of a summary.", TypeConverters.toInt)
@@ -193,6 +194,11 @@ class Summarizer(TextStage):
                 num_beams=F.lit(self.getOrDefault("numBeams")),
             )
             return df.withColumn(output, summary)
-        return self._per_text(
-            df, lambda texts: summarize_extractive(texts, _KEY, "text", output, least, most)
-        )
+        beams, penalty = self.getOrDefault("numBeams"), self.getOrDefault("lengthPenalty")
+
+        def work(texts: DataFrame) -> DataFrame:
+            if beams > 1:
+                return summarize_beams(texts, _KEY, "text", output, least, most, beams, penalty)
+            return summarize_extractive(texts, _KEY, "text", output, least, most)
+
+        return self._per_text(df, work)
