@@ -11,7 +11,7 @@ from newslens.catalog import SQL, register
 from newslens.catalog.relational import HI, LO
 from newslens.functions import strings
 from newslens.functions import text as tx
-from newslens.operators import beams, companies, entities, matching, summaries
+from newslens.operators import beams, companies, entities, matching, sentence_ends, summaries
 from newslens.plans import enrich
 from newslens.settings import shared_dir, stored
 
@@ -670,6 +670,53 @@ def summarize_beams(spark, sf_dir):
     return beams.summarize_beams(docs)
 
 
+# --- learned sentence ends ---------------------------------------------------
+
+_ABBREVIATIONS = rf"""tok as (
+  select unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+(?:\.[\p{{L}}\p{{N}}]+)*\.?')) as t from documents),
+counts as (
+  select rtrim(t, '.') as word, count(*) as n, count(*) filter (t like '%.') as n_period from tok group by 1),
+share as (select sum(n_period)::double / sum(n) as p from counts),
+scored as (
+  select word, n, n_period, length(replace(word, '.', ''))::double as letters, round(2 * (
+      n_period * (ln({sentence_ends.ALWAYS}::double) - ln(p))
+      + (n - n_period) * (ln(1 - {sentence_ends.ALWAYS}::double) - ln(1 - p)))
+    * exp(-letters) * (length(word) - letters + 1) * pow(letters, -(n - n_period)::double), {sentence_ends.PLACES}) as score
+  from counts, share where n_period > 0 and regexp_matches(word, '\p{{L}}') and p > 0 and p < 1),
+abbreviations as (select word, n, n_period, score from scored where score >= {sentence_ends.THRESHOLD})"""
+
+
+@register("abbreviations", fx.with_sql(_ABBREVIATIONS) + "select * from abbreviations")
+def abbreviations(spark, sf_dir):
+    counts = stored(sentence_ends.count_periods(fx.table(spark, sf_dir, "documents")), "words")
+    return sentence_ends.abbreviations(counts)
+
+
+@register(
+    "sentences_learned",
+    fx.with_sql(
+        _ABBREVIATIONS,
+        r"""cut as (
+  select doc_id, (generate_subscripts(s, 1) - 1) as place, unnest(s) as part from (
+    select doc_id, string_split(regexp_replace(text, '([.!?])(\s)', '\1' || chr(31) || '\2', 'g'), chr(31)) as s from documents))""",
+        r"""ends as (
+  select doc_id, place, part, regexp_extract(lower(part), '([\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*)\.$', 1)
+    in (select word from abbreviations) as open from cut)""",
+        """numbered as (select doc_id, place, part, coalesce(sum((not open)::int) over (
+  partition by doc_id order by place rows between unbounded preceding and 1 preceding), 0) as sentence_no from ends)""",
+        r"""sents as (select doc_id, sentence_no, regexp_replace(string_agg(part, '' order by place), '^\s+|\s+$', '', 'g') as sentence
+  from numbered group by 1, 2)""",
+    )
+    + """select doc_id as id, (row_number() over (partition by doc_id order by sentence_no) - 1)::int as pos, sentence
+from sents where sentence <> ''""",
+)
+def sentences_learned(spark, sf_dir):
+    """Every document cut into sentences, abbreviations learned from all of them."""
+    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    counts = stored(sentence_ends.count_periods(docs), "words")
+    return sentence_ends.split_sentences(docs, sentence_ends.abbreviations(counts))
+
+
 # --- the chain of stages ----------------------------------------------------
 
 
