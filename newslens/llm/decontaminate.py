@@ -6,8 +6,10 @@ indexed if it is long enough to hold a window, and no other text can hold one. W
 are searched backward through the index, their places found by sampled suffix positions,
 and overlapping places merged into removal spans.
 
-The benchmark is sent to the tasks in groups of bounded size (``group_words``); the
-documents are scanned once a group, so no size of it breaks a task.
+Spark deals the benchmark to groups of about ``group_words`` words and writes each one's
+phrases to a file of the shared folder; only the files' names reach the driver. A task scans
+its documents in one pass and holds one group at a time, so memory does not grow with the
+benchmark; a single item is never parted.
 
 Defined results: null or wordless texts have no words and are never hit; items without
 words, or null, have no window; repeated items with one id count once; a null id counts as
@@ -16,8 +18,9 @@ the empty string; empty tables give empty results or no hits; extra columns are
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslens.llm import frames, textcore
+from newslens.llm import files, frames, textcore
 from newslens.llm.fm_index import FMIndex
+from newslens.settings import shared_dir, stored
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -145,18 +149,32 @@ def _scan(column, phrases: Phrases, shard_words: int):
         yield from flush()
 
 
-def _groups(benchmark: DataFrame, item_id: str, text: str, group_words: int) -> list[list[tuple[str, str]]]:
-    """The items in groups of at most about ``group_words`` words; rows stream to the driver."""
-    groups, size = [[]], 0
-    rows = benchmark.where(F.col(text).isNotNull()).select(
-        F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")
+def write_groups(
+    benchmark: DataFrame, item_id: str, text: str, window: int, group_words: int
+) -> list[str]:
+    """Names of the files with the phrases of each group; none for a benchmark without texts."""
+    items = benchmark.where(F.col(text).isNotNull()).select(
+        F.col(item_id).cast("string").alias("i"), F.col(text).cast("string").alias("t")
     )
-    for row in rows.toLocalIterator():
-        groups[-1].append((row.i, row.t))
-        size += 1 + len(row.t) // 2
-        if size >= group_words:
-            groups, size = [*groups, []], 0
-    return [g for g in groups if g] or [[]]
+    size = items.agg(F.sum(F.floor(F.length("t") / 2) + 1)).first()[0] or 0
+    groups = -(-size // group_words)
+    if not groups:
+        return []
+    spark = benchmark.sparkSession
+    folder = shared_dir(spark, "phrases")
+
+    def write(group: pa.Table) -> pa.Table:
+        rows = zip(group.column("i").to_pylist(), group.column("t").to_pylist(), strict=True)
+        return pa.table({"uri": [files.write(folder, "phrases", [pickle.dumps(Phrases(list(rows), window))])]})
+
+    dealt = items.withColumn("g", F.pmod(F.xxhash64("i", "t"), F.lit(groups)))
+    written = stored(dealt.groupBy("g").applyInArrow(write, "uri string"), "phrase-files")
+    return sorted(row.uri for row in written.collect())
+
+
+@lru_cache(maxsize=1)
+def _load(uri: str) -> Phrases:
+    return pickle.loads(files.read(uri))  # written by write_groups
 
 
 def search(
@@ -171,11 +189,33 @@ def search(
     keep_text: bool = False,
 ) -> DataFrame:
     """Packed documents (``frames.pack``) with n_words, merged ``spans`` of hit words and ``items``."""
-    found, groups = packed, _groups(benchmark, item_id, item_text, group_words)
-    for number, group in enumerate(groups):
-        with_text = keep_text or number < len(groups) - 1
-        found = _with_group(found, Phrases(group, window), shard_words, number > 0, with_text)
-    return found
+    uris = write_groups(benchmark, item_id, item_text, window, group_words)
+    kept = ["row", "text"] if keep_text else ["row"]
+    schema = T.StructType([*[packed.schema[name] for name in kept], *T.StructType.fromDDL(ADDED).fields])
+    names = schema.names
+    span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def scan(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            spans: list[list] = [[] for _ in range(batch.num_rows)]
+            items: list[set[str]] = [set() for _ in range(batch.num_rows)]
+            for phrases in map(_load, uris) if uris else [Phrases([], window)]:
+                n = []
+                for i, (count, s, e, found) in enumerate(_scan(batch.column("text"), phrases, shard_words)):
+                    n.append(count)
+                    spans[i] += [{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+                    items[i].update(found)
+            columns = [batch.column(name) for name in kept]
+            columns += [
+                pa.array(n, pa.int64()),
+                pa.array(spans if len(uris) < 2 else map(merged, spans), span_type),
+                pa.array([sorted(own) for own in items], pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return packed.mapInArrow(scan, schema)
 
 
 def find(
@@ -190,37 +230,6 @@ def find(
     return frames.unpack(found, text, keep, n_words=F.col("n_words"), spans=F.col("spans"), items=F.col("items"))
 
 
-def _with_group(
-    docs: DataFrame, phrases: Phrases, shard_words: int, again: bool, with_text: bool
-) -> DataFrame:
-    kept = ["row", "text"] if with_text else ["row"]
-    fields = [docs.schema[name] for name in kept]
-    schema = T.StructType([*fields, *T.StructType.fromDDL(ADDED).fields])
-    names = schema.names
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)  # of at most about group_words words
-    span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-    def scan(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            n, spans, items = [], [], []
-            for count, s, e, found in _scan(batch.column("text"), sent.value, shard_words):
-                n.append(count)
-                spans.append([{"start": a, "end": b} for a, b in zip(s.tolist(), e.tolist(), strict=True)])
-                items.append(found)
-            if again:
-                for i, old in enumerate(batch.column("spans").to_pylist()):
-                    spans[i] = merged([*old, *spans[i]])
-                for i, old in enumerate(batch.column("items").to_pylist()):
-                    items[i] = sorted({*old, *items[i]})
-            columns = [batch.column(name) for name in kept]
-            columns += [pa.array(n, pa.int64()), pa.array(spans, span_type), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return docs.mapInArrow(scan, schema)
-
-
 def merged(spans: list[dict]) -> list[dict]:
     """Overlapping or touching spans as one."""
     out: list[dict] = []

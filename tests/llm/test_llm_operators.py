@@ -291,6 +291,8 @@ def test_groups_of_items_find_the_same(spark, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     one = decontaminate.find(docs, bench, keep=["doc_id"])
     many = decontaminate.find(docs, bench, keep=["doc_id"], group_words=200, shard_words=500)
+    assert len(decontaminate.write_groups(bench, "item_id", "text", 13, 200)) > 5
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "short item"), (3, "short item"), (None, "zz")], "item_id long, text string")
     texts = spark.createDataFrame([("a Short, item!",), (None,), ("zz",)], "text string")
