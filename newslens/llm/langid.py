@@ -6,41 +6,46 @@ sorted arrays that hold, for all languages side by side, log-probabilities of n-
 log back-off weights of contexts. All 4-grams of all training documents are counted by
 Spark (combined per task before the shuffle); lower orders follow from the distinct 4-grams.
 
-A text gets the language of lowest cross-entropy per character. It is rejected when that
-entropy exceeds what the language's own counts predict for a text of its length:
-mean + slack + z * deviation / sqrt(length), mean and deviation taken from all counts.
+A text gets the language of lowest cross-entropy per character. Rejection is calibrated: every eighth text with a
+language, by its checksum, is scored by a model that is counted without those texts. Per language the excess over the mean
+that one in a hundred passes, and over all languages the mean of what these have beyond it (an exponential tail), give
+the limit that a share ``rate`` of such texts would pass. The final model is counted from all texts.
 
-No n-gram is left out. While every language has at most ``max_grams`` distinct 4-grams, the arrays are built on the
-driver and broadcast. Beyond that Spark computes the same probabilities from all counts and keeps them as tables; texts
-are scored by joining their n-grams to those. Only discounts, means and deviations, a few numbers a language, are collected.
+One way for all sizes: no n-gram is left out, and the arrays are files in the shared folder (``hash_arrays``), cut by
+contexts and mapped by workers. Spark counts the orders and deals whole contexts to tasks, each of which writes its file
+over those of the order below. The driver gets a few numbers a language. A line of the arrays has a number for each
+language, so files are cut smaller the more languages there are.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and rejected;
 rows without lang or text teach nothing; with nothing to learn from, all is ``und``; ties go
-to the first language by name; extra columns are ignored or kept as they are.
+to the first language by name; extra columns are ignored or kept as they are. With fewer than 200 texts set apart a
+language has the limit of all languages; with fewer than 200 in all, the default one.
 """
 
 from __future__ import annotations
 
 import sys
 import unicodedata
+from dataclasses import dataclass, replace
 from functools import lru_cache
-from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslens.llm import frames, textcore
+from newslens.llm import frames, hash_arrays, textcore
 from newslens.llm.textcore import U64
-from newslens.operators.skew import lookup_join
-from newslens.settings import stored
+from newslens.settings import shared_dir, stored
 
 ORDER = 4
-MAX_GRAMS = 1_000_000
-REJECT_Z = 6.0
-REJECT_SLACK = 1.0
+FALSE_REJECTIONS = 1e-5
+APART = 8  # one text in so many sets the limits
+TAIL = 0.01
+LEAST_TEXTS, LEAST_BEYOND = 200, 20
+USUAL, BEYOND = 0.15, 0.2  # where too few texts are set apart
+UNIT_Z = 6.0
 UNKNOWN = "und"
 _SPACE = 0x20
 _SHIFT = U64(16)
@@ -107,42 +112,34 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def count_grams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, gram (packed, as a signed long) and n over all rows that have both columns."""
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    """lang, gram (packed, as a signed long), n over all rows that have both columns, and fit, n without the texts set apart."""
+    rows = _labelled(docs, text, lang)
 
     def count(batches):
         for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
+            group = np.array(batch.column("lang").to_pylist(), object), np.array(batch.column("apart").to_pylist(), bool)
             for first, end, data, offsets in textcore.slices(batch.column("text"), 1 << 21):
                 packed, bounds, _ = grams(data, offsets)
-                names, number = np.unique(langs[first:end].astype(str), return_inverse=True)
-                of = np.repeat(number, np.diff(bounds))
-                for i, name in enumerate(names.tolist()):
+                names, number = np.unique(group[0][first:end].astype(str), return_inverse=True)
+                of = np.repeat(2 * number + group[1][first:end], np.diff(bounds))
+                for i in np.unique(of).tolist():
                     keys, n = np.unique(packed[of == i], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
-                        names=["lang", "gram", "n"],
-                    )
+                    fit = np.zeros(len(n), np.int64) if i % 2 else n.astype(np.int64)
+                    columns = [pa.array([names[i // 2]] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(fit)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n", "fit"])
 
-    counted = rows.where("lang is not null and text is not null").mapInArrow(count, "lang string, gram long, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(count, "lang string, gram long, n long, fit long")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("fit").alias("fit"))
 
 
-def _discount(once: int, twice: int) -> float:
-    return min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.5
+def _labelled(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """Text and language of the rows that have both; ``apart``: whether limits are set by the row."""
+    rows = docs.select(F.col(frames.quoted(lang)).cast("string").alias("lang"), F.col(frames.quoted(text)).cast("string").alias("text"))
+    return rows.where("lang is not null and text is not null").withColumn("apart", F.crc32("text") % APART == 0)
 
 
-class _Order:
-    """Counts of the n-grams of one order and language, sorted, with totals by context."""
-
-    def __init__(self, keys: np.ndarray, n: np.ndarray):
-        by = np.argsort(keys)
-        self.keys, self.n = keys[by], n[by].astype(float)
-        self.discount = _discount(np.count_nonzero(n == 1), np.count_nonzero(n == 2))
-        self.contexts, at = np.unique(self.keys >> _SHIFT, return_inverse=True)
-        self.total = np.bincount(at, self.n, len(self.contexts))
-        kinds = np.bincount(at, np.minimum(self.n, self.discount), len(self.contexts))
-        self.weight = kinds / np.maximum(self.total, 1e-300)  # what is left to the lower order
+def _discount(once: int, twice: int) -> float:
+    return min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.5
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,196 +149,197 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+@dataclass(frozen=True)
 class Model:
-    """Sorted hash arrays for all languages: ``keys[n]`` with ``logp[n]``, ``contexts[n]`` with ``backoff[n]``."""
-
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(counts)
-        orders = [self._orders(*counts[lang]) for lang in self.langs]
-        self.keys, self.logp, self.contexts, self.backoff = {}, {}, {}, {}
-        for n in range(1, ORDER + 1):
-            union = np.unique(np.concatenate([o[n].keys for o in orders] or [np.zeros(0, U64)]))
-            logp = np.stack([np.log(self._prob(o, n, union)) for o in orders], 1) if orders else None
-            self.keys[n], self.logp[n] = self._by_hash(union, logp)
-            seen = np.unique(np.concatenate([o[n].contexts for o in orders] or [np.zeros(0, U64)]))
-            weights = []
-            for o in orders:
-                at, known = _find(o[n].contexts, seen)
-                weights.append(np.log(np.where(known, o[n].weight[at], 1.0)))
-            self.contexts[n], self.backoff[n] = self._by_hash(seen, np.stack(weights, 1) if orders else None)
-        self.mean, self.deviation = np.zeros(len(orders)), np.zeros(len(orders))
-        for i, o in enumerate(orders):
-            cost = -np.log(self._prob(o, ORDER, o[ORDER].keys))
-            share = o[ORDER].n / o[ORDER].n.sum()
-            self.mean[i] = (share * cost).sum()
-            self.deviation[i] = np.sqrt((share * (cost - self.mean[i]) ** 2).sum())
-
-    @staticmethod
-    def _orders(keys: np.ndarray, n: np.ndarray) -> dict[int, _Order]:
-        """The order that is counted, and below it in how many ways each n-gram is preceded."""
-        out = {ORDER: _Order(keys, n)}
-        for k in range(ORDER - 1, 0, -1):
-            out[k] = _Order(*np.unique(out[k + 1].keys & U64((1 << 16 * k) - 1), return_counts=True))
-        return out
+    """Where the arrays are, and a few numbers a language. A file holds all n-grams of its contexts: hashes ``key``
+    with ``logp`` and ``context`` with ``backoff``, one column per language."""
 
-    @staticmethod
-    def _prob(orders: dict[int, _Order], n: int, keys: np.ndarray) -> np.ndarray:
-        """Interpolated Kneser-Ney probability of the last symbol of each n-gram."""
-        if n == 0:
-            return np.full(len(keys), 1.0 / (1 << 16))
-        own = orders[n]
-        lower = Model._prob(orders, n - 1, keys & U64((1 << 16 * (n - 1)) - 1))
-        at, known = _find(own.keys, keys)
-        of, seen = _find(own.contexts, keys >> _SHIFT)
-        share = np.where(known, np.maximum(own.n[at] - own.discount, 0), 0) / own.total[of]
-        return np.where(seen, share + own.weight[of] * lower, lower)
-
-    @staticmethod
-    def _by_hash(keys: np.ndarray, values: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        hashed = textcore.mix(keys)
-        by = np.argsort(hashed)
-        values = np.zeros((len(keys), 0)) if values is None else values
-        return hashed[by], values[by].astype(np.float32)
+    folder: str
+    langs: list[str]
+    bits: list[int]  # leading bits of a context's hash that name the file, by order from 1
+    mean: np.ndarray
+    deviation: np.ndarray
+    usual: np.ndarray  # excess that a share TAIL of the texts set apart passes
+    beyond: float  # how far these pass it in the mean
 
     def log_probs(self, packed: np.ndarray, n: int = ORDER) -> np.ndarray:
         """One line per n-gram, one column per language."""
-        if n == 0:
-            return np.full((len(packed), len(self.langs)), -16 * np.log(2), np.float32)
-        at, known = _find(self.keys[n], textcore.mix(packed))
-        out = self.logp[n][at]
+        size = len(self.langs)
+        out = np.full((len(packed), size), -16 * np.log(2), np.float32)
+        if n == 0 or not len(packed):
+            return out
+        contexts = textcore.mix(packed >> _SHIFT)
+        number = (contexts >> U64(64 - self.bits[n - 1])).astype(np.int64)
+        by = np.argsort(number, kind="stable")
+        begins = np.flatnonzero(np.diff(number[by], prepend=-1)).tolist()
+        known, weight = np.zeros(len(packed), bool), np.zeros((len(packed), size), np.float32)
+        for a, b in zip(begins, [*begins[1:], len(by)], strict=True):
+            own = by[a:b]
+            part = hash_arrays.load(self.folder, f"order{n}-{number[own[0]]}")
+            if part is None:
+                continue
+            at, has = _find(part["key"], textcore.mix(packed[own]))
+            out[own[has]] = part["logp"].reshape(-1, size)[at[has]]
+            known[own] = has
+            own = own[~has]
+            of, seen = _find(part["context"], contexts[own])
+            weight[own[seen]] = part["backoff"].reshape(-1, size)[of[seen]]
         rest = np.flatnonzero(~known)
         if len(rest):
-            missing = packed[rest]
-            of, seen = _find(self.contexts[n], textcore.mix(missing >> _SHIFT))
-            weight = np.where(seen[:, None], self.backoff[n][of], 0)
-            out[rest] = weight + self.log_probs(missing & U64((1 << 16 * (n - 1)) - 1), n - 1)
+            out[rest] = weight[rest] + self.log_probs(packed[rest] & U64((1 << 16 * (n - 1)) - 1), n - 1)
         return out
 
-    def classify(self, column, z: float, slack: float) -> tuple[list, list, list]:
+    def entropies(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cost per character of each row in each language, lengths, and whether rows have a letter."""
+        packed, bounds, has_letter = grams(data, offsets)
+        distinct, of = np.unique(packed, return_inverse=True)
+        cost = -np.add.reduceat(self.log_probs(distinct)[of], bounds[:-1], axis=0, dtype=np.float64)
+        length = np.diff(bounds)
+        return cost / length[:, None], length, has_letter
+
+    def excess(self, lowest: np.ndarray, best: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """How far entropies are above the mean of their language, short texts measured by a wider unit."""
+        return (lowest - self.mean[best]) / (1 + UNIT_Z * self.deviation[best] / np.sqrt(length))
+
+    def classify(self, column, rate: float) -> tuple[list, list, list]:
         """Language, score and rejection of every row of a text column."""
         langs, scores, rejected = [], [], []
+        limit = self.usual + self.beyond * np.log(TAIL / rate)
         for _, _, data, offsets in textcore.slices(column):
-            packed, bounds, has_letter = grams(data, offsets)
-            cost = -np.add.reduceat(self.log_probs(packed), bounds[:-1], axis=0, dtype=np.float64)
-            for all_of, some in zip((langs, scores, rejected), _decided(self, cost, np.diff(bounds), has_letter, z, slack)):
-                all_of += some
+            entropy, length, has_letter = self.entropies(data, offsets)
+            best = entropy.argmin(1)
+            lowest = entropy[np.arange(len(best)), best]
+            evidence = length / (1 + length / 40)  # characters are not independent
+            score = 1 / np.exp(np.minimum((lowest[:, None] - entropy) * evidence[:, None], 0)).sum(1)
+            langs += [self.langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), has_letter.tolist())]
+            scores += np.where(has_letter, score, 0.0).tolist()
+            rejected += (~has_letter | (self.excess(lowest, best, length) > limit[best])).tolist()
         return langs, scores, rejected
 
 
-def _decided(model, cost: np.ndarray, length: np.ndarray, has_letter: np.ndarray, z: float, slack: float) -> tuple[list, list, list]:
-    """Language, score and rejection of rows from what they cost in each language."""
-    length = length[:, None]
-    entropy = cost / length
-    best = entropy.argmin(1)
-    lowest = entropy[np.arange(len(best)), best]
-    evidence = length / (1 + length / 40)  # characters are not independent
-    score = 1 / np.exp(np.minimum((lowest[:, None] - entropy) * evidence, 0)).sum(1)
-    limit = model.mean[best] + slack + z * model.deviation[best] / np.sqrt(length[:, 0])
-    langs = [model.langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), has_letter.tolist())]
-    return langs, np.where(has_letter, score, 0.0).tolist(), (~has_letter | (lowest > limit)).tolist()
-
-
-def _by_lang(value) -> Column:
-    return F.map_from_entries(F.collect_list(F.struct("lang", value)))
-
-
-class Tables:
-    """The probabilities of ``Model`` as Spark tables: for each order the discounted ``shares`` of n-grams and the
-    ``weights`` that contexts leave to the lower order, maps from the number of a language."""
-
-    def __init__(self, counts: DataFrame, langs: list[str]):
-        self.langs, self.shares, self.weights = langs, {}, {}
-        number = F.array_position(F.array(*[F.lit(lang) for lang in langs]), F.col("lang")) - 1
-        top = orders = stored(counts.select(number.cast("int").alias("lang"), "gram", "n"), "order")
-        for k in range(ORDER, 0, -1):
-            if k < ORDER:
-                orders = stored(orders.groupBy("lang", self._tail(k).alias("gram")).agg(F.count("*").alias("n")), "order")
-            discount = [0.5] * len(langs)
-            for row in orders.groupBy("lang").agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).collect():
-                discount[row[0]] = _discount(row[1], row[2])
-            cut = F.get(F.array(*[F.lit(d) for d in discount]), F.col("lang"))
-            grams = orders.withColumn("key", F.shiftrightunsigned("gram", 16))
-            contexts = stored(grams.groupBy("lang", "key").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "contexts")
-            share = lookup_join(grams, contexts, ["lang", "key"], ["gram"]).withColumn("share", (F.col("n") - cut) / F.col("total"))
-            self.shares[k] = stored(share.groupBy(F.col("gram").alias("key")).agg(_by_lang("share").alias(f"share{k}")), "shares")
-            weight = contexts.withColumn("weight", cut * F.col("kinds") / F.col("total"))
-            self.weights[k] = stored(weight.groupBy("key").agg(_by_lang("weight").alias(f"weight{k}")), "weights")
-        costs = lookup_join(top, self.log_probs(top.select("gram").distinct()), ["gram"], ["lang"])
-        cost = -F.get("logp", F.col("lang"))
-        self.mean, self.deviation = np.zeros(len(langs)), np.zeros(len(langs))
-        for row in costs.groupBy("lang").agg(F.sum("n"), F.sum(cost * F.col("n")), F.sum(cost * cost * F.col("n"))).collect():
-            self.mean[row[0]] = row[2] / row[1]
-            self.deviation[row[0]] = np.sqrt(max(row[3] / row[1] - (row[2] / row[1]) ** 2, 0.0))
-
-    @staticmethod
-    def _tail(k: int) -> Column:
-        return F.col("gram") if k == ORDER else F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1))
-
-    def log_probs(self, grams: DataFrame) -> DataFrame:
-        """gram and logp, an array over the languages, of distinct n-grams."""
-        for k in range(1, ORDER + 1):
-            grams = lookup_join(grams.withColumn("key", self._tail(k)), self.shares[k], ["key"], ["gram"])
-            grams = lookup_join(grams.withColumn("key", F.shiftrightunsigned(self._tail(k), 16)), self.weights[k], ["key"], ["gram"])
-
-        def log_prob(lang):
-            p = F.lit(1.0 / (1 << 16))
-            for k in range(1, ORDER + 1):
-                share, weight = F.try_element_at(f"share{k}", lang), F.try_element_at(f"weight{k}", lang)
-                p = F.coalesce(share, F.lit(0.0)) + F.coalesce(weight, F.lit(1.0)) * p
-            return F.log(p)
-
-        return grams.select("gram", F.transform(F.sequence(F.lit(0), F.lit(len(self.langs) - 1)), log_prob).alias("logp"))
-
-    def costs(self, texts: DataFrame) -> DataFrame:
-        """id, length, has_letter and cost (an array over the languages) of rows of id and text."""
-
-        def cut(batches):
-            for batch in batches:
-                ids = batch.column("id").to_numpy()
-                for first, end, data, offsets in textcore.slices(batch.column("text"), 1 << 21):
-                    packed, bounds, has_letter = grams(data, offsets)
-                    of = np.repeat(np.arange(end - first), np.diff(bounds))
-                    by = np.lexsort((packed, of))
-                    packed, of = packed[by], of[by]
-                    at = np.flatnonzero(np.concatenate([[True], (packed[1:] != packed[:-1]) | (of[1:] != of[:-1])]))
-                    n = np.diff(np.concatenate([at, [len(of)]]))
-                    columns = [ids[first:end][of[at]], has_letter[of[at]], packed[at].view(np.int64), n]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "has_letter", "gram", "n"])
-
-        found = stored(texts.mapInArrow(cut, "id long, has_letter boolean, gram long, n long"), "found")
-        known = stored(self.log_probs(found.select("gram").distinct()), "known")
-        cost = F.array(*[F.sum(-F.get("logp", F.lit(i)) * F.col("n")) for i in range(len(self.langs))])
-        summed = lookup_join(found, known, ["gram"], ["id"]).groupBy("id")
-        return summed.agg(F.sum("n").alias("length"), F.first("has_letter").alias("has_letter"), cost.alias("cost"))
-
-
-def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> Model | Tables:
-    """Count all 4-grams of the rows with a language; arrays on the driver, or tables if a language has more than ``max_grams``."""
+def _arrays(model: Model, k: int, part: pa.Table, discount: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """The file of some contexts with all their n-grams, and counts and costs of these: interpolated Kneser-Ney over
+    the lower order, whose files are there."""
+    size = len(model.langs)
+    keys, row = np.unique(part.column("gram").to_numpy().view(U64), return_inverse=True)
+    count = np.zeros((len(keys), size))
+    count[row, part.column("lang").to_numpy()] = part.column("n").to_numpy()
+    contexts = keys >> _SHIFT
+    starts = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]]))
+    of = np.repeat(np.arange(len(starts)), np.diff([*starts.tolist(), len(keys)]))
+    total = np.add.reduceat(count, starts)
+    left = np.where(total > 0, np.add.reduceat(np.minimum(count, discount), starts) / np.maximum(total, 1), 1)
+    lower = np.exp(model.log_probs(keys & U64((1 << 16 * (k - 1)) - 1), k - 1).astype(np.float64))
+    logp = np.log(np.maximum(count - discount, 0) / np.maximum(total, 1)[of] + left[of] * lower)
+    hashed, seen = textcore.mix(keys), textcore.mix(contexts[starts])
+    by, ctx = np.argsort(hashed), np.argsort(seen)
+    columns = {"key": hashed[by], "logp": logp[by].astype(np.float32).ravel()}
+    columns |= {"context": seen[ctx], "backoff": np.log(left)[ctx].astype(np.float32).ravel()}
+    return columns, count, -logp
+
+
+def _build(counts: DataFrame, langs: list[str], bits: int | None = None) -> Model:
+    """Write the model of (lang number, gram, n). Every task gets whole contexts, each of 65 536 n-grams a language at
+    most; lower orders count in how many ways an n-gram is preceded."""
+    size = len(langs)
+    model = Model(shared_dir(counts.sparkSession, "language"), langs, [], np.zeros(size), np.zeros(size), np.full(size, USUAL), BEYOND)
+    orders = {ORDER: counts}
+    for k in range(ORDER - 1, 0, -1):
+        tail = F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("gram")
+        orders[k] = stored(orders[k + 1].groupBy("lang", tail).agg(F.count("*").alias("n")), "order")
+    for k in range(1, ORDER + 1):
+        discount, rows = np.full(size, 0.5), 0
+        seen = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count("*")]
+        for row in orders[k].groupBy("lang").agg(*seen).collect():  # a row a language
+            discount[row[0]] = _discount(row[1], row[2])
+            rows += row[3]
+        model.bits.append(bits or hash_arrays.bits_for(rows * size // 8))
+        sums = _write_order(orders[k], model, k, discount)
+    for row in sums.groupBy("lang").agg(F.sum("n"), F.sum("cost"), F.sum("square")).collect():
+        mean = row[2] / row[1]
+        model.mean[row[0]], model.deviation[row[0]] = mean, np.sqrt(max(row[3] / row[1] - mean**2, 0.0))
+    return model
+
+
+def _write_order(counts: DataFrame, model: Model, k: int, discount: np.ndarray) -> DataFrame:
+    shift = U64(64 - model.bits[k - 1])
+
+    def place(batches):
+        for batch in batches:
+            context = batch.column("gram").to_numpy().view(U64) >> _SHIFT
+            number = (textcore.mix(context) >> shift).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number)], names=[*batch.schema.names, "bucket"])
+
+    def save(batches):
+        for (number,), part in hash_arrays.by_file(batches, ["bucket"]):
+            columns, count, cost = _arrays(model, k, part, discount)
+            hash_arrays.save(model.folder, f"order{k}-{number}", columns)
+            sums = [count.sum(0), (count * cost).sum(0), (count * cost**2).sum(0)]
+            own = np.flatnonzero(sums[0])
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *[pa.array(s[own]) for s in sums]], names=["lang", "n", "cost", "square"])
+
+    placed = counts.select("lang", "gram", "n").mapInArrow(place, "lang int, gram long, n long, bucket long")
+    placed = placed.repartition("bucket").sortWithinPartitions("bucket", "gram", "lang")
+    return stored(placed.mapInArrow(save, "lang int, n double, cost double, square double"), "language-files")
+
+
+def _calibrated(model: Model, trial: Model, rows: DataFrame) -> Model:
+    """The model with the limits that texts set apart give, as ``trial``, which has not seen them, scores them."""
+
+    def measure(batches):
+        for batch in batches:
+            labels = np.array(batch.column("lang").to_pylist(), object)
+            for first, end, data, offsets in textcore.slices(batch.column("text")):
+                entropy, length, has_letter = trial.entropies(data, offsets)
+                best = entropy.argmin(1)
+                right = has_letter & (np.array(trial.langs, object)[best] == labels[first:end])
+                excess = trial.excess(entropy[np.arange(len(best)), best], best, length)
+                yield pa.RecordBatch.from_arrays([pa.array(best[right].astype(np.int32)), pa.array(excess[right])], names=["lang", "excess"])
+
+    found = stored(rows.select("lang", "text").mapInArrow(measure, "lang int, excess double"), "excess")
+    at = F.percentile_approx("excess", F.lit(1 - TAIL), F.lit(10_000))
+    pooled, texts = found.agg(at, F.count("*")).first()
+    usual = np.full(len(model.langs), pooled if texts >= LEAST_TEXTS else USUAL)
+    for row in found.groupBy("lang").agg(at, F.count("*")).collect():
+        if row[2] >= LEAST_TEXTS:
+            usual[model.langs.index(trial.langs[row[0]])] = row[1]
+    by_trial = F.array(*[F.lit(float(usual[model.langs.index(name)])) for name in trial.langs])
+    more = F.col("excess") - F.get(by_trial, F.col("lang"))
+    n, mean = found.where(more > 0).agg(F.count("*"), F.avg(more)).first()
+    return replace(model, usual=usual, beyond=mean if n >= LEAST_BEYOND else BEYOND)
+
+
+def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", bits: int | None = None) -> Model:
+    """Count all 4-grams of the rows with a language and write the model; set its limits. ``bits`` fixes the number of files."""
     counted = stored(count_grams(docs, text, lang), "grams")
-    kinds = {row.lang: row["count"] for row in counted.groupBy("lang").count().collect()}
-    if max(kinds.values(), default=0) > max_grams:
-        return Tables(counted, sorted(kinds))
-    counts = {}
-    for name in sorted(kinds):
-        table = counted.where(F.col("lang") == name).select("gram", "n").toArrow()
-        counts[name] = table.column("gram").to_numpy().view(U64), table.column("n").to_numpy()
-    return Model(counts)
+    langs = sorted(row.lang for row in counted.select("lang").distinct().collect())
+
+    def built(names: list[str], n: str) -> Model:
+        number = F.array_position(F.array(*[F.lit(name) for name in names]), F.col("lang")) - 1
+        return _build(counted.where(F.col(n) > 0).select(number.cast("int").alias("lang"), "gram", F.col(n).alias("n")), names, bits)
+
+    if not langs:
+        return Model("", [], [1] * ORDER, *[np.zeros(0)] * 3, BEYOND)
+    model = built(langs, "n")
+    fitted = sorted(row.lang for row in counted.where("fit > 0").select("lang").distinct().collect())
+    if not fitted:
+        return model
+    return _calibrated(model, built(fitted, "fit"), _labelled(docs, text, lang).where("apart"))
 
 
-def _classified(packed: DataFrame, model: Model | Tables, z: float, slack: float, with_text: bool) -> DataFrame:
+def _classified(packed: DataFrame, model: Model, rate: float, with_text: bool) -> DataFrame:
+    if not 0 < rate <= TAIL:
+        raise ValueError(f"a rate of false rejections above 0 and up to {TAIL}")
     kept = ["row", "text"] if with_text else ["row"]
     added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
     schema = T.StructType([*[packed.schema[c] for c in kept], *added.fields])
     names = schema.names
-    if isinstance(model, Tables):
-        return _scored_by_join(packed, model, z, slack, schema)
-    sent = packed.sparkSession.sparkContext.broadcast(model)  # at most max_grams entries a language
 
     def classify(batches):
         for batch in batches:
             if batch.num_rows:
-                if sent.value.langs:
-                    langs, scores, rejected = sent.value.classify(batch.column("text"), z, slack)
+                if model.langs:
+                    langs, scores, rejected = model.classify(batch.column("text"), rate)
                 else:
                     n = batch.num_rows
                     langs, scores, rejected = [UNKNOWN] * n, [0.0] * n, [True] * n
@@ -352,46 +350,19 @@ def _classified(packed: DataFrame, model: Model | Tables, z: float, slack: float
     return packed.mapInArrow(classify, schema)
 
 
-def _scored_by_join(packed: DataFrame, model: Tables, z: float, slack: float, schema: T.StructType) -> DataFrame:
-    numbered = stored(packed.withColumn("id", F.monotonically_increasing_id()), "numbered")
-    limits = SimpleNamespace(langs=model.langs, mean=model.mean, deviation=model.deviation)  # the tables can't be sent
-    names = schema.names
-
-    def decide(batches):
-        for batch in batches:
-            if batch.num_rows:
-                cost = batch.column("cost").flatten().to_numpy().reshape(batch.num_rows, -1)
-                has_letter = batch.column("has_letter").to_numpy(zero_copy_only=False)
-                found = _decided(limits, cost, batch.column("length").to_numpy(), has_letter, z, slack)
-                types = pa.string(), pa.float64(), pa.bool_()
-                columns = [batch.column(c) for c in names[:-3]] + [pa.array(f, t) for f, t in zip(found, types)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    joined = numbered.join(model.costs(numbered.select("id", "text")), "id")  # every row has a cost
-    return joined.select(*names[:-3], "cost", "length", "has_letter").mapInArrow(decide, schema)
-
-
 def identify(
-    docs: DataFrame,
-    model: Model | Tables,
-    *,
-    text: str = "text",
-    keep: list[str] | None = None,
-    z: float = REJECT_Z,
-    slack: float = REJECT_SLACK,
+    docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None, rate: float = FALSE_REJECTIONS
 ) -> DataFrame:
     """The ``keep`` columns (default: all) with lang_pred, score and rejected."""
     keep = docs.columns if keep is None else keep
-    found = _classified(frames.pack(docs, text, keep), model, z, slack, text in keep)
+    found = _classified(frames.pack(docs, text, keep), model, rate, text in keep)
     added = {c: F.col(c) for c in ("lang_pred", "score", "rejected")}
     return frames.unpack(found, text, keep, **added)
 
 
-def drop_rejected(
-    docs: DataFrame, model: Model | Tables, *, text: str = "text", z: float = REJECT_Z, slack: float = REJECT_SLACK
-) -> DataFrame:
+def drop_rejected(docs: DataFrame, model: Model, *, text: str = "text", rate: float = FALSE_REJECTIONS) -> DataFrame:
     """The documents that some language accepts, with their own columns."""
-    found = _classified(frames.pack(docs, text), model, z, slack, True)
+    found = _classified(frames.pack(docs, text), model, rate, True)
     return frames.unpack(found.where(~F.col("rejected")), text, docs.columns)
 
 

@@ -251,26 +251,68 @@ def test_language_on_held_out_rows(spark):
     assert all(r.rejected for r in out) and [r.lang_pred for r in out[2:]] == ["und"] * 3
 
 
-def test_languages_beyond_the_bound_of_the_driver_are_whole(spark, odd):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+def test_language_models_are_the_same_in_few_files_and_in_many(spark, odd):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [("die kleine Katze",), ("ganz anderes 漢字漢字漢字",), ("",), (None,), ("aaaa aaaa",)]
     texts = docs.select("text").unionByName(spark.createDataFrame(texts, "text string"))
-    small, large = langid.train(docs), langid.train(docs, max_grams=20)
-    assert isinstance(large, langid.Tables) and large.langs == small.langs
-    assert np.allclose(large.mean, small.mean) and np.allclose(large.deviation, small.deviation)
+    few, many = langid.train(docs), langid.train(docs, bits=6)
+    assert few.langs == many.langs and few.bits != many.bits and np.allclose(few.mean, many.mean)
+    assert np.allclose(few.usual, many.usual) and abs(few.beyond - many.beyond) < 1e-6
     order = lambda out: sorted(out.collect(), key=lambda r: (r.text is None, r.text))
-    for a, b in zip(order(langid.identify(texts, small)), order(langid.identify(texts, large)), strict=True):
-        assert (a.text, a.lang_pred, a.rejected) == (b.text, b.lang_pred, b.rejected) and abs(a.score - b.score) < 1e-4
-    assert langid.drop_rejected(odd, langid.train(odd, max_grams=1)).count() == langid.drop_rejected(odd, langid.train(odd)).count()
-
-
-def test_kneser_ney_sums_to_one():
-    data, offsets = textcore.buffers(pa.array(["banana bandana", "an ant"]))
-    keys, n = np.unique(langid.grams(data, offsets)[0], return_counts=True)
-    orders = langid.Model._orders(keys, n)
-    seen = textcore.U64(0x61_0000_006E)  # context a, n of order 3
-    context = np.arange(1 << 16).astype(textcore.U64) | (textcore.U64(0x0061_006E) << textcore.U64(16))
-    assert seen and abs(langid.Model._prob(orders, 3, context).sum() - 1) < 1e-9
+    for a, b in zip(order(langid.identify(texts, few)), order(langid.identify(texts, many)), strict=True):
+        assert (a.text, a.lang_pred, a.rejected) == (b.text, b.lang_pred, b.rejected) and abs(a.score - b.score) < 1e-6
+
+
+def _kneser_ney(texts: list[str]):
+    """Probability of the last character of a string of up to four, from dictionaries."""
+    counts = {4: {}, 3: {}, 2: {}, 1: {}}
+    for text in texts:
+        padded = "   " + " ".join(text.lower().split()) + " "
+        for i in range(len(padded) - 3):
+            counts[4][padded[i : i + 4]] = counts[4].get(padded[i : i + 4], 0) + 1
+    for k in (3, 2, 1):
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] = counts[k].get(gram[1:], 0) + 1
+
+    def prob(gram: str) -> float:
+        if not gram:
+            return 1 / 65536
+        own = counts[len(gram)]
+        once, twice = (sum(n == k for n in own.values()) for k in (1, 2))
+        cut = min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.5
+        beside = [n for g, n in own.items() if g[:-1] == gram[:-1]]
+        if not beside:
+            return prob(gram[1:])
+        return (max(own.get(gram, 0) - cut, 0) + cut * len(beside) * prob(gram[1:])) / sum(beside)
+
+    return prob
+
+
+def test_kneser_ney_against_dictionaries(spark):
+    texts = {"x": ["banana bandana", "an ant", "banana"], "y": ["the cat", "a hat that sat", "", "ñandú"]}
+    model = langid.train(spark.createDataFrame([(t, lang) for lang, ts in texts.items() for t in ts], "text string, lang string"), bits=2)
+    wanted = ["nana", " ban", "zana", "qqqq", "   b", "that", "hatz", "ñand", "anan", "漢漢漢漢"]
+    packed = [sum(ord(c) << 16 * (3 - i) for i, c in enumerate(w)) for w in wanted]
+    found = model.log_probs(np.array(packed, textcore.U64))
+    for k, lang in enumerate(model.langs):
+        prob = _kneser_ney(texts[lang])
+        assert np.allclose(found[:, k], [np.log(prob(w)) for w in wanted], rtol=1e-5)
+        seen = " ban"[:3] if lang == "x" else "tha"
+        after = np.arange(1 << 16).astype(textcore.U64) | textcore.U64(sum(ord(c) << 16 * (3 - i) for i, c in enumerate(seen)))
+        assert abs(np.exp(model.log_probs(after)[:, k].astype(float)).sum() - 1) < 1e-4
+
+
+def test_rejections_are_calibrated_on_texts_set_apart(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LEAST_BEYOND", 5)  # of about 830 texts set apart
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(docs.where(~langid.held_out()))
+    held = docs.where(langid.held_out())
+    n = held.count()
+    assert (model.usual != langid.USUAL).all() and model.beyond != langid.BEYOND
+    lost = {rate: n - langid.drop_rejected(held, model, rate=rate).count() for rate in (0.01, 0.001, langid.FALSE_REJECTIONS)}
+    assert 0.003 * n < lost[0.01] < 0.03 * n and lost[0.001] < 0.004 * n and lost[langid.FALSE_REJECTIONS] == 0
+    with pytest.raises(ValueError):
+        langid.drop_rejected(held, model, rate=0.5)
 
 
 # --- 6 -------------------------------------------------------------------------
