@@ -83,24 +83,27 @@ def _columns(data: np.ndarray) -> dict[str, np.ndarray]:
 
 def lookup(folder: str, table: str, bits: int, keys: np.ndarray, columns: list[str]) -> list[np.ndarray]:
     """The columns' values at the keys, as doubles; 0 where the table lacks the key."""
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    out = [np.zeros(len(distinct)) for _ in columns]
-    number = (distinct >> np.uint64(64 - bits)).astype(np.int64)
-    begins = np.flatnonzero(np.diff(number, prepend=-1))
-    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(distinct)], strict=True):
-        part = load(folder, f"{table}-{number[a]}")
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = [np.zeros(len(keys)) for _ in columns]
+    cuts = np.searchsorted(ordered, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    cuts = np.append(cuts, len(ordered))
+    for n in np.flatnonzero(np.diff(cuts)).tolist():
+        a, b = cuts[n : n + 2].tolist()
+        part = load(folder, f"{table}-{n}")
         if part is None or not len(part["key"]):
             continue
-        at = np.minimum(np.searchsorted(part["key"], distinct[a:b]), len(part["key"]) - 1)
-        has = np.flatnonzero(part["key"][at] == distinct[a:b])
+        at = np.minimum(np.searchsorted(part["key"], ordered[a:b]), len(part["key"]) - 1)
+        has = np.flatnonzero(part["key"][at] == ordered[a:b])
+        at, to = at[has], order[a + has]
         for values, column in zip(out, columns, strict=True):
-            values[a + has] = part[column][at[has]]
+            values[to] = part[column][at]
             if f"{column}_place" in part:  # too large for the column's own array
-                place = np.searchsorted(part[f"{column}_place"], at[has])
+                place = np.searchsorted(part[f"{column}_place"], at)
                 place = np.minimum(place, max(0, len(part[f"{column}_place"]) - 1))
-                large = np.flatnonzero(part[f"{column}_place"][place] == at[has]) if len(part[f"{column}_place"]) else place[:0]
-                values[a + has[large]] = part[f"{column}_large"][place[large]]
-    return [values[inverse] for values in out]
+                large = np.flatnonzero(part[f"{column}_place"][place] == at) if len(part[f"{column}_place"]) else place[:0]
+                values[to[large]] = part[f"{column}_large"][place[large]]
+    return out
 
 
 def narrow(column: str, values: np.ndarray) -> dict[str, np.ndarray]:

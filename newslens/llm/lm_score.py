@@ -92,6 +92,15 @@ def grams(token: np.ndarray, bounds: np.ndarray, order: int) -> tuple[list[np.nd
     return [token, *[joined(c, token) for c in contexts]], contexts
 
 
+def word_numbers(token: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words and the start mark, in order, and by number in them: every token, and the word before it."""
+    own, of = np.unique(np.append(token, START), return_inverse=True)
+    before = np.empty(len(token), np.int64)
+    before[1:] = of[:-2]
+    before[bounds[:-1]] = of[-1]
+    return own, of[:-1], before
+
+
 def _parts(batches: Iterator[pa.RecordBatch], most: int = PART_TOKENS) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
     """Rows, tokens and bounds of about ``most`` tokens at a time; a text is never cut."""
     rows, found, counts, size = [], [], [], 0
@@ -211,11 +220,13 @@ def train(docs: DataFrame, *, text: str = "text", order: int = ORDER) -> Model:
             for level in range(2, order + 1):
                 raw = at(f"raw{level}", keys[level - 1], ["n"])[0]
                 adjusted = raw if level == order else at(f"next{level}", keys[level - 1], ["n"])[0]
-                context, share = contexts[level - 2], 1 / raw
-                both = np.concatenate([context, token]) if level == 2 else context
-                own, of = np.unique(both, return_inverse=True)
-                word, of = of[len(context) :], of[: len(context)]
-                sums = [np.bincount(of, w, len(own)) for w in (adjusted * share, *[share * (adjusted == k) for k in (1, 2)], share * (adjusted > 2))]
+                share = 1 / raw
+                if level == 2:
+                    own, word, of = word_numbers(token, bounds)
+                else:
+                    own, of = np.unique(contexts[level - 2], return_inverse=True)
+                sums = [np.bincount(of, adjusted * share, len(own)), *[np.bincount(of, share * (adjusted == k), len(own)) for k in (1, 2)]]
+                sums.append(np.bincount(of, share * (adjusted > 2), len(own)))
                 seen = np.bincount(word, minlength=len(own)) if level == 2 else np.zeros(len(own), np.int64)
                 n = np.bincount(word, share, len(own)) if level == 2 else np.zeros(len(own))
                 columns = [np.full(len(own), level - 1, np.int8), own.view(np.int64), seen, *sums, n]
@@ -235,9 +246,10 @@ def log_probabilities(model: Model, token: np.ndarray, bounds: np.ndarray) -> tu
     at = lambda table, keys, columns: hash_arrays.lookup(model.folder, table, model.bits, keys, columns)
     keys, contexts = grams(token, bounds, model.order)
     names = ["raw", "n", "total", "one", "two", "more"]
-    raw, n, *of_words = at("words1", np.concatenate([token, contexts[0]]), names)
+    own, word, before = word_numbers(token, bounds)
+    raw, n, *of_words = at("words1", own, names)
     size = len(token)
-    raw, n = raw[:size], n[:size]
+    raw, n = raw[word], n[word]
     if model.continuations:
         p = (_discounted(n, model.discounts[0]) + model.rest / (model.words + 1)) / model.continuations
     else:
@@ -245,7 +257,7 @@ def log_probabilities(model: Model, token: np.ndarray, bounds: np.ndarray) -> tu
     for level in range(2, model.order + 1):
         table = f"raw{level}" if level == model.order else f"next{level}"
         count = at(table, keys[level - 1], ["n"])[0]
-        own = [x[size:] for x in of_words] if level == 2 else at(f"words{level - 1}", contexts[level - 2], names[2:])
+        own = [x[before] for x in of_words] if level == 2 else at(f"words{level - 1}", contexts[level - 2], names[2:])
         total, *kinds = own
         known = np.maximum(total, 1)
         back = sum(d * x for d, x in zip(model.discounts[level - 1], kinds, strict=True)) / known

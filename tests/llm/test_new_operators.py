@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -279,3 +280,28 @@ def test_long_pages_take_linear_time(page):
     start = time.perf_counter()
     html_extract.blocks(page + "end")
     assert time.perf_counter() - start < 3
+
+
+def test_a_lookup_takes_little_more_than_its_keys_and_values(tmp_path):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 64, 400_000, np.uint64))
+    values = rng.integers(0, 600, len(keys))
+    for number in range(16):
+        own = (keys >> np.uint64(60)) == number
+        hash_arrays.save(str(tmp_path), f"t-{number}", {"key": keys[own]} | hash_arrays.narrow("n", values[own]))
+    order = rng.permutation(len(keys))
+    asked = np.append(keys[order], keys[:1] + np.uint64(1))
+    tracemalloc.start()
+    (got,) = hash_arrays.lookup(str(tmp_path), "t", 4, asked, ["n"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.tolist() == [*values[order].tolist(), 0]
+    assert peak < 4.5 * asked.nbytes
+
+
+def test_words_are_numbered_with_the_start_mark():
+    data = np.frombuffer(b"a b aa", np.uint8)
+    token, bounds = lm_score.tokens(data, np.array([0, 4, 4, 6]))
+    own, word, before = lm_score.word_numbers(token, bounds)
+    assert own[word].tolist() == token.tolist()
+    assert own[before].tolist() == lm_score.grams(token, bounds, 2)[1][0].tolist()
