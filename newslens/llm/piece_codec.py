@@ -35,6 +35,7 @@ from newslens.llm.wordstore import MAX_KNOWN, WordStore, bounds, spread
 MARK = 0x2581  # stands for a space
 _LITERAL = 0x110000  # a mark that stands in the text itself; beyond all code points
 _CELLS = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def default_model() -> str:
@@ -229,10 +230,13 @@ def decode(model: Pieces, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray
     return data[keep], rows - np.cumsum(dropped)
 
 
-def _pieces_of(column, max_bytes: int = 1 << 22):
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    for first, end, _, _ in textcore.slices(column, max_bytes):
-        yield column.slice(first, end - first)
+def worked(batches, model: Pieces, kept: list[str], names: list[str], work):
+    """Record batches of ``kept`` and what ``work`` adds, of about ``SLICE_BYTES`` of text each; a text is never cut."""
+    coder = Coder(model)
+    for batch in batches:
+        for first, end, _, _ in textcore.slices(batch.column("text"), SLICE_BYTES):
+            part = batch.slice(first, end - first)
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + work(model, coder, part.column("text")), names=names)
 
 
 def _mapped(packed: DataFrame, path: str, kept: list[str], added: str, work) -> DataFrame:
@@ -240,35 +244,26 @@ def _mapped(packed: DataFrame, path: str, kept: list[str], added: str, work) ->
     names = schema.names
 
     def run(batches):
-        model = pieces(path)
-        coder = Coder(model)
-        for batch in batches:
-            if batch.num_rows:
-                columns = [batch.column(c) for c in kept] + work(model, coder, batch.column("text"))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        yield from worked(batches, pieces(path), kept, names, work)
 
     return packed.mapInArrow(run, schema)
 
 
-def _ids(model: Pieces, coder: Coder, column) -> list[pa.Array]:
-    parts = []
-    for texts in _pieces_of(column):
-        flat, ends = coder.encode(texts)
-        parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()), mask=texts.is_null()))
-    return [pa.concat_arrays(parts)]
+def _ids(model: Pieces, coder: Coder, texts) -> list[pa.Array]:
+    flat, ends = coder.encode(texts)
+    return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()), mask=texts.is_null())]
 
 
-def _digest(model: Pieces, coder: Coder, column) -> list[pa.Array]:
+def _digest(model: Pieces, coder: Coder, texts) -> list[pa.Array]:
     n, crc, same = [], [], []
-    for texts in _pieces_of(column):
-        flat, at = coder.encode(texts)
-        raw, offsets = textcore.buffers(texts)
-        back, ends = decode(model, flat, at)
-        little = flat.astype("<u4")
-        for i in range(len(texts)):
-            n.append(int(at[i + 1] - at[i]))
-            crc.append(zlib.crc32(little[at[i] : at[i + 1]]))
-            same.append(bool(np.array_equal(back[ends[i] : ends[i + 1]], raw[offsets[i] : offsets[i + 1]])))
+    flat, at = coder.encode(texts)
+    raw, offsets = textcore.buffers(texts)
+    back, ends = decode(model, flat, at)
+    little = flat.astype("<u4")
+    for i in range(len(texts)):
+        n.append(int(at[i + 1] - at[i]))
+        crc.append(zlib.crc32(little[at[i] : at[i + 1]]))
+        same.append(bool(np.array_equal(back[ends[i] : ends[i + 1]], raw[offsets[i] : offsets[i + 1]])))
     return [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
 
 

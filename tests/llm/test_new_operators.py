@@ -10,10 +10,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from newslens.llm import hash_arrays, html_extract, lexical, lm_score, periodic, textcore
+from newslens.llm import hash_arrays, html_extract, lexical, lm_score, periodic, piece_codec, textcore
 
 ODD = [
     (1, None), (2, ""), (None, "the cat sat on the mat the cat sat on the mat the cat sat"), (3, "a a a a a a a a a a a a a a a"),
@@ -282,6 +283,18 @@ def test_long_pages_take_linear_time(page):
     assert time.perf_counter() - start < 3
 
 
+def test_a_large_batch_of_texts_is_encoded_and_sent_in_small_ones():
+    texts = [f"word{i} " * 4000 for i in range(200)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["row", "text"])
+    model = piece_codec.pieces(piece_codec.default_model())
+    out = list(piece_codec.worked([batch], model, ["row"], ["row", "ids"], piece_codec._ids))
+    sizes = [sum(len(texts[i] or "") for i in b.column("row").to_pylist()) for b in out]
+    assert max(sizes) <= piece_codec.SLICE_BYTES and len(out) > 5
+    assert [i for b in out for i in b.column("row").to_pylist()] == list(range(len(texts)))
+    ids = [i for b in out for i in b.column("ids").to_pylist()]
+    assert ids[-2:] == [None, []] and len(set(map(len, ids[:10]))) == 1
+
+
 def test_a_lookup_takes_little_more_than_its_keys_and_values(tmp_path):
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 1 << 64, 400_000, np.uint64))
