@@ -20,24 +20,35 @@ def join_trades(
     trades: DataFrame,
     days: int = fv.PRICE_WINDOW_DAYS,
     delay: str = "1 day",
-    salts: int = 4,
+    salts: int = 1,
 ) -> DataFrame:
     """``articles(id, ticker, published)`` with ``trades(ticker, traded, price)`` from
     publication to ``days`` days later, inclusive; inner.
 
     Both watermarks bound the state: a trade is kept until no article before it
-    can arrive, an article until its window has passed. A stream join cannot be
-    split at run time, so the articles of a ticker are spread over ``salts`` tasks
-    and its trades are copied to each.
+    can arrive, an article until its window has passed. Rows meet by ticker and
+    calendar page of ``days`` days: a trade stands in its own page, an article in the two
+    that its window touches, so every pair meets once, a row is compared with the
+    rows of a page and not of all time, and a hot ticker is spread over its pages. A
+    stream join cannot be split at run time: for tickers that are hot within a page, the
+    articles can be spread over ``salts`` tasks, and the trades are copied to each.
     """
-    spread = articles.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    copied = trades.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    page = lambda time: F.floor(F.unix_date(F.to_date(time)) / max(days, 1))
+    first = page(F.col("published"))
+    spread = articles.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).withColumn(
+        "page", F.explode(F.array(first, first + 1))
+    )
+    copied = trades.withColumn("page", page(F.col("traded"))).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
     a = spread.withWatermark("published", delay).alias("a")
     t = copied.withWatermark("traded", delay).alias("t")
     in_window = F.col("t.traded").between(
         F.col("a.published"), F.col("a.published") + F.expr(f"interval {days} days")
     )
-    same = (F.col("a.ticker") == F.col("t.ticker")) & (F.col("a.salt") == F.col("t.salt"))
+    same = F.lit(True)
+    for key in ("ticker", "page", "salt"):
+        same = same & (F.col(f"a.{key}") == F.col(f"t.{key}"))
     return a.join(t, same & in_window).select(
         "a.id", "a.ticker", "a.published", "t.traded", "t.price"
     )

@@ -237,6 +237,19 @@ def test_streamed_price_join_equals_batch_over_several_files(spark):
     assert sorted(map(tuple, got.collect())) == expected
 
 
+def test_streamed_trades_of_one_ticker_are_spread_over_its_pages(spark):
+    folder, start = shared_dir(spark, "test"), datetime(2024, 1, 1)
+    a = spark.createDataFrame([(i, "H", start + timedelta(days=i)) for i in range(60)], "id long, ticker string, published timestamp")
+    t = spark.createDataFrame([("H", start + timedelta(hours=12 * i), float(i)) for i in range(150)], "ticker string, traded timestamp, price double")
+    for df, name in ((a, "a"), (t, "t")):
+        df.write.parquet(f"{folder}/{name}")
+    streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{n}") for df, n in ((a, "a"), (t, "t"))]
+    joined = price_join.join_trades(*streams, days=2).withColumn("part", F.spark_partition_id())
+    got = price_join.run_to_table(joined, f"{folder}/out", f"{folder}/check")
+    assert got.select("part").distinct().count() > 4
+    assert got.count() == got.select("id", "traded").distinct().count() == 60 * 5
+
+
 def test_a_log_without_updates_leaves_the_base_as_it_is(spark):
     folder = shared_dir(spark, "test")
     schema = "id long, v string, seq long"
