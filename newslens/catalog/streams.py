@@ -124,7 +124,7 @@ def stream_timed_prices(spark, sf_dir):
     bars = fx.price_bars(spark, sf_dir).select("ticker", "date", "open", "high", "low", "close")
     articles.repartition(6, F.year("published")).write.parquet(f"{folder}/articles")
     bars.repartition(6, F.year("date")).write.parquet(f"{folder}/bars")
-    end = bars.agg(F.date_add(F.max("date"), 3650 + 90).alias("date")).select(
+    end = spark.read.parquet(f"{folder}/bars").agg(F.date_add(F.max("date"), 3650 + 90).alias("date")).select(
         F.lit(-1).cast("long").alias("ticker"), "date", *[F.lit(0.0).alias(c) for c in ("open", "high", "low", "close")]
     )
     end.write.mode("append").parquet(f"{folder}/bars")

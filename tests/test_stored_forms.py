@@ -4,6 +4,7 @@ import os
 import re
 from datetime import date, timedelta
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from newslens.operators import matching, merge
@@ -89,3 +90,43 @@ def test_article_windows_by_timers_equal_attach_prices(spark, tmp_path):
     for variable in ("waiting", "bars"):
         state = spark.read.format("statestore").option("path", f"{tmp_path}/c").option("stateVarName", variable).load()
         assert state.where("key.ticker >= 0").count() == 0
+
+
+def test_a_batch_of_articles_and_bars_takes_few_state_calls():
+    calls = []
+
+    class State(list):
+        def appendList(self, values):
+            calls.append("append")
+            self.extend(values)
+
+        def put(self, values):
+            self[:] = values
+
+        def get(self):
+            calls.append("get")
+            return iter(list(self))
+
+    class Handle:
+        def getListState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            calls.append(at)
+
+    class Now:
+        def __init__(self, at):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: at
+
+    first = date(2024, 1, 1)
+    arriving = [Row(id=i, published=first + timedelta(days=i % 50), **dict.fromkeys(price_timers.FIELDS)) for i in range(200)]
+    bars = [Row(id=None, published=None, date=first + timedelta(days=i), open=1.0 * i, high=2.0, low=0.5, close=1.0) for i in range(100)]
+    windows, key = price_timers.Windows(28), (1, 1520 // 26, 0)
+    windows.init(Handle())
+    list(windows.handleInputRows(key, iter([*arriving, *bars]), None))
+    assert len(calls) <= 4
+    soon = price_timers._millis(first + timedelta(days=29))
+    assert soon in calls
+    out = list(windows.handleExpiredTimer(key, Now(soon), Now(soon)))
+    assert sorted(r.id for r in out) == [0, 50, 100, 150] and all(len(r.prices) == 29 for r in out)
+    assert len(windows.waiting) == 196 and len(calls) <= 7
