@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer
 from pyspark.sql import functions as F
 
-from newslens.operators import matching
+from newslens.operators import matching, vectors
 from newslens.operators.vectors import VectorIndex
 
 NAMES = [
@@ -176,3 +176,43 @@ def test_probed_search_finds_nine_in_ten(spark):
         probed = {(r.id, r.neighbor) for r in models.knn_dense_probed(spark, sf_dir).collect()}
         print(sf_dir, len(exact & probed) / len(exact))
         assert len(exact & probed) >= 0.9 * len(exact)
+
+
+@pytest.fixture
+def sent(monkeypatch):
+    """Rows written as routes; vectors are dealt to several parts and segments."""
+    rows = []
+    keep = vectors.stored
+
+    def counted(df, purpose):
+        out = keep(df, purpose)
+        if purpose == "routes":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(vectors, "stored", counted)
+    monkeypatch.setattr(vectors, "_LEAST", 40)
+    monkeypatch.setattr(vectors, "_MOST", 90)
+    return rows
+
+
+def ragged_vectors(spark, n, seed):
+    """Ties, copies, parallel, zero and NULL vectors besides random ones."""
+    rows = np.concatenate([vector_rows(n, 5, seed), np.random.default_rng(seed).integers(-1, 2, (n, 5)).astype(float)])
+    rows[n : n + 5] = 3 * rows[:5]
+    data = [(f"k{i:04d}", r.tolist()) for i, r in enumerate(rows)]
+    used = [i for i, r in enumerate(rows) if r.any()]
+    return rows[used], [data[i][0] for i in used], spark.createDataFrame([*data, ("none", None)], "id string, vector array<double>")
+
+
+def test_exact_search_sends_a_query_once_not_once_per_cell(spark, sent):
+    rows, keys, df = ragged_vectors(spark, 220, 9)
+    got = {}
+    fitted = VectorIndex.fit(df, k=3, pivots=64)
+    for r in fitted.neighbours(df).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append((r.neighbor, r.distance))
+    assert sum(sent) <= len(rows)
+    for key, expected in zip(keys, brute_vectors(rows, rows, 3), strict=True):
+        assert [j for j, _ in got[key]] == [keys[j] for j, _ in expected]
+        assert np.allclose([d for _, d in got[key]], [d for _, d in expected], atol=1e-12)
+    assert len(got) == len(keys)
