@@ -216,3 +216,26 @@ def test_exact_search_sends_a_query_once_not_once_per_cell(spark, sent):
         assert [j for j, _ in got[key]] == [keys[j] for j, _ in expected]
         assert np.allclose([d for _, d in got[key]], [d for _, d in expected], atol=1e-12)
     assert len(got) == len(keys)
+
+
+def test_probed_search_sends_a_query_once_not_once_per_probe(spark, sent):
+    rows, keys, df = ragged_vectors(spark, 220, 11)
+    fitted = VectorIndex.fit(df, k=3, pivots=64)
+    probes = 20
+    got = {}
+    for r in fitted.neighbours(df, probes=probes).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append(r.neighbor)
+    assert sum(sent) <= len(rows)
+
+    cell_of = {k: r.cell for r in fitted.cells.select("cell", "unit").collect() for k in [tuple(np.round(r.unit, 9) + 0.0)]}
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    cells = np.array([cell_of[tuple(np.round(u, 9) + 0.0)] for u in unit])
+    angles = np.arccos(np.clip(unit @ fitted.pivots.T, -1, 1))
+    angles[:, fitted.radius < 0] = np.inf
+    for i, key in enumerate(keys):
+        near = np.sort(angles[i])
+        if near[probes] - near[probes - 1] < 1e-9:
+            continue  # which of two equally near cells is visited is open
+        allowed = np.flatnonzero(angles[i, cells] <= near[probes - 1] + 1e-12)
+        expected = brute_vectors(rows[allowed], rows[[i]], 3)[0]
+        assert got[key] == [keys[allowed[j]] for j, _ in expected]
