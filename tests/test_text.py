@@ -273,3 +273,14 @@ def test_summary_shuffles_the_text_once(spark):
         assert text.count("hashpartitioning") == text.count("REPARTITION_BY_COL")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_summary_sorts_no_words_and_equal_keys_share_their_counts(spark):
+    texts = [(1, "b c d. a a b! x y z? q"), (1, "b c d. e f g. a a a a"), (None, "a b c. d e f."), (2, None), (3, "..  !  "), (4, "ΣΟΦΟΣ. οφος Σ! a_b c-d")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    out = summarize_extractive(df, min_length=4, max_length=8)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    found = sorted((r.id is None, r.id or 0, r.summary) for r in out.collect())
+    assert found == [
+        (False, 1, "a a b. x y z"), (False, 1, "e f g. a a a a"), (False, 2, ""), (False, 3, ""), (False, 4, "a_b c-d"), (True, 0, ""),
+    ]
