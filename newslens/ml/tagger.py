@@ -98,22 +98,27 @@ def decode(emission: np.ndarray, transition: np.ndarray, bounds: np.ndarray) ->
     by = np.argsort(-length, kind="stable")
     starts, length = bounds[:-1][by], length[by]
     score = np.zeros((len(by), 3))
-    back, tags = np.zeros((len(emission), 3), np.int8), np.zeros(len(emission), np.int64)
+    back, found = np.zeros((len(emission), 3), np.int8), np.zeros(len(emission), np.int64)
     longest = int(length[0]) if len(length) else 0
     going = np.searchsorted(-length, -np.arange(longest), "left")  # sequences longer than so many words
-    for t in range(longest):
-        at = starts[: going[t]] + t
+    # Words that stand at the same place of their sequences lie side by side.
+    first = np.append(0, np.cumsum(going))
+    place = np.arange(first[-1]) - np.repeat(first[:-1], going)
+    words = starts[place] + np.repeat(np.arange(longest), going)
+    emission = emission[words]
+    for t, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
         if t == 0:
-            score[: going[t]] = emission[at] + allowed[START]
+            score[: b - a] = emission[a:b] + allowed[START]
             continue
-        ways = score[: going[t], :, None] + allowed[None, :START]
-        back[at] = ways.argmax(1)
-        score[: going[t]] = ways.max(1) + emission[at]
-    tag = score.argmax(1)
-    for t in range(longest - 1, -1, -1):
-        at = starts[: going[t]] + t
-        tags[at] = tag[: going[t]]
-        tag[: going[t]] = back[at, tag[: going[t]]]
+        ways = score[: b - a, :, None] + allowed[None, :START]
+        back[a:b] = ways.argmax(1)
+        score[: b - a] = ways.max(1) + emission[a:b]
+    tag, line = score.argmax(1), np.arange(len(by))
+    for a, b in zip(first[-2::-1].tolist(), first[:0:-1].tolist()):
+        found[a:b] = tag[: b - a]
+        tag[: b - a] = back[a:b][line[: b - a], tag[: b - a]]
+    tags = np.zeros(len(emission), np.int64)
+    tags[words] = found
     return tags
 
 

@@ -66,3 +66,20 @@ def test_odd_texts_and_nothing_to_learn(spark):
     df = spark.createDataFrame([(None, None), ("Abc Inc rose", None), ("", [])], none.schema)
     assert not tagger.train(df, "text", "spans", rounds=1, bits=8).any()
     assert df.select(F.size(tagger.organisations(df, weights, "text")).alias("n")).agg(F.sum("n")).first()[0] == 0
+
+
+def test_decoding_gathers_words_once_not_at_every_place():
+    class Counted(np.ndarray):
+        taken = 0
+
+        def __getitem__(self, at):
+            Counted.taken += isinstance(at, np.ndarray)
+            return super().__getitem__(at)
+
+    rng = np.random.default_rng(6)
+    bounds = np.array([0, 0, 40, 41, 41, 300])
+    emission, move = rng.normal(size=(300, 3)), rng.normal(size=(4, 3))
+    found = tagger.decode(emission.view(Counted), move, bounds)
+    assert Counted.taken == 1
+    alone = [tagger.decode(emission[a:b], move, np.array([0, b - a])) for a, b in zip(bounds[:-1], bounds[1:])]
+    assert found.tolist() == np.concatenate(alone).tolist()
