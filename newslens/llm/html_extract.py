@@ -1,20 +1,23 @@
-"""Main text of pages: structure first, then a suffix array per host for what structure doesn't settle.
+"""Main text of pages: structure first, and suffix arrays over the pages of a host for what structure doesn't settle.
 
-A page is read into blocks of text. Blocks inside ``article`` or ``main`` are its text, but for menus,
+A page is read into blocks of text. Blocks inside ``article`` or ``main`` may be its text, but for menus,
 headers, footers, asides, forms, scripts, notices, adverts and comments in there (by element, role or a
-word of class or id). All other text blocks, boilerplate and not, go to their host: the token streams of
-its pages are concatenated, a suffix array with common prefix lengths finds every run of ``least`` or
-more tokens that stands in two distinct pages, and what such runs cover is boilerplate. A page without
-an article keeps the runs that are its own: of every block that is not boilerplate by its structure,
-the tokens that no repeated run covers.
-
-Every host has such an array, whether its pages have articles or not: ``repeated`` is how many tokens outside of
-articles the runs cover. Runs inside of articles aren't looked for: there, prose repeats too.
-
-A host with more pages than ``group_pages`` is cut in groups of about that size by a hash of the page, so that
-a hot host fills no task. Hashes of all windows of ``least`` tokens of such a host are counted by Spark over the
-whole host; those on two distinct pages are sent to the groups they stand in and cover there, beside the
-arrays of the groups. So a run counts as repeated wherever on the host its two pages are.
+word of class or id). All blocks go to their host, whose pages have two suffix arrays:
+
+* Inside of articles. A run of ``least`` tokens that stands in more than half of the host's articles, ``few`` at least,
+  is a notice, menu or advert that no element tells. A block that such runs cover whole is dropped; parts of
+  blocks never are, as sentences of prose repeat, too. Copies aren't notices: an article half of which or more is
+  covered by what most articles of its array hold doesn't count for a run, and an article of nothing but notices stays whole.
+* Outside of articles, boilerplate and not. The common prefix lengths give every run of ``least`` or more tokens that
+  stands in two distinct pages, and what such runs cover is boilerplate: ``repeated`` is how many tokens that are.
+  A page without an article keeps the runs that are its own: of every block that is not boilerplate by its
+  structure, the tokens that no repeated run covers.
+
+A host with more pages than ``group_pages``, or more html than ``group_bytes``, is cut in groups of about that size by
+a hash of the page, so that a hot host fills no task. What the arrays of its groups find is settled over the whole host:
+outside of articles Spark counts hashes of all windows of ``least`` tokens, and those on two distinct pages are sent to the
+groups they stand in and cover there; inside, a run in more than half of the articles is so in one group at least,
+and the runs that are so in a group are counted in the arrays of all groups. Pages are shuffled once, for all steps.
 
 Defined results: null or empty html has empty text; cut-off markup ends where it ends; entities that
 are cut off stay as they are; a null address has the host ''; pages that share an id are distinct pages;
@@ -29,7 +32,6 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +42,9 @@ from newslens.llm.jaccard_join import _groups
 from newslens.settings import stored
 
 LEAST = 6
+FEW = 5
 GROUP_PAGES = 512
+GROUP_BYTES = 8 << 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|select)\b.*?(?:</\1\s*>|\Z)"
@@ -221,19 +225,100 @@ def repeated(tokens: np.ndarray, pages: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(covered)[:-1] > 0
 
 
-def _windows(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where in the tokens of ``texts`` (all in a row, one after each text) windows of ``least`` tokens begin, and their hashes."""
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of ``texts``, and the text of each."""
     data = np.frombuffer("\n".join([*texts, ""]).encode(), np.uint8)  # blocks have no white space but single spaces
     ends = np.flatnonzero((data == 0x20) | (data == 0x0A))
     starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-    hashes = textcore.span_hashes(data, starts, ends)
     last = np.flatnonzero(data[ends] == 0x0A)  # last token of each text
-    text = np.searchsorted(last, np.arange(len(ends)))
-    at = np.flatnonzero(np.arange(len(ends)) + least <= last[text] + 1) if len(ends) else ends
+    return textcore.span_hashes(data, starts, ends), np.searchsorted(last, np.arange(len(ends)))
+
+
+def _starts(text: np.ndarray, least: int) -> np.ndarray:
+    """Tokens at which windows of ``least`` tokens of one text begin."""
+    return np.flatnonzero(text[least - 1 :] == text[: max(len(text) - least + 1, 0)])
+
+
+def _window_hashes(hashes: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
     out = np.zeros(len(at), textcore.U64)
     for k in range(least):
         out = textcore.mix(out * textcore.U64(0x9E3779B97F4A7C15) + hashes[at + k])
-    return at + text[at], out
+    return out
+
+
+def _windows(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where in the tokens of ``texts`` (all in a row, one after each text) windows of ``least`` tokens begin, and their hashes."""
+    hashes, text = _tokens(texts)
+    at = _starts(text, least)
+    return at + text[at], _window_hashes(hashes, at, least)
+
+
+def _cover(size: int, at: np.ndarray, least: int) -> np.ndarray:
+    """Which of ``size`` places the windows that begin at ``at`` cover."""
+    steps = np.bincount(at, minlength=size + 1) - np.bincount(at + least, minlength=size + 1)
+    return np.cumsum(steps)[:size] > 0
+
+
+def _article_blocks(articles: list[str]) -> tuple[list[str], np.ndarray]:
+    """The blocks of all articles, and the article of each."""
+    split = [article.split("\n\n") for article in articles]
+    return [text for article in split for text in article], np.repeat(np.arange(len(split)), [len(article) for article in split])
+
+
+def standing(articles: list[str], least: int, few: int, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of windows of ``least`` tokens in a group's articles, and in how many articles each stands, copies left out:
+    of those that stand in more than half of the articles, or of those ``asked`` for.
+
+    A copy is an article half of whose tokens or more lie in windows that stand in more than half of the articles, ``few`` at least.
+    """
+    texts, of = _article_blocks(articles)
+    hashes, text = _tokens(texts)
+    number = np.unique(hashes, return_inverse=True)[1]
+    size = len(hashes) + len(texts)
+    at = np.arange(len(hashes)) + text
+    stream, owner, is_window = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, bool)
+    stream[at], owner[at] = number + 1, of[text]
+    stream[stream == 0] = len(hashes) + 1 + np.arange(len(texts))  # no run reaches over the end of a block
+    is_window[at[_starts(text, least)]] = True
+    # suffixes that share ``least`` tokens are a stretch of the array
+    order = suffix_array(stream)
+    order = order[is_window[order]]
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for k in range(least):
+        same &= stream[order[:-1] + k] == stream[order[1:] + k]
+    stretch = np.cumsum(np.concatenate([[0], ~same]))[: len(order)]
+    first = order[np.concatenate([[True], ~same])[: len(order)]]
+    many = 2 * np.bincount(stretch, minlength=len(first)) > len(articles)
+    if asked is None:
+        wanted = many
+    else:
+        wanted = np.isin(_window_hashes(hashes, np.searchsorted(at, first), least), asked)
+    some = (many | wanted)[stretch]
+    pairs = np.unique(stretch[some] * len(articles) + owner[order[some]])
+    run, page = pairs // len(articles), pairs % len(articles)
+    counts = np.bincount(run, minlength=len(first))
+    common = (2 * counts > len(articles)) & (counts >= few)
+    if common.any():
+        covered = _cover(size, order[common[stretch]], least)
+        copy = 2 * np.bincount(owner[covered], minlength=len(articles)) >= np.bincount(of[text], minlength=len(articles))
+        counts = np.bincount(run[~copy[page]], minlength=len(first))
+    keep = wanted & (2 * counts > len(articles)) if asked is None else wanted
+    place = np.searchsorted(at, first[keep])
+    return _window_hashes(hashes, place, least), counts[keep]
+
+
+def _without_notices(articles: list[str], notices: np.ndarray, least: int) -> list[str]:
+    """The articles without blocks all of whose tokens lie in windows of ``notices``; whole where these are all of an article."""
+    texts, of = _article_blocks(articles)
+    hashes, text = _tokens(texts)
+    at = _starts(text, least)
+    covered = _cover(len(hashes), at[np.isin(_window_hashes(hashes, at, least), notices)], least)
+    whole = np.bincount(of[text], covered, minlength=len(articles)) == np.bincount(of[text], minlength=len(articles))
+    gone = np.bincount(text, covered, minlength=len(texts)) == np.bincount(text, minlength=len(texts))
+    kept: list[list[str]] = [[] for _ in articles]
+    for k in np.flatnonzero(~gone | whole[of]).tolist():
+        kept[of[k]].append(texts[k])
+    return ["\n\n".join(page) for page in kept]
 
 
 def _host_texts(pages: list[list[tuple[int, str]]], seeds: np.ndarray, least: int) -> tuple[list[str], list[int]]:
@@ -278,10 +363,11 @@ _DEALT = ["host_key", "group"]
 
 
 def _read(rows: DataFrame) -> DataFrame:
-    """row, the text of the article (null for a page without one) and the blocks outside of it."""
+    """row, the blocks inside of the article (joined; null for a page without one) and those outside of it."""
     block = T.ArrayType(T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("text", T.StringType())]))
     block_type = pa.list_(pa.struct([("kind", pa.int32()), ("text", pa.string())]))
-    schema = T.StructType([*[rows.schema[c] for c in ("row", *_DEALT)], T.StructField("text", T.StringType()), T.StructField("blocks", block)])
+    kept = ["row", *_DEALT, "groups"]
+    schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField("text", T.StringType()), T.StructField("blocks", block)])
     names = schema.names
 
     def cut(batches):
@@ -291,33 +377,88 @@ def _read(rows: DataFrame) -> DataFrame:
                 found = [blocks(page or "") for page in part.column("text").to_pylist()]
                 texts = ["\n\n".join(t for k, t in page if k == BODY) if any(k == BODY for k, _ in page) else None for page in found]
                 rest = [[{"kind": k, "text": t} for k, t in page if k != BODY] for page in found]
-                columns = [part.column(c) for c in ("row", *_DEALT)]
+                columns = [part.column(c) for c in kept]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string()), pa.array(rest, block_type)], names=names)
 
     return rows.mapInArrow(cut, schema)
 
 
-def _host_windows(rows: DataFrame, least: int) -> DataFrame:
-    """host_key, group and window: hashes of windows that stand on two distinct pages of a host, once per group of theirs."""
+def _host_windows(dealt: DataFrame, least: int) -> DataFrame:
+    """host_key, group and window: hashes of windows outside of articles that stand on two distinct pages of a host
+    of several groups, once per group of theirs."""
 
     def cut(batches):
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                pages = [[t for k, t in blocks(page or "") if k != BODY] for page in part.column("text").to_pylist()]
-                found = [np.unique(_windows(page, least)[1]) for page in pages]
-                of = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                columns = [part.column(c).take(pa.array(of)) for c in (*_DEALT, "page")]
-                window = pa.array(np.concatenate(found).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*columns, window], names=[*_DEALT, "page", "window"])
-
-    windows = rows.withColumn("page", F.monotonically_increasing_id()).select("text", *_DEALT, "page")
+        for table in _groups(batches, _DEALT):
+            if table.column("groups")[0].as_py() > 1:
+                key, group = (table.column(c)[0].as_py() for c in _DEALT)
+                found = [np.unique(_windows([b["text"] for b in page], least)[1]) for page in table.column("blocks").to_pylist()]
+                page = np.repeat((group << 32) + np.arange(len(found)), [len(f) for f in found])
+                window = np.concatenate(found)
+                order = np.lexsort((page, window))
+                window, page = window[order].view(np.int64), page[order]
+                new = np.concatenate([[True], window[1:] != window[:-1]])[: len(window)]
+                low, high = page[new], page[np.concatenate([new[1:], [True]])[: len(window)]]
+                columns = [pa.repeat(pa.scalar(key, pa.int64()), len(low)), pa.repeat(pa.scalar(group, pa.int32()), len(low))]
+                columns += [pa.array(window[new]), pa.array(low), pa.array(high)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*_DEALT, "window", "low", "high"])
+
+    counted = (
+        dealt.mapInArrow(cut, "host_key long, group int, window long, low long, high long")
+        .groupBy("host_key", "window")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("group").alias("in"))
+    )
+    return counted.where(F.col("low") < F.col("high")).select("host_key", F.explode("in").alias("group"), "window")
+
+
+def _notices(dealt: DataFrame, least: int, few: int) -> DataFrame:
+    """host_key, group and window: hashes of windows that stand in more than half of a host's articles, once per group of the host.
+
+    What does so on the host does so in one of its groups at least: the arrays of the groups give candidates, those of
+    the hosts that have any count them.
+    """
+
+    def look(batches):
+        for table in _groups(batches, _DEALT):
+            articles = table.column("text").drop_null().to_pylist()
+            windows, counts = standing(articles, least, few)
+            key, groups = (table.column(c)[0].as_py() for c in ("host_key", "groups"))
+            if groups == 1:
+                windows = windows[counts >= few]
+            if articles and (groups > 1 or len(windows)):
+                columns = [pa.array([key]), pa.array([groups], pa.int32()), pa.array([len(articles)])]
+                columns.append(pa.array([windows.view(np.int64)], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names=["host_key", "groups", "articles", "windows"])
+
+    def count(batches):
+        for table in _groups(batches, _DEALT):
+            asked = np.array(table.column("windows")[0].as_py(), np.int64).view(textcore.U64)
+            windows, counts = standing(table.column("text").drop_null().to_pylist(), least, few, asked)
+            key, groups, articles = (table.column(c)[0].as_py() for c in ("host_key", "groups", "articles"))
+            size = len(windows)
+            columns = [pa.repeat(pa.scalar(key, pa.int64()), size), pa.repeat(pa.scalar(groups, pa.int32()), size)]
+            columns += [pa.repeat(pa.scalar(articles, pa.int64()), size), pa.array(windows.view(np.int64)), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["host_key", "groups", "articles", "window", "n"])
+
+    every_group = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group")
+    hosts = (
+        dealt.mapInArrow(look, "host_key long, groups int, articles long, windows array<long>")
+        .groupBy("host_key")
+        .agg(
+            F.max("groups").alias("groups"),
+            F.sum("articles").alias("articles"),
+            F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"),
+        )
+        .where(F.size("windows") > 0)
+        .select("host_key", every_group, "articles", "windows")
+    )
     counted = (
-        windows.mapInArrow(cut, "host_key long, group int, page long, window long")
+        dealt.join(hosts, _DEALT)
+        .sortWithinPartitions(*_DEALT)
+        .mapInArrow(count, "host_key long, groups int, articles long, window long, n long")
         .groupBy("host_key", "window")
-        .agg(F.min("page").alias("low"), F.max("page").alias("high"), F.collect_set("group").alias("groups"))
+        .agg(F.max("groups").alias("groups"), F.max("articles").alias("articles"), F.sum("n").alias("n"))
     )
-    return counted.where(F.col("low") < F.col("high")).select("host_key", F.explode("groups").alias("group"), "window")
+    return counted.where((2 * F.col("n") > F.col("articles")) & (F.col("n") >= few)).select("host_key", every_group, "window")
 
 
 def extract(
@@ -327,7 +468,9 @@ def extract(
     html: str = "html",
     keep: list[str] | None = None,
     least: int = LEAST,
+    few: int = FEW,
     group_pages: int = GROUP_PAGES,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """The ``keep`` columns (default: all but the html) with ``text`` and ``repeated``, the number of tokens
     outside of articles that repeated runs of the host cover."""
@@ -335,30 +478,30 @@ def extract(
     host = F.regexp_extract(F.lower(F.coalesce(F.col(frames.quoted(url)).cast("string"), F.lit(""))), r"^[a-z]+://([^/?#:]*)", 1)
     own = [F.col(frames.quoted(c)) for c in keep] or [F.lit(None).cast("int").alias("none")]
     rows = pages.select(F.struct(*own).alias("row"), F.col(frames.quoted(html)).cast("string").alias("text"), host.alias("host"))
-    counts = rows.groupBy("host").agg(F.ceil(F.count("*") / group_pages).cast("int").alias("groups"))
-    large = stored(counts.where(F.col("groups") > 1), "hosts")  # hosts of one group need no join
-    group = F.pmod(F.xxhash64("row", "text"), F.coalesce("groups", F.lit(1))).cast("int")
-
-    def placed(how: str) -> DataFrame:
-        return rows.join(large, "host", how).select("row", "text", F.xxhash64("host").alias("host_key"), group.alias("group"))
-
-    read, seeds = _read(placed("left")), _host_windows(placed("inner"), least)
-    dealt = read.unionByName(seeds, allowMissingColumns=True).repartition(*_DEALT).sortWithinPartitions(*_DEALT)
+    share = F.greatest(F.count("*") / group_pages, F.sum(F.octet_length("text")) / group_bytes)
+    large = stored(rows.groupBy("host").agg(F.ceil(share).cast("int").alias("groups")).where("groups > 1"), "hosts")
+    rows = rows.join(large, "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))  # hosts of one group aren't in there
+    # never null, else the join below would filter nulls out in a shuffle of its own
+    group = F.coalesce(F.pmod(F.xxhash64("row", "text"), "groups").cast("int"), F.lit(0))
+    read = _read(rows.select("row", "text", F.xxhash64("host").alias("host_key"), group.alias("group"), "groups"))
+    dealt = read.repartition(*_DEALT)  # every step below reads this one shuffle
+    in_order = dealt.sortWithinPartitions(*_DEALT)
+    outside = _host_windows(in_order, least).withColumn("inside", F.lit(False))
+    found = outside.unionByName(_notices(in_order, least, few).withColumn("inside", F.lit(True)))
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL("text string, repeated long").fields])
 
-    def work(batches):
-        for table in _groups(batches, _DEALT):
-            is_page = table.column("blocks").is_valid()
-            window = table.column("window").drop_null().to_numpy().view(textcore.U64)
-            table = table.filter(is_page)
-            if table.num_rows:
-                found = [[(b["kind"], b["text"]) for b in page] for page in table.column("blocks").to_pylist()]
-                texts, covered = _host_texts(found, window, least)
-                own = pc.coalesce(table.column("text").combine_chunks().cast(pa.string()), pa.array(texts, pa.string()))
-                columns = [table.column("row").combine_chunks(), own, pa.array(covered, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    done = dealt.mapInArrow(work, schema)
+    def work(table: pa.Table, windows: pa.Table) -> pa.Table:
+        hashes, inside = windows.column("window").to_numpy().view(textcore.U64), windows.column("inside").to_numpy()
+        pieces = [[(b["kind"], b["text"]) for b in page] for page in table.column("blocks").to_pylist()]
+        texts, covered = _host_texts(pieces, hashes[~inside], least)
+        articles = table.column("text").to_pylist()
+        whole = [k for k, article in enumerate(articles) if article is not None]
+        for k, text in zip(whole, _without_notices([articles[k] for k in whole], hashes[inside], least), strict=True):
+            texts[k] = text
+        row = table.column("row").combine_chunks()
+        return pa.table([row, pa.array(texts, pa.string()), pa.array(covered, pa.int64())], names=schema.names)
+
+    done = dealt.groupBy(*_DEALT).cogroup(found.groupBy(*_DEALT)).applyInArrow(work, schema)
     return frames.unpack(done, html, keep, text=F.col("text"), repeated=F.col("repeated"))
 
 

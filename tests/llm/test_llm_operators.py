@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -231,6 +232,58 @@ def test_groups_of_a_host_change_nothing(spark):
         assert {r.page_id: (r.text, r.repeated) for r in html_extract.extract(pages, group_pages=size).collect()} == want
 
 
+def _naive_article(rows, least, few):
+    """Text of the articles of (id, host, html): blocks that lie in windows of most of a host's articles are dropped, copies left out."""
+    cut = {i: [t.split(" ") for k, t in html_extract.blocks(page) if k == html_extract.BODY] for i, _, page in rows}
+    out = {}
+    for host in {h for _, h, _ in rows}:
+        pages = [i for i, h, _ in rows if h == host and cut[i]]
+
+        def share(i, chosen):
+            gone = [[any(tuple(b[j : j + least]) in chosen for j in range(max(k - least + 1, 0), k + 1) if j + least <= len(b)) for k in range(len(b))] for b in cut[i]]
+            return gone, sum(map(sum, gone)) / sum(map(len, gone))
+
+        def common(voters):
+            counts = Counter(w for i in voters for w in {tuple(b[j : j + least]) for b in cut[i] for j in range(len(b) - least + 1)})
+            return {w for w, n in counts.items() if n >= few and 2 * n > len(pages)}
+
+        often = common(pages)
+        notices = common([i for i in pages if share(i, often)[1] < 0.5])
+        for i in pages:
+            gone, whole = share(i, notices)
+            out[i] = "\n\n".join(" ".join(b) for b, g in zip(cut[i], gone, strict=True) if whole == 1 or not all(g))
+    return out
+
+
+def test_notices_inside_of_articles_are_dropped_by_the_arrays(spark):
+    r = random.Random(3)
+    notice, quote = "Sign up for our letter and read more each week", "A sentence that some of the articles say"
+    rows = []
+    for i in range(90):
+        words = lambda n: " ".join(str(r.randrange(10**6)) for _ in range(n))
+        blocks = [words(20), notice if i % 3 else "", quote if i % 3 == 0 else "", words(9) + " " + notice, "Read this"]
+        rows.append((i, "big" if i < 60 else "small", "<nav>x</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"))
+    rows += [(90, "big", f"<article><p>Short.</p><p>{notice}</p></article>"), (91, "big", f"<article><p>{notice}</p></article>")]
+    rows += [(100 + i, "few", f"<article><p>{'own words of this page ' * 5}{i}</p><p>{notice}</p></article>") for i in range(4)]
+    copy = "<p>" + "</p><p>".join(words(12) for _ in range(5)) + "</p>"
+    rows += [(200 + i, "copies", f"<article>{copy}<p>{i}</p></article>") for i in range(12)]
+    quoted = copy.split("</p>")[0]
+    rows += [(220 + i, "copies", f"<article><p>{words(30)}</p>{quoted}</p></article>") for i in range(3)]
+    rows += [(230 + i, "short", f"<article><p>{notice}</p><p>{i}</p></article>") for i in range(9)]
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, h, p in rows], "page_id long, url string, html string")
+    want = _naive_article(rows, 6, 5)
+    assert all(notice not in want[i].split("\n\n") and notice in want[i] for i in range(90))
+    assert want[90] == "Short." and want[91] == notice
+    assert quote in want[0] and want[200].count("\n\n") == 5 and quoted[3:] in want[220] and notice in want[100] + want[230]
+    for size in (1000, 25, 7):
+        got = {r.page_id: r.text for r in html_extract.extract(pages, group_pages=size).collect()}
+        assert {i: t for i, t in got.items() if not 200 <= i < 230} == {i: t for i, t in want.items() if not 200 <= i < 230}
+        assert size < 1000 or got == want
+    assert {r.page_id: r.text for r in html_extract.extract(pages, group_bytes=3000).collect() if r.page_id < 92} == {i: want[i] for i in range(92)}
+    twice = {(r.page_id, r.text) for r in html_extract.extract(pages.union(pages)).collect() if r.page_id < 100}
+    assert twice == {(i, want[i]) for i in range(92)}
+
+
 # --- 5 and 10 ------------------------------------------------------------------
 
 
