@@ -83,3 +83,49 @@ def test_decoding_gathers_words_once_not_at_every_place():
     assert Counted.taken == 1
     alone = [tagger.decode(emission[a:b], move, np.array([0, b - a])) for a, b in zip(bounds[:-1], bounds[1:])]
     assert found.tolist() == np.concatenate(alone).tolist()
+
+
+def _one_by_one(weights, parts, gold, bounds, bits):
+    """An epoch that decodes every group of sequences on its own; the number of groups."""
+    rows, groups = tagger.features(parts, bounds, bits), range(0, len(bounds) - 1, tagger.SEQUENCES)
+    for k in groups:
+        own = bounds[k : k + tagger.SEQUENCES + 1]
+        some, want, cut = rows[own[0] : own[-1]], gold[own[0] : own[-1]], own - own[0]
+        got = tagger.decode(weights[some].sum(1), weights[-4:], cut)
+        if (got != want).any():
+            for tags, step in ((want, 1.0), (got, -1.0)):
+                np.add.at(weights, (some, tags[:, None]), step)
+                np.add.at(weights, (len(weights) - 4 + tagger._before(tags, cut), tags), step)
+    return len(groups)
+
+
+def test_groups_that_are_right_are_decoded_together(monkeypatch):
+    rng = random.Random(7)
+    names = _names(rng, 40)
+    texts = [*_sentences(rng, names, 600), None, "", "a " * 700, "Ünïcode 漢字 🙂 Inc."]
+    spans = [[{"start": t.find(n), "end": t.find(n) + len(n) - 1} for n in names if n in t] if t else [] for t in texts]
+    monkeypatch.setattr(tagger, "SLICE_BYTES", 30_000)
+    table = pa.table({"text": texts, "spans": spans})
+    (batch,) = table.to_batches()
+    weights = np.zeros((2**12 + 4, 3))
+    expected, calls, decode = weights.copy(), [], tagger.decode
+    _, _, _, parts, gold, bounds = tagger.read(texts, spans)
+    for _ in range(4):
+        groups = _one_by_one(expected, parts, gold, bounds, 12)
+        calls.clear()
+        with monkeypatch.context() as counted:
+            counted.setattr(tagger, "decode", lambda *a: calls.append(1) or decode(*a))
+            for some in tagger._taught(batch):
+                tagger.epoch(weights, *some, 12)
+        assert np.array_equal(weights, expected)
+        weights, expected = weights / 3, expected / 3
+    assert len(calls) < groups / 2
+
+
+def test_words_are_those_of_the_pattern():
+    texts = ["One_2 ²½ x​z İΣ!? a.b ς", None, "", "\n", "漢字🙂🙂 é"]
+    row, begin, end, _, _, bounds = tagger.read(texts)
+    found = [(i, m.start(), m.end() - 1, m.group()) for i, t in enumerate(texts) for m in tagger._TOKEN.finditer(t or "")]
+    assert list(zip(row, begin, end)) == [f[:3] for f in found]
+    ends = [k + 1 for k, f in enumerate(found) if f[3] in ".!?" or k + 1 == len(found) or found[k + 1][0] != f[0]]
+    assert bounds.tolist() == [0, *ends]
