@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from newslens.settings import stored
 PIVOTS = 64
 BLOCK = 8192
 QUERY_BLOCK = 2048
+SEGMENTS = 64  # at least, if there are as many blocks
+SEGMENT_ROWS = 65_536
 
 
 def quantised(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
@@ -62,25 +65,46 @@ def _cells(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
 
 
 def _blocks(data: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """The k best of every query in every block it asks for.
+    """The k best of every query in the blocks it asks for, for each segment.
 
-    ``data`` has dims, cell, sub; ``asked`` has the queries with dims, cell, sub, part and floor.
+    ``data`` has dims, segment, block; ``asked`` the queries with dims, segment, part, floor and the ``blocks`` of this
+    segment. A task gets the blocks of a segment, once, and then the queries, a part at a time.
     """
-    where = ["dims", "cell", "sub"]
-    wanted = asked.select(*where, "part").distinct()
-    copies = data.join(wanted, where).select(*where, "part", "id", "v", F.lit(False).alias("asks"), F.lit(0.0).alias("floor"))
-    both = copies.unionByName(asked.select(*where, "part", "id", "v", F.lit(True).alias("asks"), "floor"))
-    keys = [*where, "part"]
-    dealt = both.repartition(*keys).sortWithinPartitions(*keys)
+    wanted = asked.select("dims", F.explode("blocks").alias("block")).distinct()
+    nothing = [F.lit(0).alias("part"), F.lit(0.0).alias("floor"), F.array().cast("array<int>").alias("blocks")]
+    columns = ["dims", "segment", "asks", "part", "block", "blocks", "id", "v", "floor"]
+    points = data.join(wanted, ["dims", "block"], "left_semi").select("*", F.lit(0).alias("asks"), *nothing)
+    queries = asked.withColumns({"asks": F.lit(1), "block": F.lit(0)})
+    keys = ["dims", "segment"]
+    both = points.select(columns).unionByName(queries.select(columns))
+    dealt = both.repartition(*keys).sortWithinPartitions(*columns[:5])
 
     def work(batches):
-        for table in _groups(batches, keys):
-            asks = table.column("asks").to_numpy(zero_copy_only=False)
+        at, trees = None, {}
+        for table in _groups(batches, columns[:5]):
+            where = tuple(table.column(c)[0].as_py() for c in keys)
+            if at != where:
+                at, trees = where, {}
             v, ids = _matrix(table.column("v")), table.column("id").to_numpy()
-            floor = table.column("floor").to_numpy()[asks]
-            best, _ = cover_tree.search(v[asks], ids[asks], v[~asks], ids[~asks], k, floor)
+            if not table.column("asks")[0].as_py():
+                trees[table.column("block")[0].as_py()] = cover_tree.Tree(v), ids
+                continue
+            blocks = table.column("blocks").combine_chunks()
+            row = np.repeat(np.arange(len(ids)), pc.list_value_length(blocks).to_numpy())
+            block, floor = blocks.flatten().to_numpy(), table.column("floor").to_numpy()
+            best, whole = cover_tree.Best(len(ids), k, floor), None
+            for name, (tree, of) in trees.items():
+                some = row[block == name]
+                if len(some) == len(ids):
+                    whole = whole or cover_tree.Tree(v)
+                    cover_tree.search(whole, ids, tree, of, k, floor, best)
+                elif len(some):
+                    own = cover_tree.Best(len(some), k, floor[some])
+                    own.score, own.id = best.score[some], best.id[some]
+                    cover_tree.search(v[some], ids[some], tree, of, k, own.floor, own)
+                    best.score[some], best.id[some] = own.score, own.id
             found = np.isfinite(best.score)
-            names = np.broadcast_to(ids[asks][:, None], found.shape)[found]
+            names = np.broadcast_to(ids[:, None], found.shape)[found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array(best.id[found]), pa.array(best.score[found].astype(np.int64))],
                 names=["query_id", "vec_id", "score"],
@@ -107,7 +131,7 @@ def search(
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` best of every query. ``is_query`` speaks of column ``id``."""
-    rows = quantised(vectors, vec_id, embedding, scale).withColumn("dims", F.size("v"))
+    rows = stored(quantised(vectors, vec_id, embedding, scale).withColumn("dims", F.size("v")), "vectors")
     spark = vectors.sparkSession
     order = Window.partitionBy("dims").orderBy(F.xxhash64("v"), "id")
     picked = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= pivots)
@@ -120,17 +144,25 @@ def search(
     celled = stored(_cells(rows, centers), "cells")
     balls = celled.groupBy("dims", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()
     ball = {n: [] for n in centers}  # at most ``pivots`` per length
-    for r in sorted(balls, key=lambda r: r.cell):
-        ball[r.dims].append((r.cell, r.radius, -(-r.n // block)))
-    subs = F.create_map(*[F.lit(x) for n, cells in ball.items() for cell, _, s in cells for x in (f"{n}:{cell}", s)])
+    total = 0
+    for r in sorted(balls, key=lambda r: (r.dims, r.cell)):  # with the numbers of its first block and of blocks
+        ball[r.dims].append((r.cell, r.radius, total, -(-r.n // block)))
+        total += ball[r.dims][-1][-1]
+    segments = min(total, max(SEGMENTS, -(-sum(r.n for r in balls) // SEGMENT_ROWS)))
     key = F.concat_ws(":", F.col("dims").cast("string"), F.col("cell").cast("string"))
-    sub = F.pmod(F.xxhash64("id", "v"), F.element_at(subs, key)).cast("int")
-    data = celled.withColumn("sub", sub).drop("far")
+
+    def of_cell(k: int) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for n, cells in ball.items() for c in cells for x in (f"{n}:{c[0]}", c[k])]), key)
+
+    number = of_cell(2) + F.pmod(F.xxhash64("id", "v"), of_cell(3)).cast("int")
+    data = celled.withColumn("block", number).withColumn("segment", F.col("block") % segments).drop("far")
     queries = celled.where(is_query)
     parts = max(1, -(-queries.count() // query_block))
     queries = queries.withColumn("part", F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.element_at(subs, key) - 1))
-    home = queries.withColumn("sub", every).withColumn("floor", F.lit(float("-inf")))
+    own = F.sequence(of_cell(2), of_cell(2) + of_cell(3) - 1)
+    home = queries.withColumn("all", own).withColumn("segment", F.explode(F.array_distinct(F.transform("all", lambda n: n % segments))))
+    home = home.withColumn("blocks", F.filter("all", lambda n: n % segments == F.col("segment")))
+    home = home.withColumn("floor", F.lit(float("-inf")))
     first = stored(_blocks(data, home, k), "home")
     floors = (
         _best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
@@ -145,19 +177,27 @@ def search(
                 part = table.filter(pa.array(dims == n))
                 v, floor = _matrix(part.column("v")), part.column("floor").to_numpy()
                 own, norm = part.column("cell").to_numpy(), np.sqrt((v**2).sum(1))
-                for cell, radius, count in ball[n]:
-                    c = centers[n][cell]
-                    limit = v @ c + norm * radius
-                    slack = 1e-9 * (1 + norm * np.sqrt((c**2).sum()))
-                    some = (limit + slack >= floor) & (own != cell)
-                    if some.any():
-                        out = part.filter(pa.array(some)).drop_columns(["cell"])
-                        for s in range(count):
-                            both = out.append_column("cell", pa.array(np.full(out.num_rows, cell, np.int32)))
-                            yield from both.append_column("sub", pa.array(np.full(out.num_rows, s, np.int32))).to_batches()
+                cell, radius, first, count = (np.array(x) for x in zip(*ball[n], strict=True))
+                c = centers[n][cell]
+                limit = v @ c.T + norm[:, None] * radius
+                slack = 1e-9 * (1 + norm[:, None] * np.sqrt((c**2).sum(1)))
+                some = (limit + slack >= floor[:, None]) & (own[:, None] != cell)
+                numbers = np.concatenate([np.arange(a, a + b) for a, b in zip(first, count)])
+                of = np.repeat(np.arange(len(cell)), count)
+                for segment in np.unique(numbers % segments).tolist():
+                    here = np.flatnonzero(numbers % segments == segment)
+                    wanted = some[:, of[here]]
+                    sent = wanted.any(1)
+                    if sent.any():
+                        lists = np.append(0, np.cumsum(wanted[sent].sum(1)))
+                        values = np.broadcast_to(numbers[here], wanted[sent].shape)[wanted[sent]]
+                        blocks = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(values, pa.int32()))
+                        out = part.filter(pa.array(sent)).drop_columns(["cell"])
+                        out = out.append_column("segment", pa.array(np.full(out.num_rows, segment, np.int32)))
+                        yield from out.append_column("blocks", blocks).to_batches()
 
     routed = with_floor.select("id", "v", "dims", "cell", "part", "floor").mapInArrow(
-        route, "id long, v array<double>, dims int, part int, floor double, cell int, sub int"
+        route, "id long, v array<double>, dims int, part int, floor double, segment int, blocks array<int>"
     )
     second = _blocks(data, stored(routed, "routes"), k)
     return _best(first.unionByName(second), k).select("query_id", "rank", "vec_id", "score")

@@ -75,6 +75,47 @@ def test_topk_odd_vectors(spark):
     assert topk.search(vectors.limit(0), F.col("id") == 0).count() == 0
 
 
+def test_search_goes_on_over_blocks_and_floats_of_any_size():
+    r = np.random.default_rng(4)
+    for size in (40, 1 << 20):  # products of the larger are no exact 32-bit floats
+        points = np.floor(r.normal(0, size, (900, 8)))
+        ids, queries = np.arange(900), points[:50]
+        best = None
+        for a, b in ((0, 300), (300, 310), (310, 900)):
+            best, _ = cover_tree.search(queries, ids[:50], points[a:b], ids[a:b], 4, np.full(50, -np.inf), best)
+        scores = queries @ points.T
+        scores[ids[:50], ids[:50]] = -np.inf
+        order = np.argsort(-scores, 1, kind="stable")[:, :4]
+        assert np.array_equal(best.id, order) and np.array_equal(best.score, np.take_along_axis(scores, order, 1))
+
+
+def test_topk_sends_data_once_whatever_the_queries(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    rows = [(i, x.tolist()) for i, x in enumerate(r.normal(0, 1, (300, 5)))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    seen, groups = spark.sparkContext.accumulator(0), topk._groups
+    found = []
+    for query_block in (1000, 10):
+        before = seen.value
+        with monkeypatch.context() as counted:
+
+            def count(batches, names):
+                for table in groups(batches, names):
+                    seen.add(sum(not x for x in table.column("asks").to_pylist()))
+                    yield table
+
+            counted.setattr(topk, "_groups", count)
+            got = topk.search(vectors, F.col("id") % 3 == 0, k=3, block=20, pivots=6, query_block=query_block)
+            found.append(sorted(map(tuple, got.collect())))
+        assert seen.value - before <= 600  # once in the first pass and once in the second
+    q = np.floor(256 * np.array([v for _, v in rows]))
+    scores = q[::3] @ q.T
+    scores[np.arange(100), np.arange(0, 300, 3)] = -np.inf
+    order = np.argsort(-scores, 1, kind="stable")[:, :3]
+    expected = [(3 * i, k + 1, int(order[i, k]), int(scores[i, order[i, k]])) for i in range(100) for k in range(3)]
+    assert found == [expected, expected]
+
+
 # --- 2 -------------------------------------------------------------------------
 
 
