@@ -122,14 +122,15 @@ def stream_timed_prices(spark, sf_dir):
     folder = shared_dir(spark, "timed")
     articles = fx.priced_articles(spark, sf_dir).withColumnRenamed("date_published", "published")
     bars = fx.price_bars(spark, sf_dir).select("ticker", "date", "open", "high", "low", "close")
-    articles.repartition(6, F.year("published")).write.parquet(f"{folder}/articles")
-    bars.repartition(6, F.year("date")).write.parquet(f"{folder}/bars")
+    articles.repartition(F.year("published"), F.month("published")).write.parquet(f"{folder}/articles")
+    bars.repartition(F.year("date"), F.month("date")).write.parquet(f"{folder}/bars")
     end = spark.read.parquet(f"{folder}/bars").agg(F.date_add(F.max("date"), 3650 + 90).alias("date")).select(
         F.lit(-1).cast("long").alias("ticker"), "date", *[F.lit(0.0).alias(c) for c in ("open", "high", "low", "close")]
     )
     end.write.mode("append").parquet(f"{folder}/bars")
+    files = {name: len(spark.read.parquet(f"{folder}/{name}").inputFiles()) for name in ("articles", "bars")}
     landed = [
-        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/{name}")
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", max(3, -(-files[name] // 3))).parquet(f"{folder}/{name}")
         for name, df in (("articles", articles), ("bars", bars))
     ]
     # Files come in any order, so the watermark must wait for all of them: ten years.

@@ -130,3 +130,46 @@ def test_a_batch_of_articles_and_bars_takes_few_state_calls():
     out = list(windows.handleExpiredTimer(key, Now(soon), Now(soon)))
     assert sorted(r.id for r in out) == [0, 50, 100, 150] and all(len(r.prices) == 29 for r in out)
     assert len(windows.waiting) == 196 and len(calls) <= 7
+
+
+def test_articles_and_bars_of_many_tickers_travel_and_wait_as_one(spark, tmp_path):
+    first = date(2024, 1, 1)
+    day = lambda n: first + timedelta(days=n)
+    tickers = [-700, -1, *range(200), 511, 512, None]
+    articles = [(i, t, day(i % 4)) for i, t in enumerate(tickers)] + [(900, 5, None), (901, None, None)]
+    bars = [(t, day(d), None if d % 2 else float(i), 2.0, None, 1.0 * d) for i, t in enumerate(tickers) for d in (0, 3, 28, 31, 60) if i != 9]
+    bars += [(7, None, 1.0, 1.0, 1.0, 1.0)]
+    a = spark.createDataFrame(articles, "id long, ticker long, published date")
+    b = spark.createDataFrame(bars, "ticker long, date date, open double, high double, low double, close double")
+    for x, name in ((a, "a"), (b, "b")):
+        x.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    streams = [spark.readStream.schema(x.schema).parquet(f"{tmp_path}/{n}") for x, n in ((a, "a"), (b, "b"))]
+    priced = price_timers.attach_by_timers(*streams, salts=1)
+    got = {r.id: r for r in price_timers.run_with_timers(priced, f"{tmp_path}/out", f"{tmp_path}/c").collect()}
+    for variable, most in (("waiting", 0), ("bars", 5)):  # ranges of tickers, not tickers
+        state = spark.read.format("statestore").option("path", f"{tmp_path}/c").option("stateVarName", variable).load()
+        assert state.count() <= most
+    assert len(got) == len(articles)
+    for id_, ticker, published in articles:
+        own = [tuple(x[1:]) for x in bars if x[0] == ticker and x[1] and published and published <= x[1] <= published + timedelta(days=28)]
+        assert got[id_].ticker == ticker and got[id_].published == published
+        assert [tuple(p) for p in got[id_].prices or ()] == sorted(own, key=lambda x: x[0]) and got[id_].prices != []
+
+
+def test_rows_later_than_the_watermark_are_dropped_one_by_one(spark, tmp_path):
+    first = date(2024, 1, 1)
+    day = lambda n: first + timedelta(days=n)
+    schemas = "id long, ticker long, published date", "ticker long, date date, open double, high double, low double, close double"
+
+    def land(articles, bars):
+        for rows_, schema, name in zip((articles, bars), schemas, "ab"):
+            spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        streams = [spark.readStream.schema(s).parquet(f"{tmp_path}/{n}") for s, n in zip(schemas, "ab")]
+        priced = price_timers.attach_by_timers(*streams, delay="10 days", salts=1)
+        return price_timers.run_with_timers(priced, f"{tmp_path}/out", f"{tmp_path}/c")
+
+    bar = lambda n, x: (1, day(n), x, x, x, x)
+    land([(1, 1, day(0))], [bar(0, 1.0), bar(40, 2.0)])  # the watermark comes to day 30
+    land([(2, 1, day(20)), (3, 1, day(35))], [bar(25, 3.0), bar(36, 4.0)])  # the first of each is late
+    out = {r.id: [p.open for p in r.prices] for r in land([], [bar(200, 5.0)]).collect()}
+    assert out == {1: [1.0], 3: [4.0, 2.0]}
