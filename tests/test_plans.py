@@ -92,3 +92,53 @@ def test_prices_stay_null_without_bars(spark):
     done = enrich.StageTables(**{**nothing(spark).__dict__, "tickers": tickers})
     out = enrich.price_pending(articles, done, bars, LO)
     assert [(r.id, r.prices) for r in out.where(F.col("prices").isNull()).collect()] == [(1, None)]
+
+
+def _exchanges_of_texts(df):
+    """How many exchanges stand above each scan of texts in a plan without broadcast joins."""
+    spark = df.sparkSession
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        lines = df.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    found = []
+    for i, line in enumerate(lines):
+        if "FileScan" in line and "text:string" in line:
+            at, above = depth(line), 0
+            for other in reversed(lines[:i]):
+                if depth(other) < at:
+                    at, above = depth(other), above + ("Exchange" in other)
+            found.append(above)
+    return found
+
+
+def test_texts_meet_names_and_prices_once_each(spark, tmp_path):
+    from newslens.catalog import fixtures as fx
+    from newslens.catalog import models
+
+    def table(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    docs = [(i, f"first {i}\nsecond\n" + "word " * (i % 7), "en", "s", 1) for i in [*range(40), 3, 4]] + [(None, "a\nb", "en", "s", 1), (41, None, "en", "s", 1)]
+    table("documents", docs, "doc_id long, text string, lang string, source string, n_chars int")
+    table("part", [(i, f"red n{i}") for i in [*range(5), 2]], "p_partkey long, p_name string")
+    table("supplier", [(i,) for i in range(3)], "s_suppkey long")
+    lines = [(i, i % 3, date(1995, 1, 1) + timedelta(days=i * 11 % 2400), 1, 1.0 * (i % 50), 1.0) for i in range(900)]
+    table("lineitem", lines, "l_orderkey long, l_suppkey long, l_shipdate date, l_linenumber int, l_extendedprice double, l_quantity double")
+    plain, first = (fx.articles(spark, str(tmp_path), names_first=n) for n in (False, True))
+    as_rows = lambda df: sorted(map(repr, df.collect()))
+    assert as_rows(plain) == as_rows(first)
+    assert max(_exchanges_of_texts(first)) == 1 < max(_exchanges_of_texts(plain))
+    first.write.parquet(f"{tmp_path}/articles")
+    news = models.priced_news(spark, str(tmp_path), spark.read.parquet(f"{tmp_path}/articles"))
+    assert max(_exchanges_of_texts(news)) == 1
+    assert as_rows(news) == as_rows(models.priced_news(spark, str(tmp_path)))
+    got = news.collect()
+    assert all(r.summary.startswith(f"first {r.id}\n") and ("climbed" in r.summary) != ("dropped" in r.summary) for r in got if r.id != 41)
+    assert any(r.prices for r in got)
